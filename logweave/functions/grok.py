@@ -269,27 +269,32 @@ class Grok:
         return f"(?s:^.*?)(?:{self.regex})(?s:.*)$"
 
     def onepass_template(self) -> str:
-        return HIT + "".join(f"{SEP}${c.group}" for c in self.captures)
+        body = "".join(f"{SEP}${c.group}" for c in self.captures)
+        return HIT + (body or SEP)
 
     def apply(self, df: DataFrame, source_col: str = "line", matched_col: str = "_matched",
               drop_helper: bool = True) -> DataFrame:
         """Add ``matched_col`` and one column per capture name.
 
         The one-pass form runs the regex once per line: ``regexp_replace`` rewrites a matching
-        line to ``HIT SEP g1 SEP g2 ...`` and ``split`` yields all groups.  Lines that contain the
-        separator character take the exact slow path (``rlike`` + ``regexp_extract`` per group).
+        line to ``HIT SEP g1 SEP g2 ...`` and ``split`` yields all groups as one array.  Lines that
+        contain the separator character build the same array exactly with ``rlike`` and one
+        ``regexp_extract`` per group.  Field columns read the array, so each line is matched once
+        and the generated code holds the slow path only once.
         """
         line = F.col(source_col)
         parts_name = "__grok_parts"
         has_sep = F.instr(line, SEP) > 0
         one_pass = F.regexp_replace(line, F.lit(self.onepass_regex()), F.lit(self.onepass_template()))
-        staged = df.withColumn(parts_name, F.when(~has_sep, F.split(one_pass, SEP, -1)))
+        exact = [F.when(line.rlike(self.regex), F.lit(HIT)).otherwise(F.lit(""))]
+        exact += [F.regexp_extract(line, self.regex, c.group) for c in self.captures] or [F.lit("")]
+        parts_expr = F.when(has_sep, F.array(*exact)).otherwise(F.split(one_pass, SEP, -1))
+        staged = df.withColumn(parts_name, parts_expr)
         parts = F.col(parts_name)
-        fast = parts.isNotNull()
-        matched = F.when(fast, F.get(parts, 0) == F.lit(HIT)).otherwise(line.rlike(self.regex))
+        matched = (F.size(parts) >= 2) & (F.get(parts, 0) == F.lit(HIT))
 
         def raw(c: Capture) -> Column:
-            v = F.when(fast, F.get(parts, c.group)).otherwise(F.regexp_extract(line, self.regex, c.group))
+            v = F.get(parts, c.group)
             return F.nullif(v, F.lit("")) if c.optional else v
 
         by_name: dict[str, list[Capture]] = {}
@@ -310,7 +315,7 @@ class Grok:
             elif self.strip_quotes:
                 v = strip_quotes(v)
             values[name] = F.when(F.col(matched_col), v)
-        out = staged.withColumn(matched_col, matched)
+        out = staged.withColumn(matched_col, F.coalesce(matched, F.lit(False)))
         out = out.withColumns(values) if values else out
         return out.drop(parts_name) if drop_helper else out
 

@@ -30,13 +30,19 @@ def unpack_mdc(df: DataFrame, mdc_col: str = "mdc_s") -> DataFrame:
                      lambda p: (F.size(p) == 2))
     out = df
     for key, name in MDC_KEYS:
-        hits = F.filter(pairs, lambda p, key=key: p[0] == key)
+        hits = F.filter(pairs, _first_is(key))
         v = F.when(F.size(hits) > 0, F.element_at(hits, -1)[1])
         cur = F.col(name) if name in df.columns else F.lit(None).cast("string")
         out = out.withColumn(name, F.coalesce(v, cur))
     return out
 
 
+def _first_is(key: str):
+    def fn(p):
+        return p[0] == F.lit(key)
+    return fn
+
+
 def explode_params(params: Column) -> Column:
     """``a=1&b=2&_=3`` → ``MAP{a_s: 1, b_s: 2}``: pairs without ``=`` and key ``_`` are skipped,
     ``_s`` is appended unless present, no URL decoding, a later pair wins."""
