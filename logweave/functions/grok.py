@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .plan import materialize
+
 _PATTERN_DIR = os.path.join(os.path.dirname(__file__), "patterns")
 _REF = re.compile(r"%\{(?P<name>\w+)(?::(?P<alias>[^:}]+))?(?::(?P<type>\w+))?\}")
 _INLINE_NAME = re.compile(r"\(\?<([a-zA-Z][a-zA-Z0-9]*)>")
@@ -27,6 +29,16 @@ _MARK = "(?<__c"
 SEP = "\u0001"      # field separator inside the one-pass result
 HIT = "\u0002"      # first element of the one-pass result when the line matched
 
+# Bundled patterns whose matches can never start with a quote character (read off
+# their definitions), so quote stripping is skipped for captures of them.
+NO_LEADING_QUOTE = frozenset("""
+INT BASE10NUM NUMBER BASE16NUM BASE16FLOAT POSINT NONNEGINT WORD USERNAME USER EMAILLOCALPART
+EMAILADDRESS HTTPDUSER UUID MAC CISCOMAC WINDOWSMAC COMMONMAC IPV6 IPV4 IP HOSTNAME IPORHOST HOSTPORT
+MONTH MONTHNUM MONTHNUM2 MONTHDAY DAY YEAR HOUR MINUTE SECOND TIME DATE_US DATE_EU ISO8601_TIMEZONE
+ISO8601_SECOND TIMESTAMP_ISO8601 DATE DATESTAMP TZ DATESTAMP_RFC822 DATESTAMP_RFC2822 DATESTAMP_OTHER
+DATESTAMP_EVENTLOG HTTPDERROR_DATE SYSLOGTIMESTAMP HTTPDATE LOGLEVEL URIPROTO
+""".split())
+
 _TYPES = {"int": "bigint", "long": "bigint", "integer": "bigint", "float": "double", "double": "double",
           "string": None, "str": None}
 
@@ -103,7 +115,7 @@ class PatternLibrary:
             raise GrokError("a grok expression is required")
         keep_all = keep_unnamed is True
         keep = set() if keep_all else set(keep_unnamed or ())
-        marks: list[tuple[str, str | None]] = []
+        marks: list[tuple[str, str | None, str | None]] = []
 
         def expand(text: str, stack: tuple[str, ...]) -> str:
             out, pos = [], 0
@@ -122,7 +134,8 @@ class PatternLibrary:
                 else:
                     if typ is not None and typ.lower() not in _TYPES:
                         raise GrokError(f"unknown capture type '{typ}' in %{{{m.group(0)[2:-1]}}}")
-                    marks.append((capture, _TYPES.get(typ.lower()) if typ else None))
+                    marks.append((capture, _TYPES.get(typ.lower()) if typ else None,
+                                  name if self.definitions[name] == _bundled_definition(name) else None))
                     out.append(f"{_MARK}{len(marks) - 1}>{body})")
             out.append(text[pos:])
             return "".join(out)
@@ -138,6 +151,7 @@ class Capture:
     group: int          # 1-based group number in ``Grok.regex``
     cast: str | None    # Spark type for typed captures
     optional: bool      # group may not take part in a match
+    may_quote: bool = True  # value may start with a quote (quote stripping applies)
 
 
 @dataclass
@@ -149,13 +163,13 @@ class _Node:
     children: list = field(default_factory=list)
 
 
-def _number_groups(rx: str, marks: list[tuple[str, str | None]]) -> tuple[str, list[Capture]]:
+def _number_groups(rx: str, marks: list[tuple[str, str | None, str | None]]) -> tuple[str, list[Capture]]:
     """Turn capture marks and inline ``(?<name>`` groups into numbered groups, every other plain
     group into ``(?:``, and record whether each capture is optional."""
     out: list[str] = []
     root = _Node(None)
     stack = [root]
-    caps: list[tuple[str, str | None, _Node]] = []
+    caps: list[tuple[str, str | None, str | None, _Node]] = []
     i, n = 0, len(rx)
     while i < n:
         c = rx[i]
@@ -180,15 +194,15 @@ def _number_groups(rx: str, marks: list[tuple[str, str | None]]) -> tuple[str, l
             stack.append(node)
             if rx.startswith(_MARK, i):
                 j = rx.index(">", i)
-                name, cast = marks[int(rx[i + len(_MARK):j])]
-                caps.append((name, cast, node))
+                name, cast, source = marks[int(rx[i + len(_MARK):j])]
+                caps.append((name, cast, source, node))
                 node.capture = len(caps)
                 out.append("(")
                 i = j + 1
                 continue
             m = _INLINE_NAME.match(rx, i)
             if m:
-                caps.append((m.group(1), None, node))
+                caps.append((m.group(1), None, None, node))
                 node.capture = len(caps)
                 out.append("(")
                 i = m.end()
@@ -217,13 +231,14 @@ def _number_groups(rx: str, marks: list[tuple[str, str | None]]) -> tuple[str, l
     if len(stack) != 1:
         raise GrokError("unbalanced '(' in expanded expression")
     captures = []
-    for k, (name, cast, node) in enumerate(caps, start=1):
+    for k, (name, cast, source, node) in enumerate(caps, start=1):
         optional = node.zero
         p = node.parent
         while p is not None and not optional:
             optional = p.alt or p.zero
             p = p.parent
-        captures.append(Capture(name=name, group=k, cast=cast, optional=optional))
+        captures.append(Capture(name=name, group=k, cast=cast, optional=optional,
+                                may_quote=source not in NO_LEADING_QUOTE))
     return "".join(out), captures
 
 
@@ -286,10 +301,14 @@ class Grok:
         parts_name = "__grok_parts"
         has_sep = F.instr(line, SEP) > 0
         one_pass = F.regexp_replace(line, F.lit(self.onepass_regex()), F.lit(self.onepass_template()))
-        exact = [F.when(line.rlike(self.regex), F.lit(HIT)).otherwise(F.lit(""))]
-        exact += [F.regexp_extract(line, self.regex, c.group) for c in self.captures] or [F.lit("")]
-        parts_expr = F.when(has_sep, F.array(*exact)).otherwise(F.split(one_pass, SEP, -1))
-        staged = df.withColumn(parts_name, parts_expr)
+        exact = [F.lit(HIT)] + ([F.regexp_extract(line, self.regex, c.group) for c in self.captures] or [F.lit("")])
+        slow = F.when(line.rlike(self.regex), F.array(*exact)).otherwise(F.array(F.lit("")))
+        # a line that does not match stays whole: [line], so every field reads NULL
+        parts_expr = F.when(has_sep, slow).otherwise(F.split(one_pass, SEP, -1))
+        # One-row generator as an optimizer barrier: a later filter on a field (or on the
+        # matched flag) is not inlined below it, so the regex still runs once per line, while
+        # filters on the input columns keep reaching the scan.
+        staged = materialize(df, parts_name, parts_expr)
         parts = F.col(parts_name)
         matched = (F.size(parts) >= 2) & (F.get(parts, 0) == F.lit(HIT))
 
@@ -312,9 +331,9 @@ class Grok:
             cast = next((c.cast for c in group if c.cast), None)
             if cast:
                 v = v.try_cast(cast)
-            elif self.strip_quotes:
+            elif self.strip_quotes and any(c.may_quote for c in group):
                 v = strip_quotes(v)
-            values[name] = F.when(F.col(matched_col), v)
+            values[name] = v
         out = staged.withColumn(matched_col, F.coalesce(matched, F.lit(False)))
         out = out.withColumns(values) if values else out
         return out.drop(parts_name) if drop_helper else out
@@ -328,6 +347,18 @@ def strip_quotes(v: Column) -> Column:
 
 
 _DEFAULT: PatternLibrary | None = None
+_BUNDLED: dict[str, str] | None = None
+
+
+def _bundled_definition(name: str) -> str | None:
+    global _BUNDLED
+    if _BUNDLED is None:
+        _BUNDLED = {}
+        lib = PatternLibrary()
+        for n in bundled_set_names() + ["grok-patterns"]:
+            lib.add_file(os.path.join(_PATTERN_DIR, n))
+        _BUNDLED = lib.definitions
+    return _BUNDLED.get(name)
 
 
 def default_library() -> PatternLibrary:

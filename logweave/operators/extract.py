@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grok import PatternLibrary, compile_grok
+from ..functions.plan import materialize
 from ..functions.text import file_line_id
 from ..functions.timefmt import iso_string, parse_timestamp
 from ..session import ensure_utc
@@ -101,7 +102,7 @@ def json_lines(lines: DataFrame, schema=None, col: str = "line") -> DataFrame:
             lambda e, i: ~F.exists(F.slice(F.map_entries(m), i + 2, F.size(keys)), lambda x: x["key"] == e["key"]),
         )))
     fields = F.map_filter(dedup, lambda k, v: ~F.is_variant_null(v))
-    out = lines.withColumn("fields", fields).withColumn("_matched", F.col("fields").isNotNull())
+    out = materialize(lines, "fields", fields).withColumn("_matched", F.col("fields").isNotNull())
     if schema is not None:
         typed = F.from_json(F.col(col), schema)
         out = out.withColumn("__typed", F.when(F.col("_matched"), typed)).select("*", "__typed.*").drop("__typed")

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.plan import materialize
+
 START, CONT, END, SKIP = "START", "CONT", "END", "SKIP"
 CHUNK_LINES = 1 << 20
 
@@ -176,5 +178,7 @@ def xml_field_docs(lines: DataFrame, chunk_lines: int = CHUNK_LINES, keep_empty:
     """``<doc>`` … ``</doc>`` blocks of ``<field name="k">v</field>`` lines → ``(file, line_i,
     fields MAP<STRING,STRING>)``; input lines must be trimmed and non-blank."""
     state, fields = classify_xml(F.col("line"))
-    classified = lines.select("file", "line_num", state.alias("state"), fields.alias("fields"))
+    parsed = materialize(lines.select("file", "line_num", "line"), "__x",
+                         F.struct(state.alias("state"), fields.alias("fields")))
+    classified = parsed.select("file", "line_num", "__x.state", "__x.fields")
     return assemble_records(classified, map_col="fields", chunk_lines=chunk_lines, keep_empty=keep_empty)

@@ -270,7 +270,10 @@ FROM r
 def page_params(spark: SparkSession, d: str) -> DataFrame:
     prepare(spark)
     rec = solr_log(normalize_lines(R.page_request_lines_of(R.table(spark, d, "pages"))), SEARCH_LOG)
-    return rec.select("file", "line_i", F.explode("params").alias("key", "value"))
+    # explode_outer: a plain explode makes the optimizer add a size(params) > 0 filter that
+    # re-evaluates the whole params expression below the generator
+    out = rec.select("file", "line_i", F.explode_outer("params").alias("key", "value"))
+    return out.where(F.col("key").isNotNull())
 
 
 SQL_PAGE_PARAMS = """
