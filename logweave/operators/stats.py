@@ -12,12 +12,14 @@ from .multiline import SKIP
 BLANK, DOC, SKIPPED = "blank", "doc", "skip"
 
 
-def line_status(lines: DataFrame, parsed: DataFrame, matched_col: str = "_matched") -> DataFrame:
+def line_status(lines: DataFrame, parsed: DataFrame, matched_col: str = "_matched", routed: bool = False) -> DataFrame:
     """``(file, line_num, status)`` for a single-line job.  ``lines``: all physical lines;
-    ``parsed``: the job output over the non-blank lines with ``matched_col`` (after routing:
-    a routed unmatched line is a document)."""
+    ``parsed``: the extraction over every non-blank line, before routing, with ``matched_col``.
+    ``routed``: unmatched lines were kept as records (``unmatched_line_name``), so they are
+    documents too."""
     blank = lines.select("file", "line_num", F.lit(BLANK).alias("status")).where(java_trim(F.col("line")) == "")
-    rest = parsed.select("file", "line_num", F.when(F.col(matched_col), F.lit(DOC)).otherwise(F.lit(SKIPPED)).alias("status"))
+    is_doc = F.lit(True) if routed else F.col(matched_col)
+    rest = parsed.select("file", "line_num", F.when(is_doc, F.lit(DOC)).otherwise(F.lit(SKIPPED)).alias("status"))
     return blank.unionByName(rest)
 
 
