@@ -35,6 +35,14 @@ def _merge_maps(acc: Column, nxt: Column) -> Column:
     return F.map_zip_with(acc, nxt, lambda k, a, b: F.coalesce(b, a))
 
 
+def _keep_columns(df: DataFrame, flag: str) -> Column:
+    """An aggregate that is always 0 and references every column of ``df`` without evaluating
+    them (``flag`` is 0 or 1); it is added to a needed total.  It keeps column pruning from narrowing this branch, so its shuffle is identical to
+    the other branch's and Spark reuses it: the input is computed once."""
+    never = F.when(F.col(flag) < 0, F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    return F.coalesce(F.max(never), F.lit(0))
+
+
 def _sort_by_k(items: Column) -> Column:
     return F.array_sort(items, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
 
@@ -80,8 +88,12 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
         F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__s_in"),
         F.coalesce(F.sum("__e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__e_in"),
     )
-    # per-chunk totals → rows of earlier chunks of the same file (small table)
-    per_chunk = ranked.groupBy("file", "__chunk").agg(F.sum("__s").alias("__cs"), F.sum("__e").alias("__ce"))
+    # per-chunk totals → rows of earlier chunks of the same file (small table).  Taken from the
+    # window's running sums, so both branches read the same (reused) exchange: the input is
+    # parsed once.
+    per_chunk = ranked.groupBy("file", "__chunk").agg(
+        (F.max("__s_in") + _keep_columns(ranked, "__s")).alias("__cs"),
+        F.max(F.col("__e_in") + F.col("__e")).alias("__ce"))
     wc = Window.partitionBy("file").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_chunk.select(
         "file", "__chunk",

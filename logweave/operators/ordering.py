@@ -21,7 +21,12 @@ def chunked_row_number(df: DataFrame, keys: list[str], order_col: str, chunk_wid
     staged = df.withColumn("__chunk", chunk)
     w = Window.partitionBy(*keys, "__chunk").orderBy(order_col)
     ranked = staged.withColumn("__rn_in", F.row_number().over(w))
-    per_chunk = ranked.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
+    # from the window's output, so the input is computed once (the exchange is reused)
+    # always 0, but references every column: this branch keeps the window branch's shuffle, which
+    # Spark then reuses instead of computing the input twice
+    keep = F.coalesce(F.max(F.when(F.col("__rn_in") < 0, F.length(F.to_json(
+        F.struct(*[F.col(f"`{c}`") for c in ranked.columns]))))), F.lit(0))
+    per_chunk = ranked.groupBy(*keys, "__chunk").agg((F.max("__rn_in") + keep).alias("__n"))
     wc = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_chunk.select(*keys, "__chunk", F.coalesce(F.sum("__n").over(wc), F.lit(0)).alias("__before"))
     out = ranked.join(prefix, [*keys, "__chunk"])

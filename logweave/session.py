@@ -24,6 +24,7 @@ def get_session(master: str = "local[*]", app: str = "logweave", shuffle_partiti
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         # generated code for wide grok projections can pass HotSpot's 8 KB JIT limit
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")

@@ -136,11 +136,13 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS) ->
 def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
                    charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
                    offsets: DataFrame | None = None, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
-                   allow_empty: bool = False) -> DataFrame:
+                   allow_empty: bool = False, rebalance: int | None = None) -> DataFrame:
     """All lines of the matching files below ``paths`` (sub-directories always descended).
 
     ``processed``: a manifest ``(file)`` of files to skip (left-anti, see :func:`skip_processed`).
     ``offsets``: ``(file, last_line)``; only lines after ``last_line`` are returned (tailing).
+    ``rebalance``: spread the numbered lines round-robin over that many partitions (for inputs of
+    a few large gzip files, which are read one task per file).
     Raises when the directory is missing, or when no file matches and ``allow_empty`` is false.
     """
     raw = scan_lines(spark, paths, match, charset, line_sep)
@@ -151,6 +153,8 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
     lines = number_lines(raw, broadcast_rows=broadcast_rows)
     if offsets is not None:
         lines = after_offsets(lines, offsets)
+    if rebalance:
+        lines = lines.repartition(rebalance)
     return lines
 
 
