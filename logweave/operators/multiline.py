@@ -100,8 +100,11 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
         (F.coalesce(F.sum("__cs").over(wc), F.lit(0)) + F.coalesce(F.sum("__ce").over(wc), F.lit(0))).alias("__before"),
     )
     # both sides are clustered by (file, __chunk): only the small side moves
-    keyed = ranked.join(prefix, ["file", "__chunk"]).withColumn(
-        "__entry", F.col("__before") + F.col("__s_in") + F.col("__e_in"))
+    # null-safe keys: an ordinary equi-join makes the optimizer infer IS NOT NULL filters and
+    # push them into the two branches differently, which would keep Spark from reusing the shuffle
+    p = prefix.select(F.col("file").alias("__pf"), F.col("__chunk").alias("__pc"), "__before")
+    keyed = ranked.join(p, F.col("file").eqNullSafe(F.col("__pf")) & F.col("__chunk").eqNullSafe(F.col("__pc")))
+    keyed = keyed.drop("__pf", "__pc").withColumn("__entry", F.col("__before") + F.col("__s_in") + F.col("__e_in"))
 
     # level 1: inside one chunk (no new shuffle)
     def last_value(c: str) -> Column:

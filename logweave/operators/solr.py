@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grok import PatternLibrary, compile_grok
+from ..functions.plan import materialize
 from ..functions.text import JAVA_WS, collapse_ws, java_trim
 from ..functions.timefmt import iso_string, parse_timestamp
 from ..session import ensure_utc
@@ -22,40 +23,45 @@ DROPPED_AFTER_ASSEMBLY = ("SECOND", "MONTHNUM", "YEAR", "MONTHDAY")
 
 
 def unpack_mdc(df: DataFrame, mdc_col: str = "mdc_s") -> DataFrame:
-    """``c:coll s:shard r:replica x:core`` → the four ``*_s`` columns.  Tokens are split on
-    whitespace and kept only when they have exactly two ``:`` parts; a later token wins; a column
-    stays as it was when its key is absent."""
-    tokens = F.split(F.col(mdc_col), JAVA_WS + "+")
-    pairs = F.filter(F.transform(tokens, lambda t: F.split(t, ":", -1)),
-                     lambda p: (F.size(p) == 2))
+    """``c:coll s:shard r:replica x:core`` → the four ``*_s`` columns.
+
+    The value is split on whitespace; a token counts when splitting it on ``:`` gives exactly
+    two parts (trailing empty parts are dropped, as Java's ``split`` does); a later token wins; a
+    column keeps its value when its key is absent.  One regex per key, no per-token lambdas."""
+    mdc = F.col(mdc_col)
     out = df
     for key, name in MDC_KEYS:
-        hits = F.filter(pairs, _first_is(key))
-        v = F.when(F.size(hits) > 0, F.element_at(hits, -1)[1])
+        # last whitespace-delimited token "key:value" followed only by ':'s
+        rx = rf"(?s)^.*(?:^|\s){key}:([^:\s]+):*(?:\s|$)"
+        v = F.nullif(F.regexp_extract(mdc, rx, 1), F.lit(""))
         cur = F.col(name) if name in df.columns else F.lit(None).cast("string")
         out = out.withColumn(name, F.coalesce(v, cur))
     return out
 
 
-def _first_is(key: str):
-    def fn(p):
-        return p[0] == F.lit(key)
-    return fn
+def _param_entry(p: Column) -> Column:
+    eq = F.instr(p, "=")
+    k = F.substring_index(p, "=", 1)
+    key = F.when(k.endswith("_s"), k).otherwise(F.concat(k, F.lit("_s")))
+    # pairs without '=' and the key '_' give no entry
+    return F.when((eq > 0) & (k != "_"), F.struct(key.alias("k"), F.substr(p, eq + 1).alias("v")))
 
 
 def explode_params(params: Column) -> Column:
     """``a=1&b=2&_=3`` → ``MAP{a_s: 1, b_s: 2}``: pairs without ``=`` and key ``_`` are skipped,
     ``_s`` is appended unless present, no URL decoding, a later pair wins."""
-    pairs = F.filter(F.split(params, "&", -1), lambda p: F.instr(p, "=") > 0)
-    kv = F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"),
-                                                F.substr(p, F.instr(p, "=") + 1).alias("v")))
-    kv = F.filter(kv, lambda e: e["k"] != "_")
-    kv = F.transform(kv, lambda e: F.struct(
-        F.when(e["k"].endswith("_s"), e["k"]).otherwise(F.concat(e["k"], F.lit("_s"))).alias("k"), e["v"].alias("v")))
+    kv = F.filter(F.transform(F.split(params, "&", -1), _param_entry), lambda e: e.isNotNull())
+    return F.when(params.isNotNull(), _last_wins(kv))
+
+
+def _last_wins(kv: Column) -> Column:
     keys = F.transform(kv, lambda e: e["k"])
-    last = F.filter(kv, lambda e, i: ~F.exists(F.slice(kv, i + 2, F.size(kv)), lambda x: x["k"] == e["k"]))
-    entries = F.when(F.size(keys) == F.size(F.array_distinct(keys)), kv).otherwise(last)
-    return F.when(params.isNotNull(), F.map_from_entries(entries))
+    rev = F.reverse(kv)
+    rev_keys = F.reverse(keys)
+    # keep an entry of the reversed array only where its key is seen first: the last pair wins
+    dedup = F.filter(rev, lambda e, i: F.array_position(rev_keys, e["k"]) == i + 1)
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_entries(kv)) \
+        .otherwise(F.map_from_entries(F.reverse(dedup)))
 
 
 def solr_request_fields(records: DataFrame, message_col: str = DEFAULT_MESSAGE_FIELD,
@@ -133,5 +139,9 @@ def _apply_request(rec: DataFrame, message_col: str, expression: str, library, p
     out = out.drop(*[f for f in req_fields], *[f"__orig_{i}" for i, f in enumerate(req_fields) if f in rec.columns])
     out = out.withColumnsRenamed({v: k for k, v in tmp.items()})
     if parse_params:
-        out = out.withColumn("params", F.when(hit, explode_params(F.col("params_s"))))
+        # pairs first, as their own column, so the map is built from it once per row
+        pairs = F.when(hit & F.col("params_s").isNotNull(), F.filter(
+            F.transform(F.split(F.col("params_s"), "&", -1), _param_entry), lambda e: e.isNotNull()))
+        out = materialize(out, "__kv", pairs)
+        out = out.withColumn("params", F.when(F.col("__kv").isNotNull(), _last_wins(F.col("__kv")))).drop("__kv")
     return out.drop("__req", "__req_ok")
