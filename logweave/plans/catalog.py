@@ -426,7 +426,7 @@ def read_files(spark: SparkSession, d: str) -> DataFrame:
     docs.where(F.col("doc_id") % 2 == 0).select("source", "text").write.partitionBy("source").text(f"{base}/plain")
     (docs.where(F.col("doc_id") % 2 == 1).select("source", "text").write.partitionBy("source")
      .option("compression", "gzip").text(f"{base}/gz"))
-    lines = read_log_lines(spark, base, match=r".*\.txt(\.gz)?", broadcast_rows=1_000_000)
+    lines = read_log_lines(spark, base, match=r".*\.txt(\.gz)?")
     per_file = lines.groupBy("file").agg(
         F.count(F.lit(1)).alias("n"), F.min("line_num").alias("lo"), F.max("line_num").alias("hi"),
         F.count_distinct("line_num").alias("nd"),

@@ -68,7 +68,8 @@ def tail_once(spark: SparkSession, path: str, handler: Callable[[DataFrame], Non
                         F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
     complete = raw.groupBy("file").agg(F.sum(F.length(F.encode("line", "UTF-8")) + 1).alias("__bytes"))
     lines = number_lines(raw)
-    o = F.broadcast(offsets.select(F.col("file").alias("__of"), F.col("last_line").alias("__last")))
+    # per-file tables: no broadcast hint, Spark broadcasts them only when their size allows
+    o = offsets.select(F.col("file").alias("__of"), F.col("last_line").alias("__last"))
     fresh = (lines.join(o, F.col("file") == F.col("__of"), "left")
              .where(F.col("line_num") > F.coalesce("__last", F.lit(0))).drop("__of", "__last"))
     fi = files.join(complete, "file", "left")
@@ -86,7 +87,7 @@ def tail_once(spark: SparkSession, path: str, handler: Callable[[DataFrame], Non
         # hold back the open record (from the last START) unless the file is idle
         limit = F.when(~idle & F.col("__ls").isNotNull(), F.least(limit, F.col("__ls") - 1)).otherwise(limit)
     fi = fi.select("file", "size", "mtime", limit.alias("__limit")).cache()
-    take = fresh.join(F.broadcast(fi.select(F.col("file").alias("__f"), "__limit")), F.col("file") == F.col("__f")) \
+    take = fresh.join(fi.select(F.col("file").alias("__f"), "__limit"), F.col("file") == F.col("__f")) \
         .where(F.col("line_num") <= F.col("__limit")).drop("__f", "__limit")
     handler(take)
     new_offsets = (fi.join(offsets.select("file", F.col("last_line").alias("__old")), "file", "left")
