@@ -242,6 +242,131 @@ def _number_groups(rx: str, marks: list[tuple[str, str | None, str | None]]) ->
     return "".join(out), captures
 
 
+_LITERAL_ESCAPES = set("[](){}.*+?^$|\\/-:@\"'#%&=,;!<> _~`")
+_FLAG_GROUP = re.compile(r"\(\?([a-zA-Z-]+)[:)]")
+
+
+def _group_spans(rx: str) -> list[tuple[int, int, bool]]:
+    """(start, end, required) per group: required when the group has no alternation at its own
+    level, is not followed by a quantifier allowing zero repetitions and is not a lookaround."""
+    spans, stack, i, n = [], [], 0, len(rx)
+    while i < n:
+        c = rx[i]
+        if c == "\\":
+            if rx.startswith("\\Q", i):
+                j = rx.find("\\E", i + 2)
+                i = n if j < 0 else j + 2
+            else:
+                i += 2
+            continue
+        if c == "[":
+            i = _class_end(rx, i)
+            continue
+        if c == "(":
+            look = rx.startswith(("(?=", "(?!", "(?<=", "(?<!"), i)
+            stack.append([i, look, False])
+        elif c == ")" and stack:
+            start, look, alt = stack.pop()
+            rest = rx[i + 1:i + 12]
+            zero = rest[:1] in ("?", "*") or bool(_ZERO_MIN.match(rest))
+            spans.append((start, i, not (look or alt or zero)))
+        elif c == "|" and stack:
+            stack[-1][2] = True
+        i += 1
+    return spans
+
+
+def required_literals(rx: str, limit: int = 3) -> list[str]:
+    """Literal strings that every match of ``rx`` contains: runs of plain characters whose
+    enclosing groups are all unconditional (see :func:`_group_spans`) and which carry no
+    quantifier themselves.  Empty when unsure (top-level alternation, case-insensitive or comment
+    mode)."""
+    for m in _FLAG_GROUP.finditer(rx):
+        if set(m.group(1).replace("-", "")) & set("ixuUc"):
+            return []
+    spans = _group_spans(rx)
+    blocked = [False] * (len(rx) + 1)
+    for start, end, ok in spans:
+        if not ok:
+            for k in range(start, end + 1):
+                blocked[k] = True
+    runs: list[str] = []
+    cur: list[str] = []
+    depth_alt_top = False
+    i, n, depth = 0, len(rx), 0
+
+    def close():
+        if cur:
+            runs.append("".join(cur))
+            cur.clear()
+
+    while i < n:
+        c = rx[i]
+        if c == "\\":
+            if rx.startswith("\\Q", i):
+                j = rx.find("\\E", i + 2)
+                j = n if j < 0 else j
+                lit, start, i = rx[i + 2:j], i, j + 2
+                if not blocked[start] and not _quantified(rx, i):
+                    cur.append(lit)
+                else:
+                    close()
+                continue
+            nxt, start = rx[i + 1:i + 2], i
+            i += 2
+            if not blocked[start] and nxt in _LITERAL_ESCAPES and not _quantified(rx, i):
+                cur.append(nxt)
+            else:
+                close()
+            continue
+        if c == "[":
+            i = _class_end(rx, i)
+            close()
+            continue
+        if c == "(":
+            if rx.startswith("(?", i):
+                # skip the group's own syntax: (?:  (?>  (?<name>  (?=  (?!  (?<=  (?<!  flags
+                m = re.match(r"\(\?(?:<[a-zA-Z][a-zA-Z0-9]*>|<=|<!|[:>=!]|[a-zA-Z-]*[:)])", rx[i:])
+                i += m.end() if m else 2
+            else:
+                i += 1
+            depth += 1
+            close()
+            continue
+        if c == ")":
+            depth -= 1
+            close()
+            i += 1
+            continue
+        if c == "|":
+            if depth == 0:
+                depth_alt_top = True
+            close()
+            i += 1
+            continue
+        if c == "{":
+            q = re.match(r"\{\d*(?:,\d*)?\}", rx[i:])
+            if q:  # a counted quantifier, not text
+                close()
+                i += q.end()
+                continue
+        if not blocked[i] and c not in ".^$*+?{}" and not _quantified(rx, i + 1):
+            cur.append(c)
+        else:
+            close()
+        i += 1
+    close()
+    if depth_alt_top:
+        return []
+    runs = sorted({r for r in runs if r.strip()}, key=len, reverse=True)
+    return runs[:limit]
+
+
+def _quantified(rx: str, i: int) -> bool:
+    """Whether the atom ending just before ``i`` is followed by a quantifier."""
+    return i < len(rx) and rx[i] in "?*+{"
+
+
 def _class_end(rx: str, i: int) -> int:
     """Index just past the character class starting at ``rx[i] == '['`` (Java syntax: nested
     classes, escapes, a leading ']' is literal)."""
@@ -305,6 +430,14 @@ class Grok:
         slow = F.when(line.rlike(self.regex), F.array(*exact)).otherwise(F.array(F.lit("")))
         # a line that does not match stays whole: [line], so every field reads NULL
         parts_expr = F.when(has_sep, slow).otherwise(F.split(one_pass, SEP, -1))
+        # exact shortcut: a line lacking a literal that every match contains cannot match, so
+        # the regex (an unanchored search, costly on long lines) is not run on it
+        lits = required_literals(self.regex)
+        if lits:
+            possible = F.lit(True)
+            for lit in lits:
+                possible = possible & (F.instr(line, F.lit(lit)) > 0)
+            parts_expr = F.when(possible, parts_expr).otherwise(F.array(line))
         # One-row generator as an optimizer barrier: a later filter on a field (or on the
         # matched flag) is not inlined below it, so the regex still runs once per line, while
         # filters on the input columns keep reaching the scan.

@@ -97,3 +97,14 @@ def test_pattern_library_sources(spark, tmp_path):
     assert lib.definitions == {"GREETING": "hello|hi", "NAME": "[A-Z][a-z]+"}
     lib2 = PatternLibrary().add_dataframe(spark.createDataFrame([("X", "x+")], "name string, regex string"))
     assert lib2.definitions == {"X": "x+"}
+
+
+def test_required_literals_are_exact():
+    from logweave.functions.grok import required_literals
+    lib = default_library()
+    assert set(required_literals(lib.compile("%{SOLR_651_LOG4J}").regex)) == {"; [", " - ", "; "}
+    # alternation at the top, optional parts and counted quantifiers give no literal
+    assert required_literals("a|b") == []
+    assert required_literals("(?:x)?yz{2,3}") == ["y"]
+    assert required_literals("(?i)abc") == []
+    assert required_literals("(?=foo)bar") == ["bar"]
