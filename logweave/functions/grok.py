@@ -358,7 +358,7 @@ def required_literals(rx: str, limit: int = 3) -> list[str]:
     close()
     if depth_alt_top:
         return []
-    runs = sorted({r for r in runs if r.strip()}, key=len, reverse=True)
+    runs = sorted({r for r in runs if r.strip()}, key=lambda r: (-len(r), r))
     return runs[:limit]
 
 
