@@ -39,6 +39,11 @@ ISO8601_SECOND TIMESTAMP_ISO8601 DATE DATESTAMP TZ DATESTAMP_RFC822 DATESTAMP_RF
 DATESTAMP_EVENTLOG HTTPDERROR_DATE SYSLOGTIMESTAMP HTTPDATE LOGLEVEL URIPROTO
 """.split())
 
+# Exact rewrites: a lookahead that every match of the bundled definition satisfies, so the
+# engine skips the long alternation where it cannot match (every IPv6 form starts with up to four
+# hex digits and a colon).
+_GUARDS = {"IPV6": "(?=[0-9A-Fa-f]{0,4}:)"}
+
 _TYPES = {"int": "bigint", "long": "bigint", "integer": "bigint", "float": "double", "double": "double",
           "string": None, "str": None}
 
@@ -128,6 +133,8 @@ class PatternLibrary:
                 if name in stack:
                     raise GrokError(f"grok pattern %{{{name}}} refers to itself: {' -> '.join(stack + (name,))}")
                 body = expand(self.definitions[name], stack + (name,))
+                if name in _GUARDS and self.definitions[name] == _bundled_definition(name):
+                    body = _GUARDS[name] + "(?:" + body + ")"
                 capture = alias or (name if (keep_all or name in keep) else None)
                 if capture is None:
                     out.append(f"(?:{body})")

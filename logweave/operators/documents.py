@@ -49,29 +49,36 @@ def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | N
         fields = [c for c in records.columns if c not in SYSTEM_COLUMNS and c not in map_cols
                   and not c.startswith("__")]
     entry = "struct<name:string,value:string>"
+    empty = F.array().cast(f"array<{entry}>")
     col_entries = [F.struct(F.lit(f).alias("name"), _as_string(F.col(f"`{f}`"), dtypes[f]).alias("value"))
                    for f in fields]
-    arr = F.filter(F.array(*col_entries).cast(f"array<{entry}>") if col_entries else F.array().cast(f"array<{entry}>"),
+    arr = F.filter(F.array(*col_entries).cast(f"array<{entry}>") if col_entries else empty,
                    lambda e: e["value"].isNotNull())
     for m in map_cols:
         vt = dtypes[m][len("map<string,"):-1]
-        ents = F.transform(F.map_entries(F.col(m)), _entry_fn(vt))
-        ents = F.filter(F.coalesce(ents, F.array().cast(f"array<{entry}>")), lambda e: e["value"].isNotNull())
+        ents = F.filter(F.coalesce(F.transform(F.map_entries(F.col(m)), _entry_fn(vt)), empty),
+                        lambda e: e["value"].isNotNull())
         arr = F.concat(arr, ents)
-    if map_cols:
-        arr = F.filter(arr, lambda e, i: ~F.exists(F.slice(arr, i + 2, F.size(arr)), lambda x: x["name"] == e["name"]))
 
     line = record_line(records)
     src = file_line_id(F.col("file"), line)
     own_id = _own_id(records, id_field, fields, map_cols, dtypes)
+    staged = records.select(F.coalesce(own_id, src).alias("id"), own_id.isNotNull().alias("__own"),
+                            src.alias("__src"), arr.alias("__arr"),
+                            *[c for c in ("file",) if c in records.columns])
+    arr = F.col("__arr")
+    if map_cols:
+        # a later entry (a map entry) replaces an earlier one of the same name
+        rev = F.reverse(arr)
+        names = F.transform(rev, lambda e: e["name"])
+        arr = F.filter(rev, lambda e, i: F.array_position(names, e["name"]) == i + 1)
     lowered = F.transform(arr, lambda e: F.struct(F.lower(e["name"]).alias("name"), e["value"].alias("value")))
     if keep_source:
-        lowered = F.when(own_id.isNotNull(), F.concat(lowered, F.array(F.struct(
-            F.lit("_src_").alias("name"), src.alias("value"))))).otherwise(lowered)
-    sorted_fields = F.array_sort(lowered, lambda a, b: F.when(a["name"] < b["name"], -1)
-                                 .when(a["name"] > b["name"], 1).otherwise(0))
-    return records.select(F.coalesce(own_id, src).alias("id"), sorted_fields.alias("fields"),
-                          *[c for c in ("file",) if c in records.columns])
+        lowered = F.when(F.col("__own"), F.concat(lowered, F.array(F.struct(
+            F.lit("_src_").alias("name"), F.col("__src").alias("value"))))).otherwise(lowered)
+    # (name, value) structs sort by name first: the natural order, no comparator lambda
+    return staged.select("id", F.array_sort(lowered).alias("fields"),
+                         *[c for c in ("file",) if c in records.columns])
 
 
 def _entry_fn(vt: str):
