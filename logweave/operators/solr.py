@@ -9,7 +9,7 @@ from ..functions.grok import PatternLibrary, compile_grok
 from ..functions.plan import materialize
 from ..functions.text import JAVA_WS, collapse_ws, java_trim
 from ..functions.timefmt import iso_string, parse_timestamp
-from ..session import ensure_utc
+from ..session import prepare
 from .multiline import CHUNK_LINES, CONT, START, assemble_records
 from .normalize import prune_empty_value
 
@@ -39,29 +39,20 @@ def unpack_mdc(df: DataFrame, mdc_col: str = "mdc_s") -> DataFrame:
     return out
 
 
-def _param_entry(p: Column) -> Column:
-    eq = F.instr(p, "=")
-    k = F.substring_index(p, "=", 1)
-    key = F.when(k.endswith("_s"), k).otherwise(F.concat(k, F.lit("_s")))
-    # pairs without '=' and the key '_' give no entry
-    return F.when((eq > 0) & (k != "_"), F.struct(key.alias("k"), F.substr(p, eq + 1).alias("v")))
+# a key (text before the first '='), other than '_', that does not end in "_s" gets the suffix
+_PARAM_KEY = r"(^|&)(?!_=)([^&=]*)(?<!_s)="
 
 
 def explode_params(params: Column) -> Column:
     """``a=1&b=2&_=3`` → ``MAP{a_s: 1, b_s: 2}``: pairs without ``=`` and key ``_`` are skipped,
-    ``_s`` is appended unless present, no URL decoding, a later pair wins."""
-    kv = F.filter(F.transform(F.split(params, "&", -1), _param_entry), lambda e: e.isNotNull())
-    return F.when(params.isNotNull(), _last_wins(kv))
+    ``_s`` is appended unless present, no URL decoding, a later pair wins.
 
-
-def _last_wins(kv: Column) -> Column:
-    keys = F.transform(kv, lambda e: e["k"])
-    rev = F.reverse(kv)
-    rev_keys = F.reverse(keys)
-    # keep an entry of the reversed array only where its key is seen first: the last pair wins
-    dedup = F.filter(rev, lambda e, i: F.array_position(rev_keys, e["k"]) == i + 1)
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_entries(kv)) \
-        .otherwise(F.map_from_entries(F.reverse(dedup)))
+    Native functions only: one regex adds the suffixes, ``str_to_map`` splits the pairs at the
+    first ``=`` (a later key replaces an earlier one under the session's LAST_WIN policy, set by
+    :func:`logweave.session.prepare`), one ``map_filter`` drops pairs without ``=`` and ``_``."""
+    suffixed = F.regexp_replace(params, _PARAM_KEY, "$1$2_s=")
+    m = F.str_to_map(suffixed, F.lit("&"), F.lit("="))
+    return F.when(params.isNotNull(), F.map_filter(m, lambda k, v: v.isNotNull() & (k != "_")))
 
 
 def solr_request_fields(records: DataFrame, message_col: str = DEFAULT_MESSAGE_FIELD,
@@ -86,7 +77,7 @@ def solr_log(lines: DataFrame, expression: str = DEFAULT_LOG_EXPRESSION, library
     continues the message after one space.  Then the MDC is unpacked and request lines get their
     request fields and parameters.
     """
-    ensure_utc(lines.sparkSession)
+    prepare(lines.sparkSession)
     grok = compile_grok(expression, library)
     collapsed = lines.withColumn("line", collapse_ws(F.col("line")))
     parsed = grok.apply(collapsed, source_col="line", matched_col="__start")
@@ -139,9 +130,5 @@ def _apply_request(rec: DataFrame, message_col: str, expression: str, library, p
     out = out.drop(*[f for f in req_fields], *[f"__orig_{i}" for i, f in enumerate(req_fields) if f in rec.columns])
     out = out.withColumnsRenamed({v: k for k, v in tmp.items()})
     if parse_params:
-        # pairs first, as their own column, so the map is built from it once per row
-        pairs = F.when(hit & F.col("params_s").isNotNull(), F.filter(
-            F.transform(F.split(F.col("params_s"), "&", -1), _param_entry), lambda e: e.isNotNull()))
-        out = materialize(out, "__kv", pairs)
-        out = out.withColumn("params", F.when(F.col("__kv").isNotNull(), _last_wins(F.col("__kv")))).drop("__kv")
+        out = out.withColumn("params", F.when(hit, explode_params(F.col("params_s"))))
     return out.drop("__req", "__req_ok")

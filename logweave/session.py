@@ -21,6 +21,8 @@ def get_session(master: str = "local[*]", app: str = "logweave", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # parsing is CPU-bound: do not let AQE merge small post-shuffle partitions into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
@@ -37,13 +39,20 @@ def get_session(master: str = "local[*]", app: str = "logweave", shuffle_partiti
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Force the session time zone to UTC (timestamps are parsed and written in UTC) and make
-    sure a checkpoint folder is known."""
+    """Force the session time zone to UTC (timestamps are parsed and written in UTC), let a
+    repeated map key keep its last value (the reference's "later pair wins"), and make sure a
+    checkpoint folder is known."""
     ensure_utc(spark)
+    ensure_last_win(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def ensure_last_win(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.mapKeyDedupPolicy", None) != "LAST_WIN":
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+
+
 def ensure_utc(spark: SparkSession) -> None:
     if spark.conf.get("spark.sql.session.timeZone", None) != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
