@@ -26,6 +26,7 @@ from ..session import checkpoint_dir
 
 DEFAULT_MATCH = "*.log"
 SPLIT_BROADCAST_ROWS = 200_000
+MANIFEST_PRUNE_LIMIT = 10_000
 # Charsets whose bytes 0x00-0x7F are ASCII: lines can be split on b"\n" before decoding.
 _ASCII_COMPATIBLE = re.compile(r"^(utf-?8|us-ascii|ascii|iso-8859-\d+|latin-?1|windows-125\d|cp125\d)$", re.I)
 
@@ -58,12 +59,15 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
-               charset: str = "UTF-8", line_sep: str = "\n") -> DataFrame:
+               charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
+               prune_limit: int = MANIFEST_PRUNE_LIMIT) -> DataFrame:
     """Raw scan: ``(file, block, m, line)`` with ``m`` consecutive inside each split.
 
     Files are filtered by name at listing time (``pathGlobFilter``) when the rule is a plain
     extension, otherwise by a ``_metadata.file_name`` predicate, which Spark also applies while
-    listing files.
+    listing files.  A manifest of processed files with at most ``prune_limit`` entries (counted)
+    becomes a ``_metadata.file_path`` predicate as well, so those files are never opened; a
+    larger one is applied as a left-anti join on the lines.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     for p in paths:
@@ -79,16 +83,29 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
     rx = match_regex(match) if not glob else None
     if rx:
         df = df.filter(F.col("_metadata.file_name").rlike(rx))
+    anti = None
+    if processed is not None:
+        m = processed.select(F.trim(F.col(processed.columns[0])).alias("file")).where(F.col("file") != "").distinct()
+        small = m.limit(prune_limit + 1).collect()
+        if len(small) <= prune_limit:
+            done = [r.file for r in small]
+            # both spellings of a local path: as listed (file: URI) and as reported
+            uris = done + ["file:" + f for f in done if f.startswith("/")] + ["file://" + f for f in done if f.startswith("/")]
+            if uris:
+                df = df.filter(~F.col("_metadata.file_path").isin(uris))
+        else:
+            anti = m
     text = F.col("value")
     if charset.lower().replace("-", "") not in ("utf8", "usascii", "ascii"):
         # the text source keeps the raw bytes of each line; decode them with the file's charset
         text = F.decode(F.col("value").cast("binary"), charset)
-    return df.select(
+    out = df.select(
         _file_col(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("m"),
         text.alias("line"),
     )
+    return skip_processed(out, anti) if anti is not None else out
 
 
 def _file_col(uri):
@@ -145,9 +162,7 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
     a few large gzip files, which are read one task per file).
     Raises when the directory is missing, or when no file matches and ``allow_empty`` is false.
     """
-    raw = scan_lines(spark, paths, match, charset, line_sep)
-    if processed is not None:
-        raw = skip_processed(raw, processed)
+    raw = scan_lines(spark, paths, match, charset, line_sep, processed=processed)
     if not allow_empty and raw.select("file").limit(1).count() == 0:
         raise NoInputFiles(f"no file matching {match!r} below {paths}")
     lines = number_lines(raw, broadcast_rows=broadcast_rows)
