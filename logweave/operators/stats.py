@@ -23,6 +23,16 @@ def line_status(lines: DataFrame, parsed: DataFrame, matched_col: str = "_matche
     return blank.unionByName(rest)
 
 
+def status_of(parsed: DataFrame, matched_col: str = "_matched", line_col: str = "line",
+              routed: bool = False) -> DataFrame:
+    """Single-pass variant of :func:`line_status`: ``parsed`` is the job run over
+    ``normalize_lines(lines, keep_blank=True)``, so every physical line is there once; blank lines
+    count as blank whatever the parser made of them (they never reach a parser)."""
+    is_doc = F.lit(True) if routed else F.col(matched_col)
+    status = (F.when(F.col(line_col) == "", F.lit(BLANK)).when(is_doc, F.lit(DOC)).otherwise(F.lit(SKIPPED)))
+    return parsed.select("file", "line_num", status.alias("status"))
+
+
 def file_stats(status: DataFrame) -> DataFrame:
     """Single-line jobs: ``(file, lines_read, lines_parsed, lines_skipped, docs)``; blank lines
     count as parsed, so ``read = parsed + skipped``."""

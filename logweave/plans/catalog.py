@@ -18,7 +18,7 @@ from ..operators.extract import dns_log, grok_extract, json_lines, normalize_tim
 from ..operators.multiline import xml_field_docs
 from ..operators.normalize import ignore_before, normalize_lines, route_unmatched
 from ..operators.solr import solr_log
-from ..operators.stats import file_stats, line_status, multiline_file_stats, run_stats
+from ..operators.stats import file_stats, multiline_file_stats, run_stats, status_of
 from ..session import prepare, scratch_path
 from ..sinks.batches import batch_documents_by_key
 from ..sources.files import after_offsets, read_log_lines, skip_processed
@@ -372,8 +372,9 @@ FROM r GROUP BY 1, 2
 # --- A1/A2: statistics of a single-line job -----------------------------------------------------------
 def _access_stats(spark, d):
     lines = R.access_lines_by_day(_events(spark, d))
-    parsed = grok_extract(normalize_lines(lines))
-    return file_stats(line_status(lines, parsed))
+    # one pass: blank lines stay in the parsed table and are counted as blank
+    parsed = grok_extract(normalize_lines(lines, keep_blank=True))
+    return file_stats(status_of(parsed))
 
 
 def file_stats_query(spark: SparkSession, d: str) -> DataFrame:

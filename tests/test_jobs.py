@@ -9,7 +9,7 @@ from logweave.operators.extract import dns_log, grok_extract, grok_job, json_lin
 from logweave.operators.multiline import CONT, END, SKIP, START, assemble_records, classify_xml, xml_field_docs
 from logweave.operators.normalize import ignore_before, normalize_lines, route_unmatched, split_unmatched
 from logweave.operators.solr import explode_params, solr_log, unpack_mdc
-from logweave.operators.stats import file_stats, line_status, multiline_file_stats, run_stats
+from logweave.operators.stats import file_stats, line_status, multiline_file_stats, run_stats, status_of
 from logweave.sources.files import read_log_lines
 
 from conftest import DATA
@@ -156,6 +156,8 @@ def test_routing_and_counters(spark, lines_of):
     st = file_stats(line_status(lines, plain)).first()
     assert (st.lines_read, st.lines_parsed, st.lines_skipped, st.docs) == (5, 4, 1, 2)
     assert st.lines_read == st.lines_parsed + st.lines_skipped
+    one_pass = file_stats(status_of(grok_extract(normalize_lines(lines, keep_blank=True)))).first()
+    assert one_pass == st
     tot = run_stats(file_stats(line_status(lines, plain))).first()
     assert (tot.files_total, tot.docs, tot.lines_skipped) == (1, 2, 1)
     matched, rejected = split_unmatched(grok_job(normalize_lines(lines), unmatched_line_name="u"))
