@@ -6,7 +6,7 @@ line text is never shuffled:
 * ``m = monotonically_increasing_id()`` is taken right after the scan.  Inside one file split it
   is consecutive, because a task reads its splits one after the other.
 * A small table with one row per split ``(file, block_start) → (rows, min m)`` is computed and
-  checkpointed, and the rows of earlier splits of the same file are prefix-summed over that
+  written to the shared checkpoint folder, and the rows of earlier splits of the same file are prefix-summed over that
   small table only.
 * ``line_num = m − min_m + 1 + rows in earlier splits``.  The split table is joined back with a
   broadcast when its (counted) size is below ``broadcast_rows``; beyond that a shuffle join is
@@ -18,11 +18,12 @@ Gzip files are read by the text source's codec (one task per file, as gzip canno
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 
 DEFAULT_MATCH = "*.log"
 SPLIT_BROADCAST_ROWS = 200_000
@@ -142,8 +143,11 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS) ->
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("file", "block", "m0",
                            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    # small table, materialised once: counted before deciding how to join it
-    splits = splits.checkpoint(eager=True)
+    # small table, written once to the shared folder (cuts the lineage; a retried task never
+    # recomputes it) and counted before deciding how to join it
+    path = scratch_path(spark, f"splits-{uuid.uuid4().hex}")
+    splits.write.parquet(path)
+    splits = spark.read.parquet(path)
     n_splits = splits.count()
     side = F.broadcast(splits) if n_splits <= broadcast_rows else splits
     return (raw.join(side, ["file", "block"])
