@@ -86,3 +86,22 @@ def endpoint_stats(deliveries: DataFrame) -> DataFrame:
     """Documents sent per endpoint (from :func:`logweave.sinks.deliver.deliver`)."""
     return deliveries.groupBy("endpoint").agg(
         F.sum("n_docs").cast("bigint").alias("docs_sent"), F.count(F.lit(1)).alias("batches"))
+
+
+def observe_run(df: DataFrame, name: str = "logweave_run", status_col: str = "status"):
+    """Totals gathered while ``df`` is written by the job's own sink, with no second pass:
+    returns ``(observed_df, observation)``; after the action ``observation.get`` holds
+    ``lines_read, lines_parsed, lines_skipped, docs``.  ``df`` carries a ``status`` column as
+    produced by :func:`status_of` (keep the non-document rows until the sink filters them)."""
+    from pyspark.sql import Observation
+
+    s = F.col(status_col)
+    obs = Observation(name)
+    out = df.observe(
+        obs,
+        F.count(F.lit(1)).alias("lines_read"),
+        F.sum(F.when(s.isin(BLANK, DOC), 1).otherwise(0)).alias("lines_parsed"),
+        F.sum(F.when(s == SKIPPED, 1).otherwise(0)).alias("lines_skipped"),
+        F.sum(F.when(s == DOC, 1).otherwise(0)).alias("docs"),
+    )
+    return out, obs

@@ -61,7 +61,7 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
                charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
-               prune_limit: int = MANIFEST_PRUNE_LIMIT) -> DataFrame:
+               prune_limit: int = MANIFEST_PRUNE_LIMIT, line_sep_regex: str | None = None) -> DataFrame:
     """Raw scan: ``(file, block, m, line)`` with ``m`` consecutive inside each split.
 
     Files are filtered by name at listing time (``pathGlobFilter``) when the rule is a plain
@@ -78,8 +78,10 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
     glob = _simple_glob(match)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if not _ASCII_COMPATIBLE.match(charset) and charset.lower().replace("-", "") != "utf8":
-        return _scan_whole_files(spark, paths, match, charset, line_sep)
+    if line_sep_regex is not None or (not _ASCII_COMPATIBLE.match(charset)
+                                      and charset.lower().replace("-", "") != "utf8"):
+        out = _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex)
+        return skip_processed(out, processed) if processed is not None else out
     df = reader.text(paths)
     rx = match_regex(match) if not glob else None
     if rx:
@@ -114,9 +116,10 @@ def _file_col(uri):
     return F.regexp_replace(uri, r"^file:(//)?(?=/)", "")
 
 
-def _scan_whole_files(spark, paths, match, charset, line_sep) -> DataFrame:
-    """Charsets that are not ASCII-compatible (e.g. UTF-16): decode each file whole, then split.
-    A file is one row here, so this path is bounded by the largest file (2 GB per value)."""
+def _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex=None) -> DataFrame:
+    """Charsets that are not ASCII-compatible (e.g. UTF-16), or a delimiter given as a regex (the
+    reference's delimiter is a regex): decode each file whole, then split.  A file is one row
+    here, so this path is bounded by the largest file (2 GB per value)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     glob = _simple_glob(match)
     if glob:
@@ -126,7 +129,7 @@ def _scan_whole_files(spark, paths, match, charset, line_sep) -> DataFrame:
     if rx:
         df = df.filter(F.col("_metadata.file_name").rlike(rx))
     text = F.decode(F.col("content"), charset)
-    parts = F.split(text, re.escape(line_sep), -1)
+    parts = F.split(text, line_sep_regex if line_sep_regex is not None else re.escape(line_sep), -1)
     # a trailing separator does not start another line
     parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
     exploded = df.select(_file_col(F.col("path")).alias("file"),
@@ -157,16 +160,19 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS) ->
 def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
                    charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
                    offsets: DataFrame | None = None, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
-                   allow_empty: bool = False, rebalance: int | None = None) -> DataFrame:
+                   allow_empty: bool = False, rebalance: int | None = None,
+                   line_sep_regex: str | None = None) -> DataFrame:
     """All lines of the matching files below ``paths`` (sub-directories always descended).
 
     ``processed``: a manifest ``(file)`` of files to skip (left-anti, see :func:`skip_processed`).
     ``offsets``: ``(file, last_line)``; only lines after ``last_line`` are returned (tailing).
+    ``line_sep_regex``: split lines on a regular expression instead of ``line_sep`` (whole-file
+    decoding, see :func:`_scan_whole_files`).
     ``rebalance``: spread the numbered lines round-robin over that many partitions (for inputs of
     a few large gzip files, which are read one task per file).
     Raises when the directory is missing, or when no file matches and ``allow_empty`` is false.
     """
-    raw = scan_lines(spark, paths, match, charset, line_sep, processed=processed)
+    raw = scan_lines(spark, paths, match, charset, line_sep, processed=processed, line_sep_regex=line_sep_regex)
     if not allow_empty and raw.select("file").limit(1).count() == 0:
         raise NoInputFiles(f"no file matching {match!r} below {paths}")
     lines = number_lines(raw, broadcast_rows=broadcast_rows)

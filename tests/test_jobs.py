@@ -168,3 +168,13 @@ def test_ignore_before(spark):
     df = spark.sql("select * from values (timestamp'2024-01-01 00:00:00'), (timestamp'2024-02-01 00:00:00'), "
                    "(cast(null as timestamp)) as t(ts)")
     assert ignore_before(df, "2024-01-15T00:00:00").count() == 2
+
+
+def test_observed_run_stats(lines_of):
+    from logweave.operators.stats import observe_run
+    good = '1.2.3.4 - - [10/Oct/2000:13:55:36 -0700] "GET / HTTP/1.1" 200 1'
+    lines = lines_of({"f": "\n".join([good, "", "garbage", good])})
+    st = status_of(grok_extract(normalize_lines(lines, keep_blank=True)))
+    out, obs = observe_run(st)
+    assert out.where("status = 'doc'").count() == 2       # the sink's own action
+    assert obs.get == {"lines_read": 4, "lines_parsed": 3, "lines_skipped": 1, "docs": 2}

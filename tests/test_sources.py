@@ -102,3 +102,9 @@ def test_manifest_and_offsets(spark, tmp_path):
         ("one.log", 3), ("one.log", 4), ("two.log", 1), ("two.log", 2)]
     kept2 = skip_processed(all_lines, spark.createDataFrame([(one,)], "file string"))
     assert kept2.where(F.col("file") == one).count() == 0
+
+
+def test_regex_line_delimiter(spark, tmp_path):
+    (tmp_path / "r.log").write_text("a;;b;c;;;d")
+    rows = read_log_lines(spark, str(tmp_path), line_sep_regex=";+").orderBy("line_num").collect()
+    assert [(r.line_num, r.line) for r in rows] == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
