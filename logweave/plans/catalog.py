@@ -448,6 +448,37 @@ FROM l GROUP BY source
 """
 
 
+# --- T1: watching a directory (Structured Streaming file source, availableNow) -------------------
+def stream_files(spark: SparkSession, d: str) -> DataFrame:
+    """The documents as text files below the shared folder, picked up by :func:`watch_directory`
+    (one availableNow run), numbered per micro-batch and written to a table; per source: what was
+    read."""
+    from ..streaming.watch import watch_directory
+
+    prepare(spark)
+    base = scratch_path(spark, f"stream-files-{uuid.uuid4().hex}")
+    docs = R.table(spark, d, "documents").select("source", "text")
+    docs.write.partitionBy("source").text(f"{base}/in")
+    out = f"{base}/out"
+
+    def handler(lines: DataFrame, batch_id: int) -> None:
+        lines.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    q = watch_directory(spark, f"{base}/in", handler, f"{base}/checkpoint", match=r".*\.txt",
+                        trigger={"availableNow": True})
+    q.awaitTermination()
+    lines = spark.read.parquet(out)
+    per_file = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("line_num").alias("lo"), F.max("line_num").alias("hi"),
+        F.sum(F.when(F.trim(F.col("line"), F.lit("".join(chr(c) for c in range(33)))) != "", 1).otherwise(0)).alias("nonblank"),
+        F.sum(F.length("line")).alias("chars"))
+    per_file = per_file.withColumn("source", F.regexp_extract("file", r"/source=([^/]+)/", 1))
+    return per_file.groupBy("source").agg(
+        F.sum("n").cast("bigint").alias("lines_read"), F.sum("nonblank").cast("bigint").alias("nonblank"),
+        F.sum("chars").cast("bigint").alias("chars"),
+        F.bool_and((F.col("lo") == 1) & (F.col("hi") == F.col("n"))).alias("numbering_ok"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "apache_extract": (apache_extract, SQL_APACHE),
     "typed_captures": (typed_captures, SQL_TYPED),
@@ -468,4 +499,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "run_stats": (run_stats_query, SQL_RUN_STATS),
     "tail_offsets": (tail_offsets, SQL_TAIL),
     "read_files": (read_files, SQL_READ_FILES),
+    "stream_files": (stream_files, SQL_READ_FILES),
 }
