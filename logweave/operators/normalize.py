@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import materialize
 from ..functions.text import collapse_ws, java_trim
 
 
 def normalize_lines(lines: DataFrame, col: str = "line", keep_blank: bool = False) -> DataFrame:
     """Java-style trim of every line; blank lines are dropped (they never reach a parser, and
     count as parsed in the statistics).  ``keep_blank=True`` keeps them with an empty string."""
-    out = lines.withColumn(col, java_trim(F.col(col)))
+    # the trimmed line sits behind the generator barrier: the blank-line filter is not inlined
+    # (and pushed down to the scan) as a second copy of everything that produced the line
+    cols = [c for c in lines.columns if c != col]
+    out = materialize(lines, "__trimmed", java_trim(F.col(col))).select(*cols, F.col("__trimmed").alias(col))
     return out if keep_blank else out.where(F.col(col) != "")
 
 
