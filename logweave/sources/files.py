@@ -92,10 +92,9 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
         small = m.limit(prune_limit + 1).collect()
         if len(small) <= prune_limit:
             done = [r.file for r in small]
-            # both spellings of a local path: as listed (file: URI) and as reported
-            uris = done + ["file:" + f for f in done if f.startswith("/")] + ["file://" + f for f in done if f.startswith("/")]
-            if uris:
-                df = df.filter(~F.col("_metadata.file_path").isin(uris))
+            if done:
+                # a predicate on metadata only: Spark applies it while listing files
+                df = df.filter(~_file_col(F.col("_metadata.file_path")).isin(done))
         else:
             anti = m
     text = F.col("value")
@@ -112,8 +111,11 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
 
 
 def _file_col(uri):
-    # local files: the absolute path the reference reports; other schemes keep their URI
-    return F.regexp_replace(uri, r"^file:(//)?(?=/)", "")
+    """The file's path as the reference reports it: percent-escapes of the URI decoded ('+' is a
+    literal plus in a URI, so it is protected from form decoding), and for local files without
+    the ``file:`` scheme.  Other schemes keep their scheme and authority."""
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, r"^file:(//)?(?=/)", "")
 
 
 def _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex=None) -> DataFrame:

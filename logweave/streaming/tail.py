@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.multiline import START
 from ..session import scratch_path
-from ..sources.files import DEFAULT_MATCH, number_lines, scan_lines
+from ..sources.files import DEFAULT_MATCH, _file_col, number_lines, scan_lines
 
 OFFSETS_SCHEMA = "file string, last_line bigint, size bigint, mtime timestamp"
 
@@ -64,7 +64,7 @@ def tail_once(spark: SparkSession, path: str, handler: Callable[[DataFrame], Non
     meta = (spark.read.option("recursiveFileLookup", "true").format("binaryFile")
             .load(path).select("path", "length", "modificationTime"))
     # file facts: size, mtime, whether the last line is complete
-    files = meta.select(F.regexp_replace("path", r"^file:(//)?(?=/)", "").alias("file"),
+    files = meta.select(_file_col(F.col("path")).alias("file"),
                         F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
     complete = raw.groupBy("file").agg(F.sum(F.length(F.encode("line", "UTF-8")) + 1).alias("__bytes"))
     lines = number_lines(raw)

@@ -108,3 +108,16 @@ def test_regex_line_delimiter(spark, tmp_path):
     (tmp_path / "r.log").write_text("a;;b;c;;;d")
     rows = read_log_lines(spark, str(tmp_path), line_sep_regex=";+").orderBy("line_num").collect()
     assert [(r.line_num, r.line) for r in rows] == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+
+
+def test_paths_with_special_characters(spark, tmp_path):
+    d = tmp_path / "dir a b" / "x%y"
+    d.mkdir(parents=True)
+    (d / "f +1.log").write_text("l1\nl2\n")
+    files = {r.file for r in read_log_lines(spark, str(tmp_path)).select("file").distinct().collect()}
+    assert files == {str(d / "f +1.log")}
+    man = tmp_path / "m.txt"
+    man.write_text(str(d / "f +1.log") + "\n")
+    (tmp_path / "other.log").write_text("o\n")
+    kept = read_log_lines(spark, str(tmp_path), processed=read_manifest(spark, str(man)))
+    assert [r.line for r in kept.collect()] == ["o"]
