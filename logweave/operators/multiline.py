@@ -127,7 +127,7 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
     if map_col:
         part_cols.append(F.when(F.size("__maps") > 0, _fold_maps(F.col("__maps"), "m")).alias("__map"))
     if text_col:
-        part_cols.append(F.when(F.size("__texts") > 0, F.array_join(F.transform("__texts", lambda x: x["t"]), "")).alias("__text"))
+        part_cols.append(F.when(F.size("__texts") > 0, F.array_join(F.col("__texts")["t"], "")).alias("__text"))
     part = part.select(*part_cols)
 
     # level 2: across chunks of one record
@@ -154,7 +154,7 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
         out_cols.append(merged.alias(map_col))
         nonempty = nonempty | (F.coalesce(F.size(merged), F.lit(0)) > 0)
     if text_col:
-        joined = F.when(F.size("__texts") > 0, F.array_join(F.transform("__texts", lambda x: x["t"]), ""))
+        joined = F.when(F.size("__texts") > 0, F.array_join(F.col("__texts")["t"], ""))
         out_cols.append(joined.alias(text_col))
         nonempty = nonempty | joined.isNotNull()
     out = rec.select(*out_cols, nonempty.alias("emitted"))

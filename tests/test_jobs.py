@@ -178,3 +178,17 @@ def test_observed_run_stats(lines_of):
     out, obs = observe_run(st)
     assert out.where("status = 'doc'").count() == 2       # the sink's own action
     assert obs.get == {"lines_read": 4, "lines_parsed": 3, "lines_skipped": 1, "docs": 2}
+
+
+def test_search_log_split_invariance(spark):
+    """Tiny file splits and tiny chunks give the same records as one split and one chunk."""
+    def records(max_bytes, chunk):
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", max_bytes)
+        try:
+            lines = normalize_lines(read_log_lines(spark, DATA, match="search.log"))
+            return sorted((r.line_i, r.n_lines, r.message_txt_en) for r in
+                          solr_log(lines, "%{SOLR_651_LOG4J}", chunk_lines=chunk).collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert records("300", 2) == records("134217728", 1 << 20)
