@@ -13,7 +13,7 @@ from ..functions.grok import PatternLibrary, compile_grok
 from ..functions.plan import materialize
 from ..functions.text import file_line_id
 from ..functions.timefmt import iso_string, parse_timestamp
-from ..session import ensure_utc
+from ..session import ensure_utc, prepare
 from .normalize import swap_delimiter
 
 DEFAULT_GROK = "%{COMMONAPACHELOG}"
@@ -94,14 +94,9 @@ def json_lines(lines: DataFrame, schema=None, col: str = "line") -> DataFrame:
     string or StructType): its columns.  Malformed lines, arrays, scalars and ``null`` lines are
     rejected (``_matched`` false).
     """
+    prepare(lines.sparkSession)  # LAST_WIN: rebuilding the map keeps a repeated key's last value
     m = F.from_json(F.col(col), "map<string,variant>")
-    keys = F.map_keys(m)
-    dedup = F.when(F.size(keys) == F.size(F.array_distinct(keys)), m).otherwise(
-        F.map_from_entries(F.filter(
-            F.map_entries(m),
-            lambda e, i: ~F.exists(F.slice(F.map_entries(m), i + 2, F.size(keys)), lambda x: x["key"] == e["key"]),
-        )))
-    fields = F.map_filter(dedup, lambda k, v: ~F.is_variant_null(v))
+    fields = F.map_filter(F.map_from_entries(F.map_entries(m)), lambda k, v: ~F.is_variant_null(v))
     out = materialize(lines, "fields", fields).withColumn("_matched", F.col("fields").isNotNull())
     if schema is not None:
         typed = F.from_json(F.col(col), schema)

@@ -5,7 +5,7 @@ line, which is then ignored).  The rules of the reference, per file in line orde
 
 * START closes the open buffer (emitting it when non-empty) and opens a new one holding the line's
   fields and ``line_i`` = its line number.
-* CONT merges its fields (a later value wins); END merges and closes.
+* CONT merges its fields (a later value wins, as ``putAll`` does); END merges and closes.
 * SKIP changes nothing; it counts as skipped.
 * A buffer is emitted when it is non-empty: it has a START, or some field value.  Lines of a
   closed-but-empty buffer (END with nothing buffered) count as skipped.
@@ -25,16 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.plan import materialize
+from ..session import prepare
 
 START, CONT, END, SKIP = "START", "CONT", "END", "SKIP"
 CHUNK_LINES = 1 << 20
 
 
-def _merge_maps(acc: Column, nxt: Column) -> Column:
-    # union of keys, the later map's value wins where present
-    return F.map_zip_with(acc, nxt, lambda k, a, b: F.coalesce(b, a))
-
-
 def _keep_columns(df: DataFrame, flag: str) -> Column:
     """An aggregate that is always 0 and references every column of ``df`` without evaluating
     them (``flag`` is 0 or 1); it is added to a needed total.  It keeps column pruning from narrowing this branch, so its shuffle is identical to
@@ -48,8 +44,9 @@ def _sort_by_k(items: Column) -> Column:
 
 
 def _fold_maps(sorted_items: Column, field: str) -> Column:
-    empty = F.create_map().cast("map<string,string>")
-    return F.aggregate(sorted_items, empty, lambda acc, x: _merge_maps(acc, F.coalesce(x[field], empty)))
+    """The maps of ``sorted_items`` merged in order, a later entry winning: their entries are
+    concatenated and one map is built under the session's LAST_WIN key policy."""
+    return F.map_from_entries(F.flatten(F.transform(sorted_items[field], F.map_entries)))
 
 
 def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[str] = (),
@@ -67,6 +64,8 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
     n_lines`` (START/CONT/END lines), ``has_end, orphan``, the merged columns and, with
     ``keep_empty``, also non-emitted buffers (``emitted`` false) for the statistics.
     """
+    if map_col:
+        prepare(lines.sparkSession)  # LAST_WIN policy for merging maps
     fields = list(fields)
     st = F.col(state_col)
     base = lines.where(st.isin(START, CONT, END))
