@@ -140,8 +140,20 @@ def _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex=Non
                            F.col("pos").cast("bigint").alias("m"), "line")
 
 
-def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS) -> DataFrame:
-    """``(file, block, m, line)`` → ``(file, line_num, line)`` with exact 1-based line numbers."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote (e.g. a split table once its job has finished)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
+
+
+def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
+                 written: list[str] | None = None) -> DataFrame:
+    """``(file, block, m, line)`` → ``(file, line_num, line)`` with exact 1-based line numbers.
+    ``written`` collects the folder of the split table, for callers that delete it after their
+    action (long-running streams do)."""
     spark = raw.sparkSession
     checkpoint_dir(spark)
     splits = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("rows"), F.min("m").alias("m0"))
@@ -152,6 +164,8 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS) ->
     # recomputes it) and counted before deciding how to join it
     path = scratch_path(spark, f"splits-{uuid.uuid4().hex}")
     splits.write.parquet(path)
+    if written is not None:
+        written.append(path)
     splits = spark.read.parquet(path)
     n_splits = splits.count()
     side = F.broadcast(splits) if n_splits <= broadcast_rows else splits

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.multiline import START
 from ..session import scratch_path
-from ..sources.files import DEFAULT_MATCH, _file_col, number_lines, scan_lines
+from ..sources.files import DEFAULT_MATCH, _file_col, delete_path, number_lines, scan_lines
 
 OFFSETS_SCHEMA = "file string, last_line bigint, size bigint, mtime timestamp"
 
@@ -67,7 +67,8 @@ def tail_once(spark: SparkSession, path: str, handler: Callable[[DataFrame], Non
     files = meta.select(_file_col(F.col("path")).alias("file"),
                         F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
     complete = raw.groupBy("file").agg(F.sum(F.length(F.encode("line", "UTF-8")) + 1).alias("__bytes"))
-    lines = number_lines(raw)
+    written: list[str] = []
+    lines = number_lines(raw, written=written)
     # per-file tables: no broadcast hint, Spark broadcasts them only when their size allows
     o = offsets.select(F.col("file").alias("__of"), F.col("last_line").alias("__last"))
     fresh = (lines.join(o, F.col("file") == F.col("__of"), "left")
@@ -95,4 +96,6 @@ def tail_once(spark: SparkSession, path: str, handler: Callable[[DataFrame], Non
                            .cast("bigint").alias("last_line"), "size", "mtime"))
     new_offsets.write.mode("overwrite").parquet(f"{state_dir}/v={version + 1}")
     fi.unpersist()
+    for path in written:
+        delete_path(spark, path)
     return spark.read.parquet(f"{state_dir}/v={version + 1}")
