@@ -31,12 +31,12 @@ START, CONT, END, SKIP = "START", "CONT", "END", "SKIP"
 CHUNK_LINES = 1 << 20
 
 
-def _keep_columns(df: DataFrame, flag: str) -> Column:
+def _keep_columns(df: DataFrame, flag: str, aggregate: bool = True) -> Column:
     """An aggregate that is always 0 and references every column of ``df`` without evaluating
     them (``flag`` is 0 or 1); it is added to a needed total.  It keeps column pruning from narrowing this branch, so its shuffle is identical to
     the other branch's and Spark reuses it: the input is computed once."""
     never = F.when(F.col(flag) < 0, F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-    return F.coalesce(F.max(never), F.lit(0))
+    return F.coalesce(F.max(never), F.lit(0)) if aggregate else F.coalesce(never, F.lit(0))
 
 
 def _sort_by_k(items: Column) -> Column:
@@ -86,7 +86,12 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
         "*",
         F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__s_in"),
         F.coalesce(F.sum("__e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__e_in"),
+        F.lead("__s").over(w).alias("__next_s"),
     )
+    # fast path: a START directly followed (in its chunk) by another START is a whole one-line
+    # record; it needs neither the record key nor the aggregation.  The condition reads every
+    # column so this branch keeps the same (reused) shuffle as the others.
+    single = F.coalesce((F.col("__s") == 1) & (F.col("__next_s") == 1) & (F.col("__e") == 0), F.lit(False))
     # per-chunk totals → rows of earlier chunks of the same file (small table).  Taken from the
     # window's running sums, so both branches read the same (reused) exchange: the input is
     # parsed once.
@@ -102,7 +107,8 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
     # null-safe keys: an ordinary equi-join makes the optimizer infer IS NOT NULL filters and
     # push them into the two branches differently, which would keep Spark from reusing the shuffle
     p = prefix.select(F.col("file").alias("__pf"), F.col("__chunk").alias("__pc"), "__before")
-    keyed = ranked.join(p, F.col("file").eqNullSafe(F.col("__pf")) & F.col("__chunk").eqNullSafe(F.col("__pc")))
+    rest = ranked.where(~single)
+    keyed = rest.join(p, F.col("file").eqNullSafe(F.col("__pf")) & F.col("__chunk").eqNullSafe(F.col("__pc")))
     keyed = keyed.drop("__pf", "__pc").withColumn("__entry", F.col("__before") + F.col("__s_in") + F.col("__e_in"))
 
     # level 1: inside one chunk (no new shuffle)
@@ -157,6 +163,17 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
         out_cols.append(joined.alias(text_col))
         nonempty = nonempty | joined.isNotNull()
     out = rec.select(*out_cols, nonempty.alias("emitted"))
+    fast_cols = [F.col("file"), F.col("line_num").alias("line_i"), F.col("line_num").alias("first_line"),
+                 F.col("line_num").alias("last_line"), F.lit(1).cast("bigint").alias("n_lines"),
+                 F.lit(False).alias("has_end"), F.lit(False).alias("orphan")]
+    fast_cols += [F.col(f"`{f}`").alias(f) for f in fields]
+    if map_col:
+        fast_cols.append(F.when(F.col("__map").isNotNull(), F.map_from_entries(F.map_entries("__map"))).alias(map_col))
+    if text_col:
+        fast_cols.append(F.col("__text").alias(text_col))
+    fast = ranked.where(single & _keep_columns(ranked, "__s", aggregate=False).isNotNull()) \
+        .select(*fast_cols, F.lit(True).alias("emitted"))
+    out = out.unionByName(fast)
     return out if keep_empty else out.where("emitted").drop("emitted")
 
 
