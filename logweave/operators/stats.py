@@ -10,6 +10,7 @@ from ..functions.text import java_trim
 from .multiline import SKIP
 
 BLANK, DOC, SKIPPED = "blank", "doc", "skip"
+BLANK_STATE = "BLANK"  # state of a blank line in a classification that keeps them
 
 
 def line_status(lines: DataFrame, parsed: DataFrame, matched_col: str = "_matched", routed: bool = False) -> DataFrame:
@@ -70,6 +71,28 @@ def multiline_file_stats(lines: DataFrame, classified: DataFrame, records_all: D
         F.coalesce("docs", z).alias("docs"))
 
 
+def multiline_stats(classified: DataFrame, records_all: DataFrame) -> DataFrame:
+    """Like :func:`multiline_file_stats` with one pass fewer: ``classified`` holds every
+    physical line with its ``state`` (``BLANK`` for blank lines, NULL where the classifier
+    failed), so lines read, blank and SKIP lines come from one aggregation."""
+    st = F.col("state")
+    per_line = classified.groupBy("file").agg(
+        F.count(F.lit(1)).alias("lines_read"),
+        F.sum(F.when(st == BLANK_STATE, 1).otherwise(0)).cast("bigint").alias("__blank"),
+        F.sum(F.when(st == SKIP, 1).otherwise(0)).cast("bigint").alias("__skip"))
+    per_rec = records_all.groupBy("file").agg(
+        F.sum(F.when(F.col("emitted"), 1).otherwise(0)).cast("bigint").alias("docs"),
+        F.sum(F.when(F.col("emitted"), F.col("n_lines")).otherwise(0)).cast("bigint").alias("__rec_lines"),
+        F.sum(F.when(~F.col("emitted") & F.col("has_end"), F.col("n_lines")).otherwise(0)).cast("bigint").alias("__empty_end"))
+    z = F.lit(0).cast("bigint")
+    out = per_line.join(per_rec, "file", "left")
+    return out.select(
+        "file", "lines_read",
+        (F.col("__blank") + F.coalesce("__rec_lines", z)).alias("lines_parsed"),
+        (F.col("__skip") + F.coalesce("__empty_end", z)).alias("lines_skipped"),
+        F.coalesce("docs", z).alias("docs"))
+
+
 def run_stats(stats: DataFrame) -> DataFrame:
     """Totals over :func:`file_stats`: files, documents, lines read / parsed / skipped."""
     return stats.agg(

@@ -18,7 +18,7 @@ from ..operators.extract import dns_log, grok_extract, json_lines, normalize_tim
 from ..operators.multiline import xml_field_docs
 from ..operators.normalize import ignore_before, normalize_lines, route_unmatched
 from ..operators.solr import solr_log
-from ..operators.stats import file_stats, multiline_file_stats, run_stats, status_of
+from ..operators.stats import file_stats, multiline_stats, run_stats, status_of
 from ..session import prepare, scratch_path
 from ..sinks.batches import batch_documents_by_key
 from ..sources.files import after_offsets, read_log_lines, skip_processed
@@ -331,12 +331,18 @@ UNION ALL SELECT CAST(c_custkey AS VARCHAR), '_src_', file || ':' || CAST(line_i
 
 def xml_file_stats(spark: SparkSession, d: str) -> DataFrame:
     prepare(spark)
-    from ..operators.multiline import classify_xml
-    raw = R.xml_lines_of(R.table(spark, d, "customer"))
-    lines = normalize_lines(raw)
-    state, _ = classify_xml(F.col("line"))
-    classified = lines.select("file", "line_num", state.alias("state"))
-    return multiline_file_stats(raw, classified, xml_field_docs(lines, keep_empty=True))
+    from ..functions.plan import materialize
+    from ..operators.multiline import assemble_records, classify_xml
+    from ..operators.stats import BLANK_STATE
+    # every physical line classified once, blank ones kept as BLANK: two passes in all
+    lines = normalize_lines(R.xml_lines_of(R.table(spark, d, "customer")), keep_blank=True)
+    state, fields = classify_xml(F.col("line"))
+    state = F.when(F.col("line") == "", F.lit(BLANK_STATE)).otherwise(state)
+    classified = materialize(lines.select("file", "line_num", "line"), "__x",
+                             F.struct(state.alias("state"), fields.alias("fields"))) \
+        .select("file", "line_num", "__x.state", "__x.fields")
+    records = assemble_records(classified, map_col="fields", keep_empty=True)
+    return multiline_stats(classified, records)
 
 
 SQL_XML_STATS = f"""

@@ -39,6 +39,13 @@ def test_xml_golden(spark):
                               xml_field_docs(norm, keep_empty=True)).first()
     assert (st.lines_read, st.lines_parsed, st.lines_skipped, st.docs) == (44, 42, 2, 6)
     assert "\"id\"" in preview_documents(to_documents(recs)).first().json
+    # one-pass variant over lines classified with blanks kept
+    from logweave.operators.stats import BLANK_STATE, multiline_stats
+    all_lines = normalize_lines(lines, keep_blank=True)
+    cls = all_lines.select("file", "line_num", F.when(F.col("line") == "", F.lit(BLANK_STATE)).otherwise(state).alias("state"),
+                           classify_xml(F.col("line"))[1].alias("fields"))
+    st2 = multiline_stats(cls, assemble_records(cls, map_col="fields", keep_empty=True)).first()
+    assert (st2.lines_read, st2.lines_parsed, st2.lines_skipped, st2.docs) == (44, 42, 2, 6)
 
 
 def test_multiline_rules(spark):
