@@ -14,6 +14,7 @@ from .operators.normalize import (collapse_whitespace, ignore_before, normalize_
                                   route_unmatched, split_unmatched, swap_delimiter)
 from .operators.solr import explode_params, solr_log, solr_request_fields, unpack_mdc
 from .operators.stats import endpoint_stats, file_stats, line_status, multiline_file_stats, run_stats
+from .plans.jobs import index_directory
 from .session import get_session, prepare
 from .sinks.batches import batch_documents, batch_documents_by_key
 from .sinks.deliver import deliver, update_manifest, write_documents
@@ -30,7 +31,7 @@ __all__ = [
     "split_unmatched", "swap_delimiter",
     "explode_params", "solr_log", "solr_request_fields", "unpack_mdc",
     "endpoint_stats", "file_stats", "line_status", "multiline_file_stats", "run_stats",
-    "get_session", "prepare",
+    "get_session", "prepare", "index_directory",
     "batch_documents", "batch_documents_by_key",
     "deliver", "update_manifest", "write_documents",
     "after_offsets", "from_line", "read_log_lines", "read_manifest", "skip_processed",

@@ -148,3 +148,22 @@ def test_tail_multiline_hold_back_and_idle_flush(spark, tmp_path):
     assert seen == [1, 2]
     tail_once(spark, str(src), handler, state, classify=classify, idle_seconds=0)   # idle: flush
     assert seen == [1, 2, 3, 4, 5]
+
+
+def test_index_directory_end_to_end(spark, tmp_path):
+    import shutil
+    from logweave.operators.multiline import xml_field_docs
+    from logweave.plans.jobs import index_directory
+    from conftest import DATA
+    src = tmp_path / "in"
+    src.mkdir()
+    shutil.copy(os.path.join(DATA, "people.xml"), src / "a.xml")
+    out, man = str(tmp_path / "docs"), str(tmp_path / "manifest")
+    stats = index_directory(spark, str(src), xml_field_docs, match="*.xml", manifest=man, write_to=out)
+    assert [r.docs for r in stats.collect()] == [6]
+    # second pass: the file is in the manifest, nothing new is read
+    shutil.copy(os.path.join(DATA, "people.xml"), src / "b.xml")
+    index_directory(spark, str(src), xml_field_docs, match="*.xml", manifest=man, write_to=out)
+    docs = spark.read.parquet(out)
+    assert docs.count() == 12 and docs.select("id").distinct().count() == 6
+    assert sorted(r.file.rsplit("/", 1)[1] for r in read_manifest(spark, man).collect()) == ["a.xml", "b.xml"]
