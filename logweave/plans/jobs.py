@@ -41,7 +41,8 @@ def index_directory(spark: SparkSession, path: str, parse: Callable[[DataFrame],
             processed.limit(1).count()
         except Exception:  # no manifest yet: nothing processed
             processed = None
-    lines = read_log_lines(spark, path, match=match, processed=processed)
+    # every file already processed is not an error (only "nothing matches at all" is)
+    lines = read_log_lines(spark, path, match=match, processed=processed, allow_empty=processed is not None)
     records = parse(normalize_lines(lines))
     docs = to_documents(records, id_field=id_field)
     if write_to is None and not (endpoints and post):

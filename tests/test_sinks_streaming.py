@@ -167,3 +167,6 @@ def test_index_directory_end_to_end(spark, tmp_path):
     docs = spark.read.parquet(out)
     assert docs.count() == 12 and docs.select("id").distinct().count() == 6
     assert sorted(r.file.rsplit("/", 1)[1] for r in read_manifest(spark, man).collect()) == ["a.xml", "b.xml"]
+    # a pass with every file processed reads nothing and is not an error
+    index_directory(spark, str(src), xml_field_docs, match="*.xml", manifest=man, write_to=out)
+    assert spark.read.parquet(out).count() == 12
