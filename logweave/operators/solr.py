@@ -28,14 +28,14 @@ def unpack_mdc(df: DataFrame, mdc_col: str = "mdc_s") -> DataFrame:
     two parts (trailing empty parts are dropped, as Java's ``split`` does); a later token wins; a
     column keeps its value when its key is absent.  One regex per key, no per-token lambdas."""
     mdc = F.col(mdc_col)
-    out = df
+    cols = {}
     for key, name in MDC_KEYS:
         # last whitespace-delimited token "key:value" followed only by ':'s
         rx = rf"(?s)^.*(?:^|\s){key}:([^:\s]+):*(?:\s|$)"
         v = F.nullif(F.regexp_extract(mdc, rx, 1), F.lit(""))
         cur = F.col(name) if name in df.columns else F.lit(None).cast("string")
-        out = out.withColumn(name, F.coalesce(v, cur))
-    return out
+        cols[name] = F.coalesce(v, cur)
+    return df.withColumns(cols)
 
 
 # a key (text before the first '='), other than '_', that does not end in "_s" gets the suffix

@@ -150,7 +150,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
-                 written: list[str] | None = None) -> DataFrame:
+                 written: list[str] | None = None, require_input: str | None = None) -> DataFrame:
     """``(file, block, m, line)`` → ``(file, line_num, line)`` with exact 1-based line numbers.
     ``written`` collects the folder of the split table, for callers that delete it after their
     action (long-running streams do)."""
@@ -168,6 +168,8 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
         written.append(path)
     splits = spark.read.parquet(path)
     n_splits = splits.count()
+    if require_input and n_splits == 0:
+        raise NoInputFiles(require_input)
     side = F.broadcast(splits) if n_splits <= broadcast_rows else splits
     return (raw.join(side, ["file", "block"])
             .select("file", (F.col("m") - F.col("m0") + 1 + F.col("offset")).alias("line_num"), "line"))
@@ -189,9 +191,9 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
     Raises when the directory is missing, or when no file matches and ``allow_empty`` is false.
     """
     raw = scan_lines(spark, paths, match, charset, line_sep, processed=processed, line_sep_regex=line_sep_regex)
-    if not allow_empty and raw.select("file").limit(1).count() == 0:
-        raise NoInputFiles(f"no file matching {match!r} below {paths}")
-    lines = number_lines(raw, broadcast_rows=broadcast_rows)
+    # the split table's count doubles as the "nothing matched" check (no extra job)
+    lines = number_lines(raw, broadcast_rows=broadcast_rows,
+                         require_input=None if allow_empty else f"no file matching {match!r} below {paths}")
     if offsets is not None:
         lines = after_offsets(lines, offsets)
     if rebalance:
