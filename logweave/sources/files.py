@@ -8,9 +8,10 @@ line text is never shuffled:
 * A small table with one row per split ``(file, block_start) → (rows, min m)`` is computed and
   written to the shared checkpoint folder, and the rows of earlier splits of the same file are prefix-summed over that
   small table only.
-* ``line_num = m − min_m + 1 + rows in earlier splits``.  The split table is joined back with a
-  broadcast when its (counted) size is below ``broadcast_rows``; beyond that a shuffle join is
-  used instead, so the plan never broadcasts a table whose size is unchecked.
+* ``line_num = m − min_m + 1 + rows in earlier splits``.  The split table holds numbers only
+  (file hash, block, id range, offset; about 40 bytes a split) and is joined back with a
+  broadcast when its counted size is below ``broadcast_rows``; beyond that a shuffle join is used
+  instead, so the plan never broadcasts a table whose size is unchecked.
 
 Gzip files are read by the text source's codec (one task per file, as gzip cannot be split).
 """
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir, scratch_path
 
 DEFAULT_MATCH = "*.log"
-SPLIT_BROADCAST_ROWS = 200_000
+SPLIT_BROADCAST_ROWS = 1_000_000
 MANIFEST_PRUNE_LIMIT = 10_000
 # Charsets whose bytes 0x00-0x7F are ASCII: lines can be split on b"\n" before decoding.
 _ASCII_COMPATIBLE = re.compile(r"^(utf-?8|us-ascii|ascii|iso-8859-\d+|latin-?1|windows-125\d|cp125\d)$", re.I)
@@ -158,7 +159,10 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
     checkpoint_dir(spark)
     splits = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("rows"), F.min("m").alias("m0"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("file", "block", "m0",
+    # numbers only (about 40 bytes per split): the file is keyed by its 64-bit hash, and the id
+    # range [m0, m0 + rows) of the split -- disjoint from every other split's -- keeps the join
+    # exact even if two paths shared a hash
+    splits = splits.select(F.xxhash64("file").alias("__fh"), F.col("block").alias("__blk"), "m0", "rows",
                            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     # small table, written once to the shared folder (cuts the lineage; a retried task never
     # recomputes it) and counted before deciding how to join it
@@ -171,7 +175,9 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
     if require_input and n_splits == 0:
         raise NoInputFiles(require_input)
     side = F.broadcast(splits) if n_splits <= broadcast_rows else splits
-    return (raw.join(side, ["file", "block"])
+    cond = ((F.xxhash64(raw["file"]) == F.col("__fh")) & (raw["block"] == F.col("__blk"))
+            & (raw["m"] >= F.col("m0")) & (raw["m"] < F.col("m0") + F.col("rows")))
+    return (raw.join(side, cond)
             .select("file", (F.col("m") - F.col("m0") + 1 + F.col("offset")).alias("line_num"), "line"))
 
 
