@@ -50,7 +50,9 @@ def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | N
                   and not c.startswith("__")]
     entry = "struct<name:string,value:string>"
     empty = F.array().cast(f"array<{entry}>")
-    col_entries = [F.struct(F.lit(f).alias("name"), _as_string(F.col(f"`{f}`"), dtypes[f]).alias("value"))
+    # without map columns names need no de-duplication, so they are lower-cased right here
+    col_entries = [F.struct(F.lit(f if map_cols else f.lower()).alias("name"),
+                            _as_string(F.col(f"`{f}`"), dtypes[f]).alias("value"))
                    for f in fields]
     arr = F.filter(F.array(*col_entries).cast(f"array<{entry}>") if col_entries else empty,
                    lambda e: e["value"].isNotNull())
@@ -72,7 +74,8 @@ def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | N
         rev = F.reverse(arr)
         names = F.transform(rev, lambda e: e["name"])
         arr = F.filter(rev, lambda e, i: F.array_position(names, e["name"]) == i + 1)
-    lowered = F.transform(arr, lambda e: F.struct(F.lower(e["name"]).alias("name"), e["value"].alias("value")))
+    lowered = F.transform(arr, lambda e: F.struct(F.lower(e["name"]).alias("name"), e["value"].alias("value"))) \
+        if map_cols else arr
     if keep_source:
         lowered = F.when(F.col("__own"), F.concat(lowered, F.array(F.struct(
             F.lit("_src_").alias("name"), F.col("__src").alias("value"))))).otherwise(lowered)
