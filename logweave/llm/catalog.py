@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from logweave.llm import perplexity
+from logweave.llm import mixing, packing, perplexity, token_matrix, topk, wordpiece
 
 QUERIES = {
+    "op1_mixing": (mixing.op1_mixing, None),
+    "op4_topk": (topk.op4_topk, topk.OP4_SQL),
+    "op5_token_counts": (wordpiece.op5_token_counts, None),
+    "op6_token_matrix": (token_matrix.op6_token_matrix, None),
     "op7_perplexity": (perplexity.op7_perplexity, None),
+    "op8_packing": (packing.op8_packing, None),
 }
