@@ -73,15 +73,17 @@ def _distinct(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def gram_keys(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> np.ndarray:
     """For each byte, the ``order`` bytes that end there as one number in base 257."""
-    n = len(data)
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    padded = np.zeros(n + (order - 1) * (len(offsets) - 1), U)
-    at = np.arange(n) + (order - 1) * (doc + 1)
-    padded[at] = data.astype(U) + U(1)
-    key = np.zeros(n, U)
-    for i in range(order - 1, -1, -1):
-        key = key * U(B) + padded[at - i]
-    return key
+    n, lead = len(data), order - 1
+    at = np.arange(n) + lead * np.repeat(np.arange(1, len(offsets)), np.diff(offsets))
+    padded = np.zeros(n + lead * (len(offsets) - 1), U)
+    padded[at] = data
+    padded[at] += U(1)
+    key = padded.copy()
+    power = 1
+    for i in range(1, order):
+        power *= B
+        key[i:] += padded[:-i] * U(power)
+    return key[at]
 
 
 def _sum(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -91,26 +93,26 @@ def _sum(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nda
 
 def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """(lang, key, n): how often each language has each n-gram of the highest order, all texts."""
+    top = U(B ** ORDER)
+
     def count(batches):
-        held, size = {}, {}
+        codes, held, size = {}, [], 0
         for batch in batches:
-            langs = np.array([x or "" for x in batch.column(1).to_pylist()], object)
+            code = np.array([codes.setdefault(x or "", len(codes)) for x in batch.column(1).to_pylist()], U)
             for lo, hi, data, off in texts.chunks(batch.column(0)):
-                keys = gram_keys(data, off)
-                who = np.repeat(langs[lo:hi], np.diff(off))
-                for name in set(langs[lo:hi]):
-                    part = np.unique(keys[who == name], return_counts=True)
-                    held.setdefault(name, []).append(part)
-                    size[name] = size.get(name, 0) + len(part[0])
-                    if size[name] > 4_000_000 and len(held[name]) > 1:
-                        held[name] = [_sum(held[name])]
-                        size[name] = len(held[name][0][0]) // 2
-        for name, parts in held.items():
-            keys, n = _sum(parts)
+                part = np.unique(gram_keys(data, off) + np.repeat(code[lo:hi] * top, np.diff(off)), return_counts=True)
+                held.append(part)
+                size += len(part[0])
+            if size > 4_000_000:
+                held = [_sum(held)]
+                size = len(held[0][0]) // 2
+        if size:
+            keys, n = _sum(held)
+            names = np.array(list(codes), object)
             for i in range(0, len(keys), 65536):
-                k = keys[i: i + 65536].astype(np.int64)
-                yield pa.record_batch([pa.array([name] * len(k), pa.string()), pa.array(k), pa.array(n[i: i + 65536])],
-                                      names=["lang", "key", "n"])
+                k = keys[i: i + 65536]
+                yield pa.record_batch([pa.array(names[(k // top).astype(np.int64)], pa.string()), pa.array((k % top).astype(np.int64)),
+                                       pa.array(n[i: i + 65536])], names=["lang", "key", "n"])
 
     rows = docs.select(F.col(text).cast("string"), F.col(lang).cast("string"))
     return (map_arrow(rows, count, "lang string, key long, n long")
@@ -199,23 +201,27 @@ def pack(model: DataFrame, order: int = ORDER) -> dict[int, tuple[np.ndarray, np
 
 def log_likelihood(model: dict, data: np.ndarray, offsets: np.ndarray, salt: np.ndarray, order: int = ORDER) -> np.ndarray:
     """Sum of log-probabilities for each text; ``salt`` is the language hash of each text."""
-    left = np.arange(len(data))
     keys = gram_keys(data, offsets, order)
     who = np.repeat(salt, np.diff(offsets))
-    lp = np.zeros(len(data))
+    h, back = np.unique(texts.mix(keys ^ who), return_inverse=True)
+    one = np.empty(len(h), np.int64)  # a byte for each distinct n-gram of the chunk
+    one[back] = np.arange(len(back))
+    keys, who = keys[one], who[one]
+    left, lp = np.arange(len(h)), np.zeros(len(h))
     for o in range(order, 0, -1):
-        k = keys % U(B ** o)
-        found, at = _find(model[o][0], texts.mix(k ^ who))
+        found, at = _find(model[o][0], h)
         lp[left[found]] += model[o][1][at[found]]
-        left, who, k, keys = left[~found], who[~found], k[~found], keys[~found]
+        left, who, keys = left[~found], who[~found], keys[~found]
         if not len(left):
             break
         if o > 1:
-            known, at = _find(model[o - 1][0], texts.mix(k // U(B) ^ who))
+            known, at = _find(model[o - 1][0], texts.mix(keys // U(B) ^ who))
             lp[left[known]] += model[o - 1][2][at[known]]
+            keys = keys % U(B ** (o - 1))
+            h = texts.mix(keys ^ who)
         else:
             lp[left] -= np.log(B)
-    sums = np.concatenate([[0.0], np.cumsum(lp)])
+    sums = np.concatenate([[0.0], np.cumsum(lp[back])])
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
