@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from logweave.llm import mixing, packing, perplexity, token_matrix, topk, wordpiece
+from logweave.llm import line_dedup, mixing, packing, perplexity, token_matrix, topk, toxicity, url_filter, wordpiece
 
 QUERIES = {
     "op1_mixing": (mixing.op1_mixing, None),
+    "op2_toxicity": (toxicity.op2_toxicity, None),
     "op4_topk": (topk.op4_topk, topk.OP4_SQL),
     "op5_token_counts": (wordpiece.op5_token_counts, None),
     "op6_token_matrix": (token_matrix.op6_token_matrix, None),
     "op7_perplexity": (perplexity.op7_perplexity, None),
     "op8_packing": (packing.op8_packing, None),
+    "op9_line_dedup": (line_dedup.op9_line_dedup, line_dedup.OP9_SQL),
+    "op10_url_filter": (url_filter.op10_url_filter, None),
 }
