@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from logweave.llm import line_dedup, mixing, packing, perplexity, token_matrix, topk, toxicity, url_filter, wordpiece
+from logweave.llm import line_dedup, mixing, ngram_join, packing, perplexity, token_matrix, topk, toxicity, url_filter, wordpiece
 
 QUERIES = {
     "op1_mixing": (mixing.op1_mixing, None),
     "op2_toxicity": (toxicity.op2_toxicity, None),
+    "op3_ngram_join": (ngram_join.op3_ngram_join, None),
     "op4_topk": (topk.op4_topk, topk.OP4_SQL),
     "op5_token_counts": (wordpiece.op5_token_counts, None),
     "op6_token_matrix": (token_matrix.op6_token_matrix, None),
