@@ -94,4 +94,6 @@ FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated passages go; so do documents of which nothing is left."""
     clean = dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return clean.filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD)).select(*docs.columns)

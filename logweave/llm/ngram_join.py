@@ -268,9 +268,9 @@ def _base(docs: DataFrame, counts, doc_id: str, text: str, k: int, percent: int)
     return map_arrow(rows, sets, "rk long, n long, fp long, prefix array<long>, bits binary")
 
 
-def _groups(prefix: DataFrame) -> DataFrame:
+def _groups(prefix: DataFrame, size: int) -> DataFrame:
     """(token, block, many, members): the classes that share a prefix shingle, in blocks of at most
-    ``GROUP_BLOCK``; ``many`` marks groups of several blocks.  Shingles of one class give nothing."""
+    ``size``; ``many`` marks groups of several blocks.  Shingles of one class give nothing."""
     def gather(batches):
         held, token, block, out = [], None, 0, []
 
@@ -297,8 +297,8 @@ def _groups(prefix: DataFrame) -> DataFrame:
                         close(False)
                     held, token, block = [], t[lo], 0
                 members = f[lo:hi].tolist()
-                while len(held) + len(members) > GROUP_BLOCK:
-                    cut_at = GROUP_BLOCK - len(held)
+                while len(held) + len(members) > size:
+                    cut_at = size - len(held)
                     held, members = held + members[:cut_at], members[cut_at:]
                     close(True)
                     held, block = [], block + 1
@@ -367,11 +367,12 @@ def _true_links(rows: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("c", "b", "q").applyInArrow(links, "a long, b long")
 
 
-def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id: str, text: str, k: int, percent: int,
+           cluster_block: int) -> DataFrame:
     """The verified links of all candidate clusters (v, c)."""
     sizes = clusters.groupBy("c").agg(F.count("*").alias("size"), F.min("v").alias("pivot"))
     members = clusters.join(sizes, "c").join(reps.select(F.col("fp").alias("v"), "rk"), "v")
-    blocks = F.ceil(F.col("size") / CLUSTER_BLOCK).cast("int")
+    blocks = F.ceil(F.col("size") / cluster_block).cast("int")
     members = cut(members.select("rk", "c", F.col("v").alias("cfp"), blocks.alias("blocks"), (F.col("v") == F.col("pivot")).alias("is_pivot"),
                                  F.pmod(F.xxhash64("v"), blocks).cast("int").alias("block")))
     picked = attach(docs.select(F.xxhash64(doc_id, text).alias("rk"), F.col(text).cast("string").alias("t")), members, ["rk"], F.col("rk"), "inner")
@@ -399,7 +400,7 @@ def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id
     # sets that their pivot does not link meet all blocks, in blocks of their own
     linked = large.filter("is_pivot").select(F.col("fp").alias("a")).join(found, "a").select(F.col("b").alias("fp"))
     alone = large.filter("not is_pivot").join(linked.distinct(), "fp", "left_anti")
-    askers = cut(alone.groupBy("c").agg(F.ceil(F.count("*") / CLUSTER_BLOCK).cast("int").alias("qs")))
+    askers = cut(alone.groupBy("c").agg(F.ceil(F.count("*") / cluster_block).cast("int").alias("qs")))
     if not askers.count():
         return found
     part = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("qs")).cast("int")
@@ -409,7 +410,8 @@ def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id
     return found.unionByName(_true_links(ask.unionByName(meet), percent))
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT,
+                       group_block: int = GROUP_BLOCK, cluster_block: int = CLUSTER_BLOCK) -> DataFrame:
     """(rk, doc_id, n_shingles, component_id, group_id): one row for each row of ``docs``; ``rk`` is
     ``xxhash64(doc_id, text)``, ``group_id`` a number of the component that no id can spoil.
 
@@ -421,7 +423,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     counts = spark.sparkContext.broadcast(word_counts(docs, text))
     base = cut(_base(docs, counts, doc_id, text, k, percent))
     reps = cut(base.filter("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.min("rk").alias("rk"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
-    groups = cut(_groups(reps.select(F.explode("prefix").alias("token"), "fp")))
+    groups = cut(_groups(reps.select(F.explode("prefix").alias("token"), "fp"), group_block))
     many = groups.filter("many")
     pairs = (many.alias("x").join(many.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.block") < F.col("y.block")))
              .select(F.concat("x.members", "y.members").alias("members")))
@@ -431,7 +433,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     found = None
     if candidates.count():
         clusters = components(candidates)
-        links = cut(_links(docs, clusters, reps, counts, doc_id, text, k, percent))
+        links = cut(_links(docs, clusters, reps, counts, doc_id, text, k, percent, cluster_block))
         if links.count():
             found = components(links)
     # ids: the smallest of each set, then of each component
