@@ -283,11 +283,19 @@ def _group_spans(rx: str) -> list[tuple[int, int, bool]]:
     return spans
 
 
+# A backslash and what belongs to it, longest forms first: properties, code points, control
+# characters, references and names; then the one-letter classes, boundaries and characters.
+_ESCAPE = re.compile(r"\\(?:[pP](?:\{[^}]*\}|.)|x(?:\{[0-9A-Fa-f]+\}|[0-9A-Fa-f]{2})|u[0-9A-Fa-f]{4}|0[0-7]{1,3}|k<[^>]*>|N\{[^}]*\}"
+                     r"|[1-9][0-9]*|[dDwWsShHvVRXbBAZzGtrnfae])")
+
+
 def required_literals(rx: str, limit: int = 3) -> list[str]:
     """Literal strings that every match of ``rx`` contains: runs of plain characters whose
     enclosing groups are all unconditional (see :func:`_group_spans`) and which carry no
     quantifier themselves.  Empty when unsure (top-level alternation, case-insensitive or comment
-    mode)."""
+    mode, control-character or unknown escapes)."""
+    if "\\c" in rx:  # the character after it may be any, also a bracket
+        return []
     for m in _FLAG_GROUP.finditer(rx):
         if set(m.group(1).replace("-", "")) & set("ixuUc"):
             return []
@@ -320,8 +328,15 @@ def required_literals(rx: str, limit: int = 3) -> list[str]:
                     close()
                 continue
             nxt, start = rx[i + 1:i + 2], i
+            if nxt not in _LITERAL_ESCAPES:
+                escape = _ESCAPE.match(rx, i)
+                if not escape:
+                    return []
+                i = escape.end()  # not literal text: it ends the run, all of it
+                close()
+                continue
             i += 2
-            if not blocked[start] and nxt in _LITERAL_ESCAPES and not _quantified(rx, i):
+            if not blocked[start] and not _quantified(rx, i):
                 cur.append(nxt)
             else:
                 close()

@@ -34,13 +34,15 @@ def record_line(df: DataFrame) -> Column:
 
 
 def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | None = None,
-                 map_cols: list[str] | None = None, keep_source: bool = True) -> DataFrame:
+                 map_cols: list[str] | None = None, keep_source: bool = True,
+                 keep: list[str] | None = None) -> DataFrame:
     """One document per record.
 
     ``id``: the record's ``id_field`` value when not NULL, else ``file:line``.  ``fields``: one
     ``{lower(name), value}`` per non-NULL value (columns, then map entries; a map entry replaces a
     column of the same name), sorted by name; a record with its own id also gets
     ``_src_ = file:line``.  Values are strings (variants: their JSON text or scalar text).
+    ``keep``: columns carried along next to the document (a batching key, an order).
     """
     dtypes = dict(records.dtypes)
     if map_cols is None:
@@ -65,9 +67,11 @@ def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | N
     line = record_line(records)
     src = file_line_id(F.col("file"), line)
     own_id = _own_id(records, id_field, fields, map_cols, dtypes)
+    kept = [c for c in ("file",) if c in records.columns]
+    kept += [c for c in keep or [] if c not in kept]
     staged = records.select(F.coalesce(own_id, src).alias("id"), own_id.isNotNull().alias("__own"),
                             src.alias("__src"), arr.alias("__arr"),
-                            *[c for c in ("file",) if c in records.columns])
+                            *[F.col(f"`{c}`") for c in kept])
     arr = F.col("__arr")
     if map_cols:
         # a later entry (a map entry) replaces an earlier one of the same name
@@ -81,7 +85,7 @@ def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | N
             F.lit("_src_").alias("name"), F.col("__src").alias("value"))))).otherwise(lowered)
     # (name, value) structs sort by name first: the natural order, no comparator lambda
     return staged.select("id", F.array_sort(lowered).alias("fields"),
-                         *[c for c in ("file",) if c in records.columns])
+                         *[F.col(f"`{c}`") for c in kept])
 
 
 def _entry_fn(vt: str):

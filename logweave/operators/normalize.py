@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.plan import materialize
 from ..functions.text import collapse_ws, java_trim
 
+# Fixed value: the capture name whose values are never kept.
+IGNORED_FIELD = "ignored"
+
 
 def normalize_lines(lines: DataFrame, col: str = "line", keep_blank: bool = False) -> DataFrame:
     """Java-style trim of every line; blank lines are dropped (they never reach a parser, and
@@ -32,7 +35,7 @@ def prune_empty_value(c: Column) -> Column:
     return F.when(java_trim(c) != "", c)
 
 
-def prune_empty(df: DataFrame, fields: list[str], drop: tuple[str, ...] = ("ignored",)) -> DataFrame:
+def prune_empty(df: DataFrame, fields: list[str], drop: tuple[str, ...] = (IGNORED_FIELD,)) -> DataFrame:
     """Blank string values become NULL (and so are left out of documents); the field named
     ``ignored`` is dropped."""
     out = df.withColumns({f: prune_empty_value(F.col(f"`{f}`")) for f in fields if f not in drop
@@ -41,7 +44,7 @@ def prune_empty(df: DataFrame, fields: list[str], drop: tuple[str, ...] = ("igno
 
 
 def prune_empty_map(c: Column) -> Column:
-    return F.map_filter(c, lambda k, v: (k != "ignored") & v.isNotNull() & (java_trim(v) != ""))
+    return F.map_filter(c, lambda k, v: (k != IGNORED_FIELD) & v.isNotNull() & (java_trim(v) != ""))
 
 
 def ignore_before(df: DataFrame, cutoff: str, ts_col: str = "ts") -> DataFrame:

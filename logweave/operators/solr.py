@@ -10,7 +10,7 @@ from ..functions.text import collapse_ws, java_trim
 from ..functions.timefmt import iso_string, parse_timestamp
 from ..session import prepare
 from .multiline import CHUNK_LINES, CONT, START, assemble_records
-from .normalize import prune_empty_value
+from .normalize import IGNORED_FIELD, prune_empty_value
 
 # Defaults and names used by the reference's search-log parser.
 DEFAULT_LOG_EXPRESSION = "%{SOLR_6_LOG4J}"
@@ -48,8 +48,10 @@ def explode_params(params: Column) -> Column:
 
     Native functions only: one regex adds the suffixes, ``str_to_map`` splits the pairs at the
     first ``=`` (a later key replaces an earlier one under the session's LAST_WIN policy, set by
-    :func:`logweave.session.prepare`), one ``map_filter`` drops pairs without ``=`` and ``_``."""
-    suffixed = F.regexp_replace(params, _PARAM_KEY, "$1$2_s=")
+    :func:`logweave.session.prepare`), one ``map_filter`` drops ``_`` and what is left of pairs
+    without ``=``, which an earlier regex has emptied so that they replace nothing."""
+    pairs = F.regexp_replace(params, r"(^|&)[^&=]*(?=&|$)", "$1")  # pairs without "=" go first
+    suffixed = F.regexp_replace(pairs, _PARAM_KEY, "$1$2_s=")
     m = F.str_to_map(suffixed, F.lit("&"), F.lit("="))
     return F.when(params.isNotNull(), F.map_filter(m, lambda k, v: v.isNotNull() & (k != "_")))
 
@@ -80,7 +82,7 @@ def solr_log(lines: DataFrame, expression: str = DEFAULT_LOG_EXPRESSION, library
     grok = compile_grok(expression, library)
     collapsed = lines.withColumn("line", collapse_ws(F.col("line")))
     parsed = grok.apply(collapsed, source_col="line", matched_col="__start")
-    fields = [f for f in grok.fields if f != "logmessage"]
+    fields = [f for f in grok.fields if f not in ("logmessage", IGNORED_FIELD)]
     top = expression[2:-1] if expression.startswith("%{") and expression.endswith("}") else None
     if timestamp_field and date_format:
         ts = parse_timestamp(F.col(f"`{date_field}`"), date_format)
@@ -113,7 +115,7 @@ def solr_log(lines: DataFrame, expression: str = DEFAULT_LOG_EXPRESSION, library
 
 def _apply_request(rec: DataFrame, message_col: str, expression: str, library, parse_params: bool) -> DataFrame:
     grok = compile_grok(expression, library)
-    req_fields = [f for f in grok.fields if f not in ("logmessage", "BASE10NUM")]
+    req_fields = [f for f in grok.fields if f not in ("logmessage", "BASE10NUM", IGNORED_FIELD)]
     eligible = F.col("category_s").isin(*REQUEST_CATEGORIES) & F.col(message_col).isNotNull()
     # captures go to temporary names first, then overwrite the record's fields when matched
     tmp = {f: f"__rq_{i}" for i, f in enumerate(req_fields)}
@@ -126,7 +128,7 @@ def _apply_request(rec: DataFrame, message_col: str, expression: str, library, p
         orig = F.col(f"__orig_{i}") if f in rec.columns else F.lit(None).cast("string")
         cols[tmp[f]] = F.when(hit, F.col(f"`{f}`")).otherwise(orig)
     out = applied.withColumns(cols)
-    out = out.drop(*[f for f in req_fields], *[f"__orig_{i}" for i, f in enumerate(req_fields) if f in rec.columns])
+    out = out.drop(*[f for f in grok.fields], *[f"__orig_{i}" for i, f in enumerate(req_fields) if f in rec.columns])
     out = out.withColumnsRenamed({v: k for k, v in tmp.items()})
     if parse_params:
         out = out.withColumn("params", F.when(hit, explode_params(F.col("params_s"))))

@@ -359,16 +359,17 @@ def batches(spark: SparkSession, d: str) -> DataFrame:
     records = orders.select(
         F.concat(F.lit("orders/part-"), F.floor(F.col("o_orderkey") / 1000).cast("string"), F.lit(".log")).alias("file"),
         (F.col("o_orderkey") % 1000 + 1).cast("bigint").alias("line_num"),
-        F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus", "o_totalprice", "o_orderpriority")
-    docs = to_documents(records).join(  # carry the batching key and order next to each document
-        records.select("id", "o_orderpriority", F.col("id").cast("bigint").alias("o_orderkey")), "id")
+        F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus", "o_totalprice", "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    # the batching key and the order travel next to each document
+    docs = to_documents(records, fields=["id", "o_orderstatus", "o_totalprice", "o_orderpriority"], keep=["o_orderpriority", "o_orderkey"])
     b = batch_documents_by_key(docs, "o_orderpriority", "o_orderkey", n=100)
     return b.select("o_orderpriority", "batch_no", "n_docs", "first_order", "last_order")
 
 
 SQL_BATCHES = """
-WITH r AS (SELECT o_orderpriority, o_orderkey,
-                  row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM orders)
+WITH o AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority, o_orderkey FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM o)
 SELECT o_orderpriority, CAST((rn - 1) // 100 AS BIGINT) AS batch_no, CAST(COUNT(*) AS INTEGER) AS n_docs,
   MIN(o_orderkey) AS first_order, MAX(o_orderkey) AS last_order
 FROM r GROUP BY 1, 2
@@ -436,14 +437,14 @@ def read_files(spark: SparkSession, d: str) -> DataFrame:
     lines = read_log_lines(spark, base, match=r".*\.txt(\.gz)?")
     per_file = lines.groupBy("file").agg(
         F.count(F.lit(1)).alias("n"), F.min("line_num").alias("lo"), F.max("line_num").alias("hi"),
-        F.count_distinct("line_num").alias("nd"),
+        F.sum("line_num").alias("nd"),
         F.sum(F.when(F.trim(F.col("line"), F.lit("".join(chr(c) for c in range(33)))) != "", 1).otherwise(0)).alias("nonblank"),
         F.sum(F.length("line")).alias("chars"))
     per_file = per_file.withColumn("source", F.regexp_extract("file", r"/source=([^/]+)/", 1))
     return per_file.groupBy("source").agg(
         F.sum("n").cast("bigint").alias("lines_read"), F.sum("nonblank").cast("bigint").alias("nonblank"),
         F.sum("chars").cast("bigint").alias("chars"),
-        F.bool_and((F.col("lo") == 1) & (F.col("hi") == F.col("n")) & (F.col("nd") == F.col("n"))).alias("numbering_ok"))
+        F.bool_and((F.col("lo") == 1) & (F.col("hi") == F.col("n")) & (F.col("nd") * 2 == F.col("n") * (F.col("n") + 1))).alias("numbering_ok"))
 
 
 SQL_READ_FILES = f"""

@@ -16,31 +16,34 @@ from ..operators.documents import to_documents
 from ..operators.normalize import normalize_lines
 from ..session import prepare
 from ..sinks.deliver import deliver, update_manifest, write_documents
-from ..sources.files import DEFAULT_MATCH, read_log_lines, read_manifest
+from ..sources.files import DEFAULT_MATCH, list_files, path_exists, read_log_lines, read_manifest, skip_processed
 
 
 def index_directory(spark: SparkSession, path: str, parse: Callable[[DataFrame], DataFrame], *,
                     match: str | None = DEFAULT_MATCH, manifest: str | None = None,
                     write_to: str | None = None, endpoints: list[str] | None = None,
                     post: Callable[[str, str], int] | None = None, batch_size: int = 100,
-                    id_field: str = "id") -> DataFrame:
+                    id_field: str = "id", delivery_log: str | None = None) -> DataFrame:
     """Run one indexing pass over ``path``.
 
     ``parse``: a job over non-blank trimmed lines returning records (e.g. ``grok_job``,
     ``json_lines(...).where("_matched")``, ``xml_field_docs``, ``solr_log``).  Documents go to
     ``write_to`` (Parquet, appended) and/or are delivered to ``endpoints`` with ``post``.  With
     ``manifest`` the files listed there are skipped and the files read are appended after the
-    sink committed.  Returns per-file document counts: of the whole output table when writing,
+    sink committed.  The log of deliveries, for per-endpoint counts, goes to ``delivery_log``.
+    Returns per-file document counts: of the whole output table when writing,
     else of this pass.
     """
     prepare(spark)
     processed = None
     if manifest:
-        try:
-            processed = read_manifest(spark, manifest)
-            processed.limit(1).count()
-        except Exception:  # no manifest yet: nothing processed
-            processed = None
+        processed = read_manifest(spark, manifest) if path_exists(spark, manifest) else None
+    # the files of this pass, listed before reading: also those without lines
+    listed = list_files(spark, path, match).select("file") if manifest else None
+    if processed is not None:
+        listed = skip_processed(listed, processed)
+    if listed is not None:
+        listed = listed.checkpoint()
     # every file already processed is not an error (only "nothing matches at all" is)
     lines = read_log_lines(spark, path, match=match, processed=processed, allow_empty=processed is not None)
     records = parse(normalize_lines(lines))
@@ -50,9 +53,9 @@ def index_directory(spark: SparkSession, path: str, parse: Callable[[DataFrame],
     if write_to is not None:
         write_documents(docs, write_to)
     if endpoints and post:
-        deliver(docs, endpoints, post, batch_size=batch_size).write.format("noop").mode("overwrite").save()
+        deliver(docs, endpoints, post, batch_size=batch_size, log_path=delivery_log)
     if manifest:
-        update_manifest(lines.select("file"), manifest)
+        update_manifest(listed, manifest)
     if write_to is not None:
         written = spark.read.parquet(write_to)
         return written.groupBy("file").agg(F.count(F.lit(1)).alias("docs"))

@@ -41,7 +41,10 @@ def get_session(master: str = "local[*]", app: str = "logweave", shuffle_partiti
 def prepare(spark: SparkSession) -> SparkSession:
     """Force the session time zone to UTC (timestamps are parsed and written in UTC), let a
     repeated map key keep its last value (the reference's "later pair wins"), and make sure a
-    checkpoint folder is known."""
+    checkpoint folder is known.
+
+    This changes the caller's session for good: ``spark.sql.session.timeZone``,
+    ``spark.sql.mapKeyDedupPolicy`` and, if unset, the checkpoint folder."""
     ensure_utc(spark)
     ensure_last_win(spark)
     checkpoint_dir(spark)
@@ -61,14 +64,17 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
-    Order: the context's checkpoint dir, then ``spark.checkpoint.dir`` from the session, then (only
-    when neither is set, as in local tests) a fresh temporary folder.
+    Order: the context's checkpoint dir, then ``spark.checkpoint.dir`` from the session.  Where
+    neither is set, a local master (as in tests) gets a fresh temporary folder; on a cluster,
+    whose machines do not see each other's folders, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="logweave-ckpt-")
     sc.setCheckpointDir(configured)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .batches import DEFAULT_BATCH_SIZE, batch_documents
 
 DELIVERY_SCHEMA = "batch_id string, endpoint string, n_docs int, status int, attempts int"
@@ -23,7 +25,10 @@ def _sender(post: Callable[[str, str], int], endpoints: list[str], retry_wait_s:
     def run(batches):
         import pandas as pd
 
-        rng = random.Random(seed)
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        rng = random.Random(None if seed is None else seed * 1_000_003 + task)
         for pdf in batches:
             rows = []
             for batch_id, n_docs, payload in zip(pdf["batch_id"], pdf["n_docs"], pdf["payload"]):
@@ -60,21 +65,28 @@ def _sender(post: Callable[[str, str], int], endpoints: list[str], retry_wait_s:
 
 def deliver(docs: DataFrame, endpoints: list[str], post: Callable[[str, str], int],
             batch_size: int = DEFAULT_BATCH_SIZE, retry_wait_s: float = 1.0, seed: int | None = None,
-            max_parallel: int | None = None) -> DataFrame:
+            max_parallel: int | None = None, log_path: str | None = None) -> DataFrame:
     """Send batches to random endpoints; a failing endpoint is dropped for that batch and another
     tried; on the last one wait ``retry_wait_s``, retry once, then fail.  ``post(endpoint,
     json_payload) -> HTTP status`` is the user's client (it must be picklable); 200/204 = success.
 
-    Lazy: returns the delivery log ``(batch_id, endpoint, n_docs, status, attempts)``; run an
-    action (``count``, ``write``) to send.  A failed batch fails its task, and Spark's retry
-    re-sends the partition: delivery is at-least-once, made idempotent by the stable ids.
-    ``max_parallel`` bounds concurrent connections by coalescing partitions.
+    Runs at once: the batches are posted by one job, which appends the delivery log ``(batch_id,
+    endpoint, n_docs, status, attempts)`` to ``log_path`` (a new table in the shared folder by
+    default); the log of this run is returned as read back, so using it posts nothing again.  A
+    failed batch fails its task, and Spark's retry re-sends the partition: delivery is
+    at-least-once, made idempotent by the stable ids.  ``max_parallel`` bounds concurrent
+    connections; the documents are made with full parallelism and dealt out to that many tasks.
     """
     if not endpoints:
         raise ValueError("at least one endpoint is required")
-    src = docs.coalesce(max_parallel) if max_parallel else docs
-    return batch_documents(src, batch_size).mapInPandas(_sender(post, list(endpoints), retry_wait_s, seed),
-                                                        DELIVERY_SCHEMA)
+    spark = docs.sparkSession
+    src = docs.repartition(max_parallel) if max_parallel else docs
+    log = batch_documents(src, batch_size).mapInPandas(_sender(post, list(endpoints), retry_wait_s, seed),
+                                                       DELIVERY_SCHEMA)
+    run = uuid.uuid4().hex
+    path = (log_path or scratch_path(spark, "delivery")).rstrip("/")
+    log.write.parquet(f"{path}/run={run}")
+    return spark.read.schema(DELIVERY_SCHEMA).parquet(f"{path}/run={run}")
 
 
 def write_documents(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
@@ -87,5 +99,6 @@ def write_documents(docs: DataFrame, path: str, fmt: str = "parquet", mode: str
 
 def update_manifest(done: DataFrame, manifest_path: str) -> None:
     """Append the distinct files of ``done`` (after its sink committed) to the processed-files
-    list, one path per line."""
+    list, one path per line.  ``done`` may be a listing (:func:`logweave.sources.files.list_files`),
+    which also names files without lines."""
     done.select("file").distinct().write.mode("append").text(manifest_path)

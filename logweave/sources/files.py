@@ -13,6 +13,10 @@ line text is never shuffled:
   broadcast when its counted size is below ``broadcast_rows``; beyond that a shuffle join is used
   instead, so the plan never broadcasts a table whose size is unchecked.
 
+The two passes must see the same splits.  The split settings that follow the number of cores are
+pinned for the session when lines are numbered, and a line whose split is not in the table (because
+the settings or the files changed in between) raises an error: it is never left out.
+
 Gzip files are read by the text source's codec (one task per file, as gzip cannot be split).
 """
 
@@ -33,6 +37,9 @@ MANIFEST_PRUNE_LIMIT = 10_000
 _ASCII_COMPATIBLE = re.compile(r"^(utf-?8|us-ascii|ascii|iso-8859-\d+|latin-?1|windows-125\d|cp125\d)$", re.I)
 
 
+_split_tables: dict[str, list[str]] = {}
+
+
 class NoInputFiles(FileNotFoundError):
     pass
 
@@ -53,7 +60,7 @@ def _simple_glob(match: str | None) -> str | None:
     return None
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -62,8 +69,10 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
                charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
-               prune_limit: int = MANIFEST_PRUNE_LIMIT, line_sep_regex: str | None = None) -> DataFrame:
-    """Raw scan: ``(file, block, m, line)`` with ``m`` consecutive inside each split.
+               prune_limit: int = MANIFEST_PRUNE_LIMIT, line_sep_regex: str | None = None,
+               with_bytes: bool = False) -> DataFrame:
+    """Raw scan: ``(file, block, m, line)`` with ``m`` consecutive inside each split; with
+    ``with_bytes`` also ``nbytes``, the line's bytes in the file without its separator.
 
     Files are filtered by name at listing time (``pathGlobFilter``) when the rule is a plain
     extension, otherwise by a ``_metadata.file_name`` predicate, which Spark also applies while
@@ -73,7 +82,7 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     for p in paths:
-        if not _path_exists(spark, p):
+        if not path_exists(spark, p):
             raise FileNotFoundError(f"log directory does not exist: {p}")
     reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", line_sep)
     glob = _simple_glob(match)
@@ -107,6 +116,7 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("m"),
         text.alias("line"),
+        *([F.octet_length("value").cast("bigint").alias("nbytes")] if with_bytes else []),
     )
     return skip_processed(out, anti) if anti is not None else out
 
@@ -121,8 +131,8 @@ def _file_col(uri):
 
 def _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex=None) -> DataFrame:
     """Charsets that are not ASCII-compatible (e.g. UTF-16), or a delimiter given as a regex (the
-    reference's delimiter is a regex): decode each file whole, then split.  A file is one row
-    here, so this path is bounded by the largest file (2 GB per value)."""
+    reference's delimiter is a regex): decompress ``.gz``, decode each file whole, then split.  A
+    file is one row here, so this path is bounded by the largest file (2 GB per value, in full)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     glob = _simple_glob(match)
     if glob:
@@ -131,6 +141,10 @@ def _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex=Non
     rx = match_regex(match) if not glob else None
     if rx:
         df = df.filter(F.col("_metadata.file_name").rlike(rx))
+    packed = F.col("path").endswith(".gz")
+    df = df.select("path", "content")
+    # two branches: the contents of plain files do not pass through Python
+    df = df.filter(~packed).unionByName(df.filter(packed).withColumn("content", _gunzip()(F.col("content"))))
     text = F.decode(F.col("content"), charset)
     parts = F.split(text, line_sep_regex if line_sep_regex is not None else re.escape(line_sep), -1)
     # a trailing separator does not start another line
@@ -141,6 +155,16 @@ def _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex=Non
                            F.col("pos").cast("bigint").alias("m"), "line")
 
 
+def _gunzip():
+    @F.udf("binary")
+    def gunzip(content):  # once for each compressed file, which is one row
+        import gzip
+
+        return gzip.decompress(bytes(content))
+
+    return gunzip
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote (e.g. a split table once its job has finished)."""
     jvm = spark.sparkContext._jvm
@@ -157,6 +181,7 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
     action (long-running streams do)."""
     spark = raw.sparkSession
     checkpoint_dir(spark)
+    pin_splits(spark)
     splits = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("rows"), F.min("m").alias("m0"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # numbers only (about 40 bytes per split): the file is keyed by its 64-bit hash, and the id
@@ -168,6 +193,7 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
     # recomputes it) and counted before deciding how to join it
     path = scratch_path(spark, f"splits-{uuid.uuid4().hex}")
     splits.write.parquet(path)
+    _delete_at_end(spark, path)
     if written is not None:
         written.append(path)
     splits = spark.read.parquet(path)
@@ -177,8 +203,51 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
     side = F.broadcast(splits) if n_splits <= broadcast_rows else splits
     cond = ((F.xxhash64(raw["file"]) == F.col("__fh")) & (raw["block"] == F.col("__blk"))
             & (raw["m"] >= F.col("m0")) & (raw["m"] < F.col("m0") + F.col("rows")))
-    return (raw.join(side, cond)
-            .select("file", (F.col("m") - F.col("m0") + 1 + F.col("offset")).alias("line_num"), "line"))
+    number = F.col("m") - F.col("m0") + 1 + F.col("offset")
+    lost = F.raise_error(F.concat(F.lit("the file splits changed after the lines were numbered (files or "
+                                        "spark.sql.files.* settings); read the lines again: "), F.col("file")))
+    return (raw.join(side, cond, "left")
+            .select("file", F.coalesce(number, lost.cast("bigint")).alias("line_num"), "line"))
+
+
+def pin_splits(spark: SparkSession) -> None:
+    """Fix the split size for the session: unless set, the wanted number of splits is that of the
+    cores there are now, so that executors that come or go do not change how files are cut."""
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+
+
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system remove ``path`` when the application ends."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    _split_tables.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
+def release_split_tables(spark: SparkSession) -> int:
+    """Remove the split tables of all reads so far, for when their lines are no longer needed; what is
+    left goes when the application ends.  Returns how many there were."""
+    paths = _split_tables.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
+
+
+def list_files(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH) -> DataFrame:
+    """``(file, size, mtime)`` of the matching files; contents are not read.  Empty files, which a scan
+    passes over, come from the reader's file index (size 0, no time)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    glob = _simple_glob(match)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.load(paths)
+    names = spark.createDataFrame([(uri,) for uri in df.inputFiles()], "uri string").select(_file_col(F.col("uri")).alias("file"))
+    rx = match_regex(match) if not glob else None
+    if rx:
+        names = names.filter(F.regexp_extract("file", r"([^/]*)$", 1).rlike(rx))
+    known = df.select(_file_col(F.col("path")).alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+    return names.distinct().join(known, "file", "left").withColumn("size", F.coalesce("size", F.lit(0).cast("bigint")))
 
 
 def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
