@@ -33,6 +33,8 @@ from ..session import checkpoint_dir, scratch_path
 DEFAULT_MATCH = "*.log"
 SPLIT_BROADCAST_ROWS = 1_000_000
 MANIFEST_PRUNE_LIMIT = 10_000
+# per-file tables (manifest, offsets) are broadcast after counting no more rows than this
+PER_FILE_ROWS = 100_000
 # Charsets whose bytes 0x00-0x7F are ASCII: lines can be split on b"\n" before decoding.
 _ASCII_COMPATIBLE = re.compile(r"^(utf-?8|us-ascii|ascii|iso-8859-\d+|latin-?1|windows-125\d|cp125\d)$", re.I)
 
@@ -70,9 +72,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
                charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
                prune_limit: int = MANIFEST_PRUNE_LIMIT, line_sep_regex: str | None = None,
-               with_bytes: bool = False) -> DataFrame:
+               with_bytes: bool = False, only: list[str] | None = None) -> DataFrame:
     """Raw scan: ``(file, block, m, line)`` with ``m`` consecutive inside each split; with
-    ``with_bytes`` also ``nbytes``, the line's bytes in the file without its separator.
+    ``with_bytes`` also ``nbytes``, the line's bytes in the file without its separator.  ``only``
+    names the files to read; others are pruned while listing.
 
     Files are filtered by name at listing time (``pathGlobFilter``) when the rule is a plain
     extension, otherwise by a ``_metadata.file_name`` predicate, which Spark also applies while
@@ -96,6 +99,8 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
     rx = match_regex(match) if not glob else None
     if rx:
         df = df.filter(F.col("_metadata.file_name").rlike(rx))
+    if only is not None:
+        df = df.filter(_file_col(F.col("_metadata.file_path")).isin(only))
     anti = None
     if processed is not None:
         m = processed.select(F.trim(F.col(processed.columns[0])).alias("file")).where(F.col("file") != "").distinct()
@@ -277,11 +282,14 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
 
 
 def skip_processed(df: DataFrame, manifest: DataFrame, file_col: str = "file") -> DataFrame:
-    """Drop rows whose file is listed in ``manifest(file)`` (paths trimmed).  Left-anti join:
-    Spark broadcasts the manifest only when its statistics say it is small, otherwise it
-    shuffles; either way the result is exact."""
+    """Drop rows whose file is listed in ``manifest(file)`` (paths trimmed).  Left-anti join with the
+    manifest, broadcast when counted small, so that lines are not moved by file."""
     m = manifest.select(F.trim(F.col(manifest.columns[0])).alias("__file")).where(F.col("__file") != "")
-    return df.join(m.distinct(), F.col(file_col) == F.col("__file"), "left_anti")
+    return df.join(_per_file(m.distinct()), F.col(file_col) == F.col("__file"), "left_anti")
+
+
+def _per_file(side: DataFrame) -> DataFrame:
+    return F.broadcast(side) if side.limit(PER_FILE_ROWS + 1).count() <= PER_FILE_ROWS else side
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -297,5 +305,5 @@ def from_line(lines: DataFrame, start: int) -> DataFrame:
 def after_offsets(lines: DataFrame, offsets: DataFrame) -> DataFrame:
     """Lines after each file's ``last_line``; files without an offset start at line 1."""
     o = offsets.select(F.col("file").alias("__of"), F.col("last_line").alias("__last"))
-    joined = lines.join(o, F.col("file") == F.col("__of"), "left")
+    joined = lines.join(_per_file(o), F.col("file") == F.col("__of"), "left")
     return joined.where(F.col("line_num") > F.coalesce(F.col("__last"), F.lit(0))).drop("__of", "__last")

@@ -3,13 +3,16 @@
 The streaming file source never re-reads a file that grew, so tailing is an incremental batch
 job over an offsets table ``(file, last_line, size, mtime)`` kept in the shared state folder:
 
-* every run reads the matching files, keeps lines after each file's ``last_line`` (a join with the
-  offsets table; files whose size is unchanged contribute nothing), and hands them to the job;
-* only lines that end in a newline are taken: a partly written last line waits for the next run;
+* every run lists the matching files and reads only those that are new, have another size than
+  stored, or hold an open record that has become idle; lines after each file's ``last_line`` go to
+  the job.  A file shorter than stored was rotated or rewritten and starts again at line 1;
+* only lines that end in a newline are taken (told by the bytes of the file, whatever their
+  encoding): a partly written last line waits for the next run;
 * for multi-line jobs the open record at the end of a file (after its last START) is held back
   until a later run sees the next record start, or the file has not changed for ``idle_seconds``;
   then it is emitted (the reference never emits it in tail mode; we flush on idle);
-* the new offsets are written as a new version only after the job's sink returned, so a failed
+* the limits of a run are written before its job sees a line, and become the new version of the
+  offsets only after the job's sink returned, so a failed
   run is simply repeated (at-least-once, with stable ids).
 
 Schedule ``tail_once`` every few seconds (a loop, or a ``rate`` stream with ``foreachBatch``).
@@ -18,6 +21,7 @@ Schedule ``tail_once`` every few seconds (a loop, or a ``rate`` stream with ``fo
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +29,9 @@ from pyspark.sql import functions as F
 
 from ..operators.multiline import START
 from ..session import scratch_path
-from ..sources.files import DEFAULT_MATCH, _file_col, delete_path, number_lines, scan_lines
+from ..sources.files import DEFAULT_MATCH, PER_FILE_ROWS, delete_path, list_files, number_lines, scan_lines
 
-OFFSETS_SCHEMA = "file string, last_line bigint, size bigint, mtime timestamp"
+OFFSETS_SCHEMA = "file string, last_line bigint, size bigint, mtime timestamp, open boolean"
 
 
 def _latest_version(spark: SparkSession, state_dir: str) -> int | None:
@@ -53,49 +57,55 @@ def read_offsets(spark: SparkSession, state_dir: str) -> tuple[DataFrame, int]:
 
 def tail_once(spark: SparkSession, path: str, handler: Callable[[DataFrame], None], state_dir: str | None = None,
               match: str | None = DEFAULT_MATCH, classify: Callable[[DataFrame], DataFrame] | None = None,
-              idle_seconds: float = 120.0, now: float | None = None) -> DataFrame:
+              idle_seconds: float = 120.0, now: float | None = None, charset: str = "UTF-8",
+              line_sep: str = "\n") -> DataFrame:
     """One tailing step.  ``handler(new_lines)`` receives ``(file, line_num, line)`` of the new
     complete lines; with ``classify`` (a function adding a ``state`` column to lines, as the
     multi-line jobs do) lines of a still-open record are held back as described above.
+    ``charset`` must keep the separator's bytes as they are (UTF-8, Latin-1 and the like).
     Returns the new offsets table."""
     state_dir = state_dir or scratch_path(spark, "tail-offsets")
     offsets, version = read_offsets(spark, state_dir)
-    raw = scan_lines(spark, path, match)
-    meta = (spark.read.option("recursiveFileLookup", "true").format("binaryFile")
-            .load(path).select("path", "length", "modificationTime"))
-    # file facts: size, mtime, whether the last line is complete
-    files = meta.select(_file_col(F.col("path")).alias("file"),
-                        F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
-    complete = raw.groupBy("file").agg(F.sum(F.length(F.encode("line", "UTF-8")) + 1).alias("__bytes"))
+    old = offsets.select(F.col("file").alias("__of"), F.col("last_line").alias("__last"), F.col("size").alias("__size"),
+                         F.coalesce("open", F.lit(False)).alias("__open"))
+    now_ts = F.lit(now if now is not None else time.time())
+    idle = (now_ts - F.col("mtime").cast("double")) >= F.lit(idle_seconds)
+    files = list_files(spark, path, match).filter("size > 0").join(old, F.col("file") == F.col("__of"), "left")
+    # a file that has become shorter was rotated or rewritten: it starts again
+    base = F.when(F.col("size") >= F.col("__size"), F.col("__last")).otherwise(F.lit(0).cast("bigint"))
+    due = F.col("__size").isNull() | (F.col("size") != F.col("__size"))
+    if classify is not None:
+        due = due | (F.col("__open") & idle)
+    files = files.select("file", "size", "mtime", base.alias("base"), due.alias("due"), idle.alias("idle"), "__open").checkpoint()
+    names = [r.file for r in files.filter("due").select("file").collect()]  # a part of what the listing holds
+    if not names:
+        return offsets
+    raw = scan_lines(spark, path, match, charset, line_sep, only=names, with_bytes=True)
+    size_of_sep = len(line_sep.encode())
+    facts = raw.groupBy("file").agg(F.sum(F.col("nbytes") + size_of_sep).alias("__bytes"), F.count("*").alias("__n"))
     written: list[str] = []
     lines = number_lines(raw, written=written)
-    # per-file tables: no broadcast hint, Spark broadcasts them only when their size allows
-    o = offsets.select(F.col("file").alias("__of"), F.col("last_line").alias("__last"))
-    fresh = (lines.join(o, F.col("file") == F.col("__of"), "left")
-             .where(F.col("line_num") > F.coalesce("__last", F.lit(0))).drop("__of", "__last"))
-    fi = files.join(complete, "file", "left")
-    # a file whose byte count of "line + \n" exceeds its size ends without a newline: its last
-    # line is still being written
-    fi = fi.withColumn("__partial", F.coalesce(F.col("__bytes"), F.lit(0)) > F.col("size"))
-    last = lines.groupBy("file").agg(F.max("line_num").alias("__max"))
-    fi = fi.join(last, "file", "left")
-    now_ts = F.lit(now if now is not None else time.time()).cast("timestamp")
-    idle = (now_ts.cast("double") - F.col("mtime").cast("double")) >= F.lit(idle_seconds)
-    limit = F.when(F.col("__partial"), F.col("__max") - 1).otherwise(F.col("__max"))
+    fi = files.filter("due").join(facts, "file")
+    # more bytes than the file has when every line is given a separator: the last line has none yet
+    limit = F.col("__n") - F.when(F.col("__bytes") > F.col("size"), 1).otherwise(0)
+    held = F.lit(False)
     if classify is not None:
         starts = classify(lines).where(F.col("state") == START).groupBy("file").agg(F.max("line_num").alias("__ls"))
         fi = fi.join(starts, "file", "left")
         # hold back the open record (from the last START) unless the file is idle
-        limit = F.when(~idle & F.col("__ls").isNotNull(), F.least(limit, F.col("__ls") - 1)).otherwise(limit)
-    fi = fi.select("file", "size", "mtime", limit.alias("__limit")).cache()
-    take = fresh.join(fi.select(F.col("file").alias("__f"), "__limit"), F.col("file") == F.col("__f")) \
-        .where(F.col("line_num") <= F.col("__limit")).drop("__f", "__limit")
+        held = ~F.col("idle") & F.col("__ls").isNotNull()
+        limit = F.when(held, F.least(limit, F.col("__ls") - 1)).otherwise(limit)
+    fi = fi.select("file", F.greatest(limit, F.col("base")).cast("bigint").alias("last_line"), "size", "mtime", "base", held.alias("open"))
+    # the limits are fixed before the handler runs: what it gets and what is stored next are the same
+    limits_path = f"{state_dir.rstrip('/')}/limits/{version + 1}-{uuid.uuid4().hex}"
+    fi.write.parquet(limits_path)
+    limits = spark.read.parquet(limits_path)
+    side = limits.select(F.col("file").alias("__f"), "base", "last_line")
+    take = (lines.join(F.broadcast(side) if len(names) <= PER_FILE_ROWS else side, F.col("file") == F.col("__f"))
+            .where((F.col("line_num") > F.col("base")) & (F.col("line_num") <= F.col("last_line"))).select("file", "line_num", "line"))
     handler(take)
-    new_offsets = (fi.join(offsets.select("file", F.col("last_line").alias("__old")), "file", "left")
-                   .select("file", F.greatest(F.coalesce("__limit", F.lit(0)), F.coalesce("__old", F.lit(0)))
-                           .cast("bigint").alias("last_line"), "size", "mtime"))
-    new_offsets.write.mode("overwrite").parquet(f"{state_dir}/v={version + 1}")
-    fi.unpersist()
-    for path in written:
-        delete_path(spark, path)
-    return spark.read.parquet(f"{state_dir}/v={version + 1}")
+    rest = files.filter("not due").select("file", F.col("base").alias("last_line"), "size", "mtime", F.col("__open").alias("open"))
+    limits.drop("base").unionByName(rest).write.mode("overwrite").parquet(f"{state_dir}/v={version + 1}")
+    for table in [*written, limits_path]:
+        delete_path(spark, table)
+    return spark.read.schema(OFFSETS_SCHEMA).parquet(f"{state_dir}/v={version + 1}")

@@ -142,3 +142,60 @@ def test_gzip_with_any_charset_or_delimiter(spark, tmp_path):
     (tmp_path / "c").mkdir()
     (tmp_path / "c" / "x.log.gz").write_bytes(gzip.compress(b"p;q;;r"))
     assert [r.line for r in read_log_lines(spark, str(tmp_path / "c"), match="*", line_sep_regex=";+").orderBy("line_num").collect()] == ["p", "q", "r"]
+
+
+def _tail(spark, src, state, **options):
+    from logweave.streaming.tail import tail_once
+    seen = []
+    tail_once(spark, str(src), lambda df: seen.extend(sorted((r.file.rsplit("/", 1)[1], r.line_num, r.line) for r in df.collect())), str(state), **options)
+    return seen
+
+
+def test_tail_survives_rotation(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.log").write_text("one\ntwo\nthree\n")
+    assert [x[2] for x in _tail(spark, src, tmp_path / "s")] == ["one", "two", "three"]
+    (src / "a.log").write_text("x\ny\n")
+    assert _tail(spark, src, tmp_path / "s") == [("a.log", 1, "x"), ("a.log", 2, "y")]
+    with open(src / "a.log", "a") as f:
+        f.write("z\nw\n")
+    assert _tail(spark, src, tmp_path / "s") == [("a.log", 3, "z"), ("a.log", 4, "w")]
+    assert _tail(spark, src, tmp_path / "s") == []
+
+
+def test_tail_other_encodings_and_names(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.log").write_bytes("eins\nzw\xf6lf\ndrei\n".encode("latin-1"))
+    (src / "b.txt").write_text("not this\n")
+    (src / "empty.log").write_text("")
+    assert [x[1] for x in _tail(spark, src, tmp_path / "s")] == [1, 2, 3]
+    assert [x[2] for x in _tail(spark, src, tmp_path / "t", charset="ISO-8859-1")] == ["eins", "zw\xf6lf", "drei"]
+    (src / "c.log").write_text("p;q;half")
+    assert _tail(spark, src, tmp_path / "u", match="c.log", line_sep=";") == [("c.log", 1, "p"), ("c.log", 2, "q")]
+
+
+def test_tail_repeats_a_failed_run(spark, tmp_path):
+    from logweave.streaming.tail import tail_once
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.log").write_text("one\n")
+
+    def fail(df):
+        df.count()
+        raise ValueError("sink")
+
+    with pytest.raises(ValueError):
+        tail_once(spark, str(src), fail, str(tmp_path / "s"))
+    assert len(_tail(spark, src, tmp_path / "s")) == 1
+
+
+def test_watch_charset(spark, tmp_path):
+    from logweave.streaming.watch import watch_directory
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.log").write_bytes("zw\xf6lf\n".encode("latin-1"))
+    q = watch_directory(spark, str(src), lambda lines, i: lines.write.mode("append").parquet(out), str(tmp_path / "c"), trigger={"availableNow": True}, charset="ISO-8859-1")
+    q.awaitTermination(120)
+    assert [r.line for r in spark.read.parquet(out).collect()] == ["zw\xf6lf"]
