@@ -12,6 +12,15 @@ SYSTEM_COLUMNS = ("file", "line_num", "line", "_matched", "first_line", "last_li
                   "orphan", "emitted", "state")
 
 
+def _as_variant(c: Column, dtype: str) -> Column:
+    """The value with its own type (a JSON null is no value)."""
+    if dtype == "variant":
+        return F.when(~F.is_variant_null(c), c)
+    if dtype.startswith(("struct<", "map<", "array<")):
+        return F.to_variant_object(c)
+    return c.cast("variant")
+
+
 def _as_string(c: Column, dtype: str) -> Column:
     if dtype == "string":
         return c
@@ -35,13 +44,14 @@ def record_line(df: DataFrame) -> Column:
 
 def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | None = None,
                  map_cols: list[str] | None = None, keep_source: bool = True,
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None, typed: bool = False) -> DataFrame:
     """One document per record.
 
     ``id``: the record's ``id_field`` value when not NULL, else ``file:line``.  ``fields``: one
     ``{lower(name), value}`` per non-NULL value (columns, then map entries; a map entry replaces a
     column of the same name), sorted by name; a record with its own id also gets
     ``_src_ = file:line``.  Values are strings (variants: their JSON text or scalar text).
+    With ``typed`` values are variants: numbers, booleans and nested values stay what they are.
     ``keep``: columns carried along next to the document (a batching key, an order).
     """
     dtypes = dict(records.dtypes)
@@ -50,17 +60,18 @@ def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | N
     if fields is None:
         fields = [c for c in records.columns if c not in SYSTEM_COLUMNS and c not in map_cols
                   and not c.startswith("__")]
-    entry = "struct<name:string,value:string>"
+    entry = "struct<name:string,value:variant>" if typed else "struct<name:string,value:string>"
+    as_value = _as_variant if typed else _as_string
     empty = F.array().cast(f"array<{entry}>")
     # without map columns names need no de-duplication, so they are lower-cased right here
     col_entries = [F.struct(F.lit(f if map_cols else f.lower()).alias("name"),
-                            _as_string(F.col(f"`{f}`"), dtypes[f]).alias("value"))
+                            as_value(F.col(f"`{f}`"), dtypes[f]).alias("value"))
                    for f in fields]
     arr = F.filter(F.array(*col_entries).cast(f"array<{entry}>") if col_entries else empty,
                    lambda e: e["value"].isNotNull())
     for m in map_cols:
         vt = dtypes[m][len("map<string,"):-1]
-        ents = F.filter(F.coalesce(F.transform(F.map_entries(F.col(m)), _entry_fn(vt)), empty),
+        ents = F.filter(F.coalesce(F.transform(F.map_entries(F.col(m)), _entry_fn(vt, as_value)), empty),
                         lambda e: e["value"].isNotNull())
         arr = F.concat(arr, ents)
 
@@ -82,15 +93,19 @@ def to_documents(records: DataFrame, id_field: str = "id", fields: list[str] | N
         if map_cols else arr
     if keep_source:
         lowered = F.when(F.col("__own"), F.concat(lowered, F.array(F.struct(
-            F.lit("_src_").alias("name"), F.col("__src").alias("value"))))).otherwise(lowered)
+            F.lit("_src_").alias("name"), as_value(F.col("__src"), "string").alias("value"))))).otherwise(lowered)
     # (name, value) structs sort by name first: the natural order, no comparator lambda
-    return staged.select("id", F.array_sort(lowered).alias("fields"),
+    if typed:  # variants have no order of their own
+        in_order = F.array_sort(lowered, lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0))
+    else:
+        in_order = F.array_sort(lowered)
+    return staged.select("id", in_order.alias("fields"),
                          *[F.col(f"`{c}`") for c in kept])
 
 
-def _entry_fn(vt: str):
+def _entry_fn(vt: str, as_value):
     def fn(e):
-        return F.struct(e["key"].alias("name"), _as_string(e["value"], vt).alias("value"))
+        return F.struct(e["key"].alias("name"), as_value(e["value"], vt).alias("value"))
     return fn
 
 

@@ -22,6 +22,7 @@ from ..operators.stats import file_stats, multiline_stats, run_stats, status_of
 from ..session import prepare, scratch_path
 from ..sinks.batches import batch_documents_by_key
 from ..sources.files import after_offsets, read_log_lines, skip_processed
+from .catalog_files import FILE_QUERIES
 from . import render as R
 
 HTTPD_DATE = "dd/MMM/yyyy:HH:mm:ss Z"
@@ -507,4 +508,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "tail_offsets": (tail_offsets, SQL_TAIL),
     "read_files": (read_files, SQL_READ_FILES),
     "stream_files": (stream_files, SQL_READ_FILES),
+    **FILE_QUERIES,
 }
