@@ -49,24 +49,10 @@ def _fold_maps(sorted_items: Column, field: str) -> Column:
     return F.map_from_entries(F.flatten(F.transform(sorted_items[field], F.map_entries)))
 
 
-def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[str] = (),
-                     map_col: str | None = None, text_col: str | None = None,
-                     chunk_lines: int = CHUNK_LINES, keep_empty: bool = False) -> DataFrame:
-    """Group classified lines into records.
-
-    ``lines``: ``file, line_num, <state_col>`` plus the value columns.
-    ``fields``: scalar columns merged by "last non-NULL value in line order wins".
-    ``map_col``: a ``MAP<STRING,STRING>`` merged key by key, later value wins.
-    ``text_col``: string pieces concatenated in line order (e.g. a message and its continuation
-    lines); NULL pieces are skipped.
-
-    Output: ``file, line_i`` (START line, NULL for an orphan), ``first_line, last_line,
-    n_lines`` (START/CONT/END lines), ``has_end, orphan``, the merged columns and, with
-    ``keep_empty``, also non-emitted buffers (``emitted`` false) for the statistics.
-    """
-    if map_col:
-        prepare(lines.sparkSession)  # LAST_WIN policy for merging maps
-    fields = list(fields)
+def _chunk_parts(lines: DataFrame, state_col: str, fields: list[str], map_col: str | None, text_col: str | None,
+                 chunk_lines: int) -> DataFrame:
+    """The first level of grouping: one row for each record and chunk of lines, with the record's
+    number in its file (``__entry``) and the values merged inside the chunk."""
     st = F.col(state_col)
     base = lines.where(st.isin(START, CONT, END))
     val_cols = [F.col(f"`{f}`").alias(f) for f in fields]
@@ -127,7 +113,39 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
         part_cols.append(F.when(F.size("__maps") > 0, _fold_maps(F.col("__maps"), "m")).alias("__map"))
     if text_col:
         part_cols.append(F.when(F.size("__texts") > 0, F.array_join(F.col("__texts")["t"], "")).alias("__text"))
-    part = part.select(*part_cols)
+    return part.select(*part_cols)
+
+
+def record_pieces(lines: DataFrame, text_col: str, state_col: str = "state", chunk_lines: int = CHUNK_LINES) -> DataFrame:
+    """The text of records as ordered pieces, for records too long to be one value: ``file,
+    first_line`` (the record's), ``part_no`` and ``text``.  A piece holds what the record has of one chunk
+    of lines; the pieces of a record in order are its whole text.  Only line numbers meet across chunks,
+    so a file that is one record is still many tasks."""
+    part = _chunk_parts(lines, state_col, [], None, text_col, chunk_lines)
+    firsts = part.groupBy(F.col("file").alias("__f"), F.col("__entry").alias("__n_entry")).agg(F.min("__first").alias("first_line"))
+    out = part.join(firsts, F.col("file").eqNullSafe(F.col("__f")) & (F.col("__entry") == F.col("__n_entry")))
+    return out.where(F.col("__text").isNotNull()).select("file", "first_line", F.col("__chunk").alias("part_no"), F.col("__text").alias("text"))
+
+
+def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[str] = (),
+                     map_col: str | None = None, text_col: str | None = None,
+                     chunk_lines: int = CHUNK_LINES, keep_empty: bool = False) -> DataFrame:
+    """Group classified lines into records.
+
+    ``lines``: ``file, line_num, <state_col>`` plus the value columns.
+    ``fields``: scalar columns merged by "last non-NULL value in line order wins".
+    ``map_col``: a ``MAP<STRING,STRING>`` merged key by key, later value wins.
+    ``text_col``: string pieces concatenated in line order (e.g. a message and its continuation
+    lines); NULL pieces are skipped.
+
+    Output: ``file, line_i`` (START line, NULL for an orphan), ``first_line, last_line,
+    n_lines`` (START/CONT/END lines), ``has_end, orphan``, the merged columns and, with
+    ``keep_empty``, also non-emitted buffers (``emitted`` false) for the statistics.
+    """
+    if map_col:
+        prepare(lines.sparkSession)  # LAST_WIN policy for merging maps
+    fields = list(fields)
+    part = _chunk_parts(lines, state_col, fields, map_col, text_col, chunk_lines)
 
     # level 2: across chunks of one record
     agg2 = [

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.grok import compile_grok
 from ..functions.plan import materialize
 from ..operators.documents import explode_documents, preview_documents, to_documents
 from ..operators.extract import json_lines, raw_lines
+from ..operators.multiline import CONT, record_pieces
 from ..operators.stats import endpoint_stats
 from ..session import prepare, scratch_path
 from ..sinks.batches import batch_documents
@@ -160,6 +161,36 @@ FROM conversations
 """
 
 
+# --- P9: a file that is one record -----------------------------------------------------------------------
+PIECE_LINES = 500
+
+
+def one_record_file(spark: SparkSession, d: str) -> DataFrame:
+    """All lines of the documents as one file without a record start: its text in pieces."""
+    prepare(spark)
+    docs = R.table(spark, d, "documents").select("doc_id", F.split("text", "\n").alias("t"))
+    # line numbers by sums over runs of documents, then over the runs
+    run = docs.select("doc_id", F.floor(F.col("doc_id") / PER_FILE).alias("run"), F.size("t").alias("n"))
+    inside = Window.partitionBy("run").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    run = run.withColumn("in_run", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    runs = run.groupBy(F.col("run").alias("r")).agg(F.sum("n").alias("all"))
+    runs = runs.select("r", F.coalesce(F.sum("all").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    start = run.join(runs, F.col("run") == F.col("r")).select(F.col("doc_id").alias("id"), (F.col("base") + F.col("in_run")).alias("before"))
+    lines = docs.join(start, F.col("doc_id") == F.col("id")).select("before", F.posexplode("t").alias("pos", "line"))
+    lines = lines.select(F.lit("one.log").alias("file"), (F.col("before") + F.col("pos") + 1).alias("line_num"),
+                         F.lit(CONT).alias("state"), F.concat("line", F.lit("\n")).alias("piece"))
+    pieces = record_pieces(lines, "piece", chunk_lines=PIECE_LINES)
+    return pieces.select("first_line", "part_no", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("md5"))
+
+
+SQL_ONE_RECORD = f"""
+WITH l AS (SELECT doc_id, unnest(range(1, len(s) + 1)) AS pos, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+n AS (SELECT row_number() OVER (ORDER BY doc_id, pos) AS line_num, line FROM l),
+p AS (SELECT (line_num - 1) // {PIECE_LINES} AS part_no, string_agg(line || chr(10), '' ORDER BY line_num) AS t FROM n GROUP BY 1)
+SELECT CAST(1 AS BIGINT) AS first_line, CAST(part_no AS BIGINT) AS part_no, length(t) AS chars, md5(t) AS md5 FROM p
+"""
+
+
 # --- K1, K2, A3: batches per partition, delivery, totals ---------------------------------------------
 def _order_documents(spark: SparkSession, d: str) -> DataFrame:
     orders = R.table(spark, d, "orders")
@@ -255,6 +286,7 @@ FILE_QUERIES = {
     "read_with_state": (read_with_state, SQL_WITH_STATE),
     "read_charsets": (read_charsets, SQL_CHARSETS),
     "grok_escapes": (grok_escapes, SQL_ESCAPES),
+    "one_record_file": (one_record_file, SQL_ONE_RECORD),
     "tail_growth": (tail_growth, SQL_TAIL_GROWTH),
     "partition_batches": (partition_batches, SQL_PARTITION_BATCHES),
     "endpoint_totals": (endpoint_totals, SQL_ENDPOINTS),
