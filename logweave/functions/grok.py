@@ -56,6 +56,9 @@ def bundled_set_names() -> list[str]:
     return sorted(n for n in os.listdir(_PATTERN_DIR) if not n.startswith("."))
 
 
+MAX_DEFINITIONS = 100_000
+
+
 class PatternLibrary:
     """Name → regex definitions.  Later definitions replace earlier ones."""
 
@@ -89,7 +92,7 @@ class PatternLibrary:
 
     def add_text(self, text: str) -> "PatternLibrary":
         for raw in text.splitlines():
-            line = raw.strip()
+            line = raw.lstrip()  # a blank at the end of a definition is part of it
             if not line or line.startswith("#"):
                 continue
             parts = line.split(None, 1)
@@ -104,7 +107,10 @@ class PatternLibrary:
     def add_dataframe(self, df: DataFrame, name_col: str = "name", regex_col: str = "regex") -> "PatternLibrary":
         """Definitions from a (name, regex) table.  A pattern library is configuration, a few
         hundred rows at most, so it is fetched to the driver where expressions are compiled."""
-        for row in df.select(name_col, regex_col).toLocalIterator():
+        rows = df.select(name_col, regex_col).limit(MAX_DEFINITIONS + 1).collect()
+        if len(rows) > MAX_DEFINITIONS:
+            raise ValueError(f"a pattern library has at most {MAX_DEFINITIONS} definitions")
+        for row in rows:
             self.definitions[row[0]] = row[1]
         return self
 

@@ -199,3 +199,9 @@ def test_watch_charset(spark, tmp_path):
     q = watch_directory(spark, str(src), lambda lines, i: lines.write.mode("append").parquet(out), str(tmp_path / "c"), trigger={"availableNow": True}, charset="ISO-8859-1")
     q.awaitTermination(120)
     assert [r.line for r in spark.read.parquet(out).collect()] == ["zw\xf6lf"]
+
+
+def test_blank_at_the_end_of_a_definition(spark):
+    from logweave.functions.grok import PatternLibrary, default_library
+    assert PatternLibrary().add_text("  A x \nB  y\n").definitions == {"A": "x ", "B": "y"}
+    assert default_library().definitions["REDISLOG"].endswith(" ")
