@@ -66,10 +66,8 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 def extended(df: DataFrame, **fields: str) -> T.StructType:
     """The schema of ``df`` followed by new nullable ``fields`` (name=type)."""
-    out = T.StructType(list(df.schema.fields))
-    for name, kind in fields.items():
-        out = out.add(name, kind, True)
-    return out
+    new = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields.items()))
+    return T.StructType(list(df.schema.fields) + list(new.fields))
 
 
 def attach(left: DataFrame, small: DataFrame, keys: list[str], spread: Column, how: str = "left") -> DataFrame:

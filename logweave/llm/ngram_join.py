@@ -5,8 +5,9 @@
    counts over all documents), then by hash.  Documents with equal sets are one class.
 2. Candidates.  Two linked sets share a shingle within the first ``n - ceil(t * n) + 1`` of either.  In
    this order these are rare ones, so few classes meet at a shingle.  Where some do, parity sketches (a
-   bit per set element, folded) bound the size of the symmetric difference from below, and only
-   classes that may be linked are joined to a candidate cluster.  Equal groups are looked at once.
+   bit per set element, folded) bound the size of the symmetric difference from below; classes that may
+   be linked, directly or through others of the group, form the cluster of their smallest one, the pivot.
+   Equal groups are looked at once, and a class may be in several clusters.
 3. Trie join.  Each cluster's sets are stored in a prefix tree, common shingles first, so near copies
    share their path.  A set walks the tree with the overlap so far; subtrees are left out when the
    shingles that remain on either side cannot reach the threshold, or when all their sets are already
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import texts
-from logweave.llm.common import attach, cut, map_arrow, ship, table
+from logweave.llm.common import attach, cut, extended, map_arrow, ship, table
 
 SHINGLE = 4
 #: Linked: 100 * intersection >= PERCENT * union.
@@ -113,26 +114,48 @@ def fold(bits: bytes, size: int) -> np.ndarray:
     return a.view(U)
 
 
-def may_link(group_n: np.ndarray, group_bits: np.ndarray, one: int, others: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Which of ``others`` can be linked with ``one``: sizes fit, and the sketches differ in no more bits
-    than the sets may in elements."""
-    n, m = group_n[one], group_n[others]
-    apart = np.bitwise_count(group_bits[others] ^ group_bits[one]).sum(1).astype(np.int64)
-    fits = (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-    return fits & (apart * (100 + percent) <= (100 - percent) * (n + m))
+class Sketches:
+    """The sketches of a group, by length.  Sets that can be linked differ in size by less than a factor
+    of two, so each sketch is compared at its own length and at half of it."""
+
+    def __init__(self, n: np.ndarray, bits: list[bytes], percent: int):
+        self.n, self.percent = n, percent
+        self.length = np.array([len(b) for b in bits])
+        self.row = np.zeros(len(bits), np.int64)
+        self.whole, self.half = {}, {}
+        for size in set(self.length.tolist()):
+            at = np.flatnonzero(self.length == size)
+            self.row[at] = np.arange(len(at))
+            self.whole[size] = np.stack([fold(bits[i], size) for i in at])
+            self.half[size] = np.stack([fold(bits[i], size // 2) for i in at]) if size > 8 else None
+
+    def may_link(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` can be linked with ``one``: sizes fit, and the sketches differ in no more
+        bits than the sets may in elements."""
+        n, m = self.n[one], self.n[others]
+        ok = 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
+        size = int(self.length[one])
+        for other in (size // 2, size, 2 * size):
+            at = np.flatnonzero(ok & (self.length[others] == other))
+            if not len(at):
+                continue
+            mine = (self.half if other < size else self.whole)[size][self.row[one]]
+            theirs = (self.half if other > size else self.whole)[other][self.row[others[at]]]
+            apart = np.bitwise_count(theirs ^ mine).sum(1).astype(np.int64)
+            ok[at] = apart * (100 + self.percent) <= (100 - self.percent) * (n + m[at])
+        return ok
 
 
 def group_edges(fp: np.ndarray, n: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Star edges of the candidate components of one group of classes."""
-    size = min(map(len, bits))
-    matrix = np.stack([fold(b, size) for b in bits])
+    sketches = Sketches(n, bits, percent)
     rest, out = np.arange(len(fp)), []
     while len(rest) > 1:
         pivot, rest = rest[0], rest[1:]
         stack = [pivot]
         while stack and len(rest):
             v = stack.pop()
-            hit = may_link(n, matrix, v, rest, percent)
+            hit = sketches.may_link(v, rest)
             found, rest = rest[hit], rest[~hit]
             out += [(int(fp[pivot]), int(fp[u])) for u in found]
             stack += found.tolist()
@@ -175,15 +198,15 @@ class Trie:
             column.append(value)
         return len(self.seg) - 1
 
-    def link(self, parent: list[int], x: int, percent: int = PERCENT) -> list[tuple[int, int]]:
-        """Links of set ``x`` with sets outside its component; ``parent`` is a union-find forest."""
+    def link(self, parent: list[int], x: int, percent: int = PERCENT) -> None:
+        """Join set ``x`` with the linked sets outside its component; ``parent`` is a union-find forest."""
         def root(i):
             while parent[i] != i:
                 parent[i] = parent[parent[i]]
                 i = parent[i]
             return i
 
-        mine, size, out = self.sets[x], int(self.sizes[x]), []
+        mine, size = self.sets[x], int(self.sizes[x])
         least = -(-percent * size // 100)
         todo = [(0, 0, False)]
         while todo:
@@ -207,14 +230,13 @@ class Trie:
             for i in self.ends[node]:
                 if root(i) != root(x) and (100 + percent) * overlap >= percent * (size + int(self.sizes[i])):
                     parent[root(i)] = root(x)
-                    out.append((x, i))
             todo.append((node, 0, True))
             todo += [(k, overlap, False) for k in self.kids[node]]
-        return out
 
 
 def block_links(sets: list[np.ndarray], queries: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning set of the links between ``queries`` (a mask) and all sets of a block."""
+    """The links between ``queries`` (a mask) and all sets of a block, as stars: pairs (first of a
+    component, another of it)."""
     sizes = np.array([len(s) for s in sets])
     u, back, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.empty(len(u), np.int64)
@@ -222,34 +244,41 @@ def block_links(sets: list[np.ndarray], queries: np.ndarray, percent: int = PERC
     shared = count[back] > 1  # what only one set has overlaps with nothing
     ends = np.cumsum(sizes)
     ranked = [np.sort(rank[back[e - s: e]][shared[e - s: e]]) for s, e in zip(sizes, ends)]
-    trie, parent, out = Trie(ranked, sizes), list(range(len(sets))), []
+    trie, parent = Trie(ranked, sizes), list(range(len(sets)))
     for x in np.flatnonzero(queries).tolist():
-        out += trie.link(parent, x, percent)
+        trie.link(parent, x, percent)
+    first, out = {}, []
+    for i in range(len(sets)):
+        r = i
+        while parent[r] != r:
+            r = parent[r]
+        if first.setdefault(r, i) != i:
+            out.append((first[r], i))
     return out
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): the smallest number reachable over ``edges`` (a, b), for every number in them."""
-    both = cut(edges.union(edges.select("b", "a")).toDF("a", "b").distinct())
-    labels = cut(both.groupBy(F.col("a").alias("v")).agg(F.min(F.least("a", "b")).alias("c")))
+    ends = F.explode(F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
+                             F.struct(F.col("a"), F.col("a").alias("b")), F.struct(F.col("b").alias("a"), F.col("b"))))
+    both = cut(edges.select(ends.alias("e")).select("e.*").distinct())  # either way, and each number with itself
+    labels = cut(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("c")))
     while True:
-        near = both.join(labels.select(F.col("v").alias("b"), "c"), "b").groupBy(F.col("a").alias("v")).agg(F.min("c").alias("m"))
-        step = labels.join(near, "v").select("v", F.col("c").alias("old"), F.least("c", "m").alias("c"))
-        jump = labels.select(F.col("v").alias("c"), F.col("c").alias("cc"))
-        step = cut(step.join(jump, "c").select("v", "old", F.least("c", "cc").alias("c")))
-        changed = step.filter("c < old").count()
+        near = both.join(labels.select(F.col("v").alias("b"), "c"), "b").groupBy(F.col("a").alias("v"))
+        near = near.agg(F.min("c").alias("c"), F.max(F.when(F.col("a") == F.col("b"), F.col("c"))).alias("old"))
+        step = cut(near.join(labels.select(F.col("v").alias("c"), F.col("c").alias("cc")), "c").select("v", "old", F.least("c", "cc").alias("c")))
+        if step.filter("c < old").isEmpty():
+            return step.select("v", "c")
         labels = step.select("v", "c")
-        if not changed:
-            return labels
 
 
 def _base(docs: DataFrame, counts, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
-    """(rk, n, fp, prefix, bits) of each row: set size, fingerprint, first shingles, sketch."""
+    """(rk, doc_id, n, fp, prefix, bits) of each row: set size, fingerprint, first shingles, sketch."""
     def sets(batches):
         common = counts.value
         for batch in batches:
             n, fp, prefix, bits = [], [], [], []
-            for _, _, data, off in texts.chunks(batch.column(1)):
+            for _, _, data, off in texts.chunks(batch.column(2)):
                 token, at = shingle_sets(data, off, common, k)
                 size = np.diff(at)
                 sums = np.concatenate([np.zeros(1, U), np.cumsum(texts.mix(token))])
@@ -259,13 +288,13 @@ def _base(docs: DataFrame, counts, doc_id: str, text: str, k: int, percent: int)
                     own = token[lo:hi]
                     prefix.append(own[: prefix_length(len(own), percent)].astype(np.int64) if len(own) else own.astype(np.int64))
                     bits.append(sketch(own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n) if n else [], pa.int64()),
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(n) if n else [], pa.int64()),
                                               pa.array(np.concatenate(fp) if fp else [], pa.int64()),
                                               pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                                             names=["rk", "n", "fp", "prefix", "bits"])
+                                             names=["rk", "doc_id", "n", "fp", "prefix", "bits"])
 
-    rows = docs.select(F.xxhash64(doc_id, text).alias("rk"), F.col(text).cast("string").alias("t"))
-    return map_arrow(rows, sets, "rk long, n long, fp long, prefix array<long>, bits binary")
+    rows = docs.select(F.xxhash64(doc_id, text).alias("rk"), F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("t"))
+    return map_arrow(rows, sets, extended(rows.drop("t"), n="long", fp="long", prefix="array<long>", bits="binary"))
 
 
 def _groups(prefix: DataFrame, size: int) -> DataFrame:
@@ -369,12 +398,14 @@ def _true_links(rows: DataFrame, percent: int) -> DataFrame:
 
 def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id: str, text: str, k: int, percent: int,
            cluster_block: int) -> DataFrame:
-    """The verified links of all candidate clusters (v, c)."""
-    sizes = clusters.groupBy("c").agg(F.count("*").alias("size"), F.min("v").alias("pivot"))
-    members = clusters.join(sizes, "c").join(reps.select(F.col("fp").alias("v"), "rk"), "v")
+    """The verified links (a, b) of all candidate clusters, given as edges (pivot a, member b)."""
+    sizes = clusters.groupBy("a").agg((F.count("*") + 1).alias("size"))
+    one = F.struct(F.col("a").alias("c"), F.col("b").alias("v"), F.lit(False).alias("is_pivot"))
+    members = clusters.select(one.alias("m")).select("m.*").unionByName(sizes.select(F.col("a").alias("c"), F.col("a").alias("v"), F.lit(True).alias("is_pivot")))
     blocks = F.ceil(F.col("size") / cluster_block).cast("int")
-    members = cut(members.select("rk", "c", F.col("v").alias("cfp"), blocks.alias("blocks"), (F.col("v") == F.col("pivot")).alias("is_pivot"),
-                                 F.pmod(F.xxhash64("v"), blocks).cast("int").alias("block")))
+    place = F.struct("c", blocks.alias("blocks"), "is_pivot", F.pmod(F.xxhash64("v"), blocks).cast("int").alias("block"))
+    members = members.join(sizes.withColumnRenamed("a", "c"), "c").groupBy("v").agg(F.collect_list(place).alias("places"))
+    members = cut(members.join(reps.select(F.col("fp").alias("v"), "rk"), "v").select("rk", F.col("v").alias("cfp"), "places"))
     picked = attach(docs.select(F.xxhash64(doc_id, text).alias("rk"), F.col(text).cast("string").alias("t")), members, ["rk"], F.col("rk"), "inner")
     picked = picked.dropDuplicates(["rk"])
 
@@ -387,9 +418,9 @@ def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id
                 parts += [token[lo:hi].astype(np.int64) for lo, hi in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(parts, pa.list_(pa.int64()))], names=[*batch.schema.names[1:], "tokens"])
 
-    rows = map_arrow(picked.select("t", "c", F.col("cfp").alias("fp"), "blocks", "is_pivot", "block"), sets,
-                     "c long, fp long, blocks int, is_pivot boolean, block int, tokens array<long>")
-    rows = cut(rows)
+    picked = picked.select("t", F.col("cfp").alias("fp"), "places")
+    rows = cut(map_arrow(picked, sets, extended(picked.drop("t"), tokens="array<long>")))
+    rows = rows.select("fp", "tokens", F.explode("places").alias("p")).select("p.*", "fp", "tokens")
     whole = rows.filter("blocks = 1").select("c", F.lit(0).alias("b"), F.lit(0).alias("q"), "fp", "tokens", F.lit(True).alias("query"))
     large = rows.filter("blocks > 1")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -398,10 +429,11 @@ def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id
             .unionByName(large.filter("is_pivot").select("c", every.alias("b"), none, "fp", "tokens", F.lit(True).alias("query"))))
     found = cut(_true_links(whole.unionByName(star), percent))
     # sets that their pivot does not link meet all blocks, in blocks of their own
-    linked = large.filter("is_pivot").select(F.col("fp").alias("a")).join(found, "a").select(F.col("b").alias("fp"))
-    alone = large.filter("not is_pivot").join(linked.distinct(), "fp", "left_anti")
+    # (a pivot is the smallest number of its cluster, as is the first of a star)
+    linked = found.select(F.col("a").alias("c"), F.col("b").alias("fp")).distinct()
+    alone = large.filter("not is_pivot").join(linked, ["c", "fp"], "left_anti")
     askers = cut(alone.groupBy("c").agg(F.ceil(F.count("*") / cluster_block).cast("int").alias("qs")))
-    if not askers.count():
+    if askers.isEmpty():
         return found
     part = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("qs")).cast("int")
     ask = alone.join(askers, "c").select("c", every.alias("b"), part.alias("q"), "fp", "tokens", F.lit(True).alias("query"))
@@ -422,7 +454,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(word_counts(docs, text))
     base = cut(_base(docs, counts, doc_id, text, k, percent))
-    reps = cut(base.filter("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.min("rk").alias("rk"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
+    reps = cut(base.filter("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.min("rk").alias("rk"), F.min("doc_id").alias("least"),
+                                                      F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
     groups = cut(_groups(reps.select(F.explode("prefix").alias("token"), "fp"), group_block))
     many = groups.filter("many")
     pairs = (many.alias("x").join(many.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.block") < F.col("y.block")))
@@ -430,28 +463,20 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     sets = groups.select("members").unionByName(pairs).withColumn("gid", F.xxhash64("members")).dropDuplicates(["gid"])
     looked = sets.select("gid", F.explode("members").alias("fp")).join(reps.select("fp", "n", "bits"), "fp")
     candidates = cut(_group_edges(looked, percent).distinct())
-    found = None
-    if candidates.count():
-        clusters = components(candidates)
-        links = cut(_links(docs, clusters, reps, counts, doc_id, text, k, percent, cluster_block))
-        if links.count():
-            found = components(links)
-    # ids: the smallest of each set, then of each component
-    rows = docs.select(F.xxhash64(doc_id, text).alias("rk"), F.col(doc_id).alias("doc_id"))
-    ids = cut(rows.groupBy("rk").agg(F.first("doc_id", ignorenulls=True).alias("id")))
-    keyed = cut(base.select("rk", "n", "fp").distinct().join(ids, "rk"))
-    smallest = keyed.filter("n > 0").groupBy("fp").agg(F.min("id").alias("least"))
-    if found is not None:
-        smallest = smallest.join(found.withColumnRenamed("v", "fp"), "fp", "left").withColumn("c", F.coalesce("c", "fp"))
-        least = cut(smallest.groupBy("c").agg(F.min("least").alias("component_id")))
-        smallest = smallest.join(least, "c").select("fp", "c", "component_id")
-    else:
-        smallest = smallest.select("fp", F.col("fp").alias("c"), F.col("least").alias("component_id"))
-    smallest = cut(smallest)
-    full = keyed.join(smallest, "fp", "left").withColumn("component_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")))
-    full = cut(full.select(F.col("rk").alias("_rk"), "n", F.coalesce("c", "rk").alias("group_id"), "component_id"))
-    rows = rows.join(full, F.col("rk") == F.col("_rk"))
-    return rows.select("rk", "doc_id", F.col("n").alias("n_shingles"), "component_id", "group_id")
+    labels = reps.select("fp", F.col("fp").alias("group_id"), F.col("least").alias("component_id"))
+    if not candidates.isEmpty():
+        links = cut(_links(docs, candidates, reps, counts, doc_id, text, k, percent, cluster_block))
+        if not links.isEmpty():
+            found = components(links).withColumnRenamed("v", "fp")
+            linked = reps.select("fp", "least").join(found, "fp")
+            least = linked.groupBy("c").agg(F.min("least").alias("l"))
+            found = cut(found.join(least, "c").select(F.col("fp").alias("v"), "c", "l"))
+            labels = labels.join(found, F.col("fp") == F.col("v"), "left").select(
+                "fp", F.coalesce("c", "group_id").alias("group_id"), F.when(F.col("v").isNull(), F.col("component_id")).otherwise(F.col("l")).alias("component_id"))
+    labels = cut(labels.withColumnRenamed("fp", "v"))
+    rows = base.drop("prefix", "bits").join(labels, (F.col("fp") == F.col("v")) & (F.col("n") > 0), "left")
+    return rows.select("rk", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                       F.coalesce("group_id", "rk").alias("group_id"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
