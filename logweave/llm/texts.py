@@ -26,9 +26,13 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if not pa.types.is_string(column.type):
+        column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     _, offsets, data = column.buffers()
-    off = np.frombuffer(offsets, np.int64)[column.offset: column.offset + len(column) + 1]
+    kind = np.int32 if pa.types.is_string(column.type) else np.int64
+    off = np.frombuffer(offsets, kind)[column.offset: column.offset + len(column) + 1].astype(np.int64)
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), off
 
 

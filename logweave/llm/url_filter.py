@@ -7,9 +7,6 @@ how often URLs of the same suffix are allowed, smoothed by the share among all l
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +74,8 @@ def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
 
 
 def _featured(rows: DataFrame, stats: dict[int, DataFrame], general: float) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+
     rows = rows.select("*", *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(f"f_{n}") for n, c in features(F.col("u"), F.col("host"), F.col("path")).items()])
     for k in SUFFIX_PARTS:
         rows = rows.withColumn(f"s{k}", suffix(F.col("host"), k))
@@ -91,6 +90,9 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, max_sample: int = MAX
 
     A null URL counts as empty.  Repeated rows get the same verdict.  Where no rule fits and the labelled
     URLs have but one verdict (or there are none), the trees cannot learn and the verdict is ``allow``."""
+    from pyspark.ml.classification import GBTClassifier  # here, so that other queries' drivers do without
+    from pyspark.ml.functions import vector_to_array
+
     pages = without(pages, "host", "path", "rule", "verdict", "p_allow")
     u = F.coalesce(F.col(url).cast("string"), F.lit(""))
     host, path = parts(u)
