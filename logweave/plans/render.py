@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table.  Read from fewer files than the session has cores (the test tables are
-    one file with one row group each, which Spark reads in a single task), it is spread
-    round-robin so the parsing that follows uses every core; a table stored in many files is
-    left as it is."""
+    """A source table.  Where Spark would read it in fewer tasks than the session has cores (the test
+    tables are one file with one row group each), it is spread round-robin so the parsing that
+    follows uses every core; a larger table is left as it is."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
+    if df.rdd.getNumPartitions() < cores:
         df = df.repartition(cores)
     return df
 
