@@ -7,7 +7,7 @@ from logweave.llm import line_dedup, mixing, ngram_join, packing, perplexity, to
 QUERIES = {
     "op1_mixing": (mixing.op1_mixing, None),
     "op2_toxicity": (toxicity.op2_toxicity, None),
-    "op3_ngram_join": (ngram_join.op3_ngram_join, None),
+    "op3_ngram_join": (ngram_join.op3_ngram_join, ngram_join.OP3_SQL),
     "op4_topk": (topk.op4_topk, topk.OP4_SQL),
     "op5_token_counts": (wordpiece.op5_token_counts, None),
     "op6_token_matrix": (token_matrix.op6_token_matrix, None),

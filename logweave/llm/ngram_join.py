@@ -393,7 +393,8 @@ def _true_links(rows: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": pa.array([int(fp[x]) for x, _ in found], pa.int64()), "b": pa.array([int(fp[y]) for _, y in found], pa.int64())})
 
     ship(rows.sparkSession)
-    return rows.groupBy("c", "b", "q").applyInArrow(links, "a long, b long")
+    # dealt by the whole key: after joins on the cluster alone, one task would have all its blocks
+    return rows.repartition("c", "b", "q").groupBy("c", "b", "q").applyInArrow(links, "a long, b long")
 
 
 def _links(docs: DataFrame, clusters: DataFrame, reps: DataFrame, counts, doc_id: str, text: str, k: int, percent: int,
@@ -484,6 +485,21 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
+OP3_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g
+  FROM t WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * common >= 85 * (a.n + b.n - common)),
+r AS (SELECT doc_id, doc_id AS id FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.id) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay when of each component only the smallest id does (of rows that
     share that id, the one with the smallest hash; of fully equal rows one).  Texts without words stay."""
