@@ -28,6 +28,7 @@ from logweave.llm import texts
 from logweave.llm.common import attach, cut, extended, map_arrow, table, without
 
 ORDER = 5
+CUTOFF = 1
 B = 257  # byte values 0..255 as 1..256; 0 stands before a text
 MAX_ENTRIES = 2_000_000
 BAND = 12.0
@@ -120,22 +121,27 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def estimate(grams: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Modified Kneser-Ney probabilities: rows (ord, lang, key, logp, bow).  ``logp`` belongs to the
-    last byte of the n-gram after the others, ``bow`` to the n-gram as a context."""
+    """Modified Kneser-Ney probabilities: rows (ord, lang, key, context, value).  With ``context`` false,
+    the log-probability of the n-gram's last byte after the others; with true, the logarithm of what the
+    context ``key`` of ``ord`` - 1 bytes leaves to the shorter one.
+
+    n-grams of two bytes or more seen once (shorter ones: in one context) are left to the back-off.  A
+    text's own freaks would otherwise look likely to a model that has read them."""
     counted = {order: cut(grams)}
     for o in range(order - 1, 0, -1):
         # continuation counts: in how many distinct contexts the shorter n-gram occurs
         counted[o] = cut(counted[o + 1].groupBy("lang", F.pmod("key", F.lit(B ** o)).alias("key"))
                          .agg(F.count("*").alias("n")))
     total = counted[order].count()
-    least = 0
+    least = CUTOFF
     if total > max_entries:
         hist = (counted[order].groupBy(F.least("n", F.lit(1000)).alias("c")).count()
                 .orderBy("c").collect())
         for row in hist:
+            total -= row["count"]
+            least = max(least, row["c"])
             if total <= max_entries:
                 break
-            least, total = row["c"], total - row["count"]
     lower, levels = None, []
     for o in range(1, order + 1):
         t = counted[o]
@@ -148,31 +154,26 @@ def estimate(grams: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIE
             return F.when(raw.between(0.05, i - 0.05), raw).otherwise(F.lit(i * 0.5))
         d = cut(d.select("lang", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)]))
         t = attach(t, d, ["lang"], F.xxhash64("key"))
-        cutoff = least if o == order else 0
+        cutoff = 0 if o == 1 else least if o == order else CUTOFF
         t = t.withColumn("d", F.when(F.col("n") <= cutoff, F.col("n").cast("double")).when(F.col("n") == 1, F.col("d1"))
                          .when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
         t = t.withColumn("ctx", F.floor(F.col("key") / F.lit(B)) if o > 1 else F.lit(0).cast("long"))
         w = W.partitionBy("lang", "ctx")
         t = (t.withColumn("sum", F.sum("n").over(w)).withColumn("gamma", F.sum("d").over(w) / F.col("sum"))
              .withColumn("own", (F.col("n") - F.col("d")) / F.col("sum")))
-        t = t.filter(F.col("n") > cutoff).select("lang", "key", "ctx", "own", "gamma")
         if o == 1:
             p = t.withColumn("p", F.col("own") + F.col("gamma") / F.lit(float(B)))
         else:
             t = t.withColumn("suffix", F.pmod("key", F.lit(B ** (o - 1))))
             p = (t.join(lower.select("lang", F.col("key").alias("suffix"), F.col("p").alias("q")), ["lang", "suffix"])
                  .withColumn("p", F.col("own") + F.col("gamma") * F.col("q")))
-        lower = cut(p.select("lang", "key", "ctx", "p", "gamma"))
+        lower = cut(p.select("lang", "key", "ctx", "p", "gamma", (F.col("n") > cutoff).alias("kept")))
         levels.append(lower)
     out = None
     for o, level in enumerate(levels, 1):
-        rows = level.select("lang", "key", F.log("p").alias("logp"))
-        if o < order:
-            bow = levels[o].groupBy("lang", F.col("ctx").alias("key")).agg(F.log(F.max("gamma")).alias("bow"))
-            rows = rows.join(bow, ["lang", "key"], "left")
-        else:
-            rows = rows.withColumn("bow", F.lit(0.0))
-        rows = rows.select(F.lit(o).alias("ord"), "lang", "key", "logp", F.coalesce("bow", F.lit(0.0)).alias("bow"))
+        own = level.filter("kept").select(F.lit(o).alias("ord"), "lang", "key", F.lit(False).alias("context"), F.log("p").alias("value"))
+        left = level.groupBy("lang", F.col("ctx").alias("key")).agg(F.log(F.max("gamma")).alias("value")).filter("value < -1e-9")
+        rows = own.unionByName(left.select(F.lit(o).alias("ord"), "lang", "key", F.lit(True).alias("context"), "value"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -181,21 +182,22 @@ def _lang_hash(name: str | None) -> np.uint64:
     return U(int.from_bytes(hashlib.blake2b((name or "").encode(), digest_size=8).digest(), "little"))
 
 
-def pack(model: DataFrame, order: int = ORDER) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The model as sorted hash arrays: order -> (hashes, log-probabilities, back-off weights).
-    At most ``order * max_entries`` rows come to the driver."""
+def pack(model: DataFrame, order: int = ORDER) -> dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]:
+    """The model as sorted hash arrays: (order, context) -> (hashes, values).  At most
+    ``2 * order * max_entries`` rows of numbers come to the driver."""
     t = model.toArrow()
-    ords, keys = t["ord"].to_numpy(), t["key"].to_numpy().astype(U)
-    logp, bow = t["logp"].to_numpy().astype(np.float32), t["bow"].to_numpy().astype(np.float32)
+    ords, context = t["ord"].to_numpy(), t["context"].to_numpy()
+    keys, value = t["key"].to_numpy().astype(U), t["value"].to_numpy().astype(np.float32)
     coded = t["lang"].combine_chunks().dictionary_encode() if t.num_rows else None
     salt = (np.array([_lang_hash(x) for x in coded.dictionary.to_pylist()], U)[coded.indices.to_numpy()]
             if t.num_rows else np.zeros(0, U))
     out = {}
     for o in range(1, order + 1):
-        mine = ords == o
-        h = texts.mix(keys[mine] ^ salt[mine])
-        by = np.argsort(h)
-        out[o] = (h[by], logp[mine][by], bow[mine][by])
+        for c in (False, True):
+            mine = (ords == o) & (context == c)
+            h = texts.mix(keys[mine] ^ salt[mine])
+            by = np.argsort(h)
+            out[o, c] = (h[by], value[mine][by])
     return out
 
 
@@ -209,18 +211,16 @@ def log_likelihood(model: dict, data: np.ndarray, offsets: np.ndarray, salt: np.
     keys, who = keys[one], who[one]
     left, lp = np.arange(len(h)), np.zeros(len(h))
     for o in range(order, 0, -1):
-        found, at = _find(model[o][0], h)
-        lp[left[found]] += model[o][1][at[found]]
+        found, at = _find(model[o, False][0], h)
+        lp[left[found]] += model[o, False][1][at[found]]
         left, who, keys = left[~found], who[~found], keys[~found]
         if not len(left):
             break
-        if o > 1:
-            known, at = _find(model[o - 1][0], texts.mix(keys // U(B) ^ who))
-            lp[left[known]] += model[o - 1][2][at[known]]
-            keys = keys % U(B ** (o - 1))
-            h = texts.mix(keys ^ who)
-        else:
-            lp[left] -= np.log(B)
+        known, at = _find(model[o, True][0], texts.mix(keys // U(B) ^ who))
+        lp[left[known]] += model[o, True][1][at[known]]
+        keys = keys % U(B ** (o - 1))
+        h = texts.mix(keys ^ who)
+    lp[left] -= np.log(B)
     sums = np.concatenate([[0.0], np.cumsum(lp[back])])
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
@@ -280,14 +280,14 @@ def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
 
 def verdicts(scored: DataFrame, band: DataFrame, lang: str = "lang", width: float = BAND) -> DataFrame:
     """Adds ``perplexity``, ``base_failed`` and ``kept`` to the rows of :func:`score_texts`."""
-    band = band.select(F.col("lang").alias("_lang"), "mid", "spread")
-    rows = without(scored, "perplexity", "base_failed", "kept", "mid", "spread", "_lang").withColumn("_lang", F.col(lang))
-    rows = attach(rows, cut(band), ["_lang"], F.xxhash64("nll", "n_words"))
+    band = cut(band.select(F.col("lang").alias("_band_lang"), F.col("mid").alias("_band_mid"), F.col("spread").alias("_band_spread")))
+    rows = without(scored, "perplexity", "base_failed", "kept").withColumn("_band_lang", F.col(lang))
+    rows = attach(rows, band, ["_band_lang"], F.xxhash64("nll", "n_words"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    reach = width * F.greatest(F.col("spread"), F.lit(FLOOR) * F.col("mid")) * F.sqrt(1 + SHORT_BYTES / F.col("n_bytes"))
-    inside = F.coalesce(F.abs(F.col("nll") - F.col("mid")) <= reach, F.lit(True))
+    reach = width * F.greatest(F.col("_band_spread"), F.lit(FLOOR) * F.col("_band_mid")) * F.sqrt(1 + SHORT_BYTES / F.col("n_bytes"))
+    inside = F.coalesce(F.abs(F.col("nll") - F.col("_band_mid")) <= reach, F.lit(True))
     return (rows.withColumn("perplexity", F.exp("nll")).withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & inside).drop("_lang", "mid", "spread"))
+            .withColumn("kept", ~F.col("base_failed") & inside).drop("_band_lang", "_band_mid", "_band_spread"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", width: float = BAND,

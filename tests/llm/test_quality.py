@@ -56,7 +56,7 @@ def corpus(spark, n=300):
     rows = [(i, " ".join(rng.choice(vocab, int(rng.integers(12, 90)))), ["en", "fr", None][i % 3]) for i in range(n)]
     rows += [(1000, "".join(chr(int(c)) for c in rng.integers(0x4E00, 0x9FFF, 400)).replace("\u5000", " ") + " " + " ".join(f"Q{i}Z" for i in range(100, 160)), "en")]
     rows += [(1001, None, "en"), (1002, "", None), (None, rows[5][1], "en"), (5, rows[5][1], rows[5][2])]
-    return spark.createDataFrame([(*r, "x", 7) for r in rows], "doc_id long, text string, lang string, kept string, N_words int").repartition(4), rows
+    return spark.createDataFrame([(*r, "x", 7, "m") for r in rows], "doc_id long, text string, lang string, kept string, N_words int, mid string").repartition(4), rows
 
 
 def test_model_sums_to_one(spark):
@@ -82,7 +82,7 @@ def test_model_sums_to_one(spark):
 def test_quality_rules(spark):
     docs, rows = corpus(spark)
     got = perplexity.quality_rules(docs)
-    assert got.columns[:3] == ["doc_id", "text", "lang"] and len(set(map(str.lower, got.columns))) == len(got.columns)
+    assert got.columns[:4] == ["doc_id", "text", "lang", "mid"] and len(set(map(str.lower, got.columns))) == len(got.columns)
     got = got.toPandas()
     assert len(got) == len(rows)
     for r in got.itertuples():
