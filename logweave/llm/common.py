@@ -29,10 +29,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch of whole texts, where the session has not set its own number.
+BATCH_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors (once per application), as ``--py-files`` would."""
+    """Send this package to the executors (once per application), as ``--py-files`` would.  The archive
+    lies on the driver, from where Spark serves it; no data is kept there."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
@@ -49,8 +52,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package."""
-    ship(df.sparkSession)
+    """``mapInArrow`` whose workers can import this package, with batches that fit whole texts."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's own default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 
@@ -70,11 +76,12 @@ def extended(df: DataFrame, **fields: str) -> T.StructType:
     return T.StructType(list(df.schema.fields) + list(new.fields))
 
 
-def attach(left: DataFrame, small: DataFrame, keys: list[str], spread: Column, how: str = "left") -> DataFrame:
+def attach(left: DataFrame, small: DataFrame, keys: list[str], spread: Column, how: str = "left", rows: int | None = None) -> DataFrame:
     """Null-safe join of a cut, much smaller table.  Up to ``BROADCAST_ROWS`` counted rows are
     broadcast; a larger table is joined by shuffle, with ``spread`` (any hash of the left row) as
-    salt, so that a key with a third of the rows still reaches many tasks."""
-    if small.count() <= BROADCAST_ROWS:
+    salt, so that a key with a third of the rows still reaches many tasks.  ``rows`` is the count of
+    ``small``, where it is known."""
+    if (small.count() if rows is None else rows) <= BROADCAST_ROWS:
         salted, right, extra = left, small, []
         hint = F.broadcast
     else:

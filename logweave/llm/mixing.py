@@ -34,6 +34,8 @@ PRIME = 2147483647
 #: Prefix sums go over runs of this many blocks first, then over the runs.
 RUN = 1024
 FILL_PASSES = 3
+#: Levels of the tree in one plan.
+LEVELS = 4
 ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_draws")
 
 
@@ -104,7 +106,7 @@ def hypergeometric(marked: Column, total: Column, drawn: Column, u: Column) -> C
 def split_tree(quotas: DataFrame, n_shards: int, seed: int = SEED) -> DataFrame:
     """(shard, quotas) from one row with the array ``quotas`` (draws of each source)."""
     nodes = quotas.select(F.lit(0).alias("lo"), F.lit(n_shards).alias("hi"), F.col("quotas"))
-    width = n_shards
+    width, depth = n_shards, 0
     while width > 1:
         total = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q)
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
@@ -122,8 +124,10 @@ def split_tree(quotas: DataFrame, n_shards: int, seed: int = SEED) -> DataFrame:
             F.struct(F.col("lo"), F.col("mid").alias("hi"), F.col("left").alias("quotas")),
             F.struct(F.col("mid").alias("lo"), F.col("hi"), F.zip_with("quotas", "left", lambda a, b: a - b).alias("quotas"))))
         same = F.array(F.struct(F.col("lo"), F.col("hi"), F.col("quotas")))
-        nodes = cut(nodes.select(F.explode(F.coalesce(halves, same)).alias("n")).select("n.*"))
-        width = (width + 1) // 2
+        nodes = nodes.select(F.explode(F.coalesce(halves, same)).alias("n")).select("n.*")
+        width, depth = (width + 1) // 2, depth + 1
+        if depth % LEVELS == 0:  # a plan of a few levels at a time
+            nodes = cut(nodes)
     return nodes.select(F.col("lo").alias("shard"), "quotas")
 
 
@@ -183,10 +187,11 @@ def plan_mix(docs: DataFrame, source: str = "source", size: Column | None = None
     epochs = F.floor(F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0)) + 1e-9).cast("long")
     sources = sources.withColumn("epochs", epochs).withColumn("rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
     sources = cut(sources)
+    n_sources = sources.count()
     block = F.pmod(F.col("h"), F.col("n_blocks"))
 
-    blocks = attach(sizes, sources, ["source"], F.col("h")).groupBy("source", block.alias("block")).agg(F.sum("size").alias("words"))
-    blocks = attach(blocks, sources.select("source", "n_blocks", "epochs", "rest"), ["source"], F.col("block"))
+    blocks = attach(sizes, sources, ["source"], F.col("h"), rows=n_sources).groupBy("source", block.alias("block")).agg(F.sum("size").alias("words"))
+    blocks = attach(blocks, sources.select("source", "n_blocks", "epochs", "rest"), ["source"], F.col("block"), rows=n_sources)
     blocks = blocks.withColumn("pos", F.pmod(F.col("block") * F.lit(PRIME) + F.abs(F.xxhash64(F.lit(seed), "source") % (1 << 30)), F.col("n_blocks")))
     blocks = running(blocks, ["source"], "pos", "words")
     blocks = blocks.withColumn("whole", F.col("before") + F.col("words") <= F.col("rest")).withColumn("gap", F.col("rest") - F.col("before"))
@@ -204,21 +209,21 @@ def plan_mix(docs: DataFrame, source: str = "source", size: Column | None = None
     shards = split_tree(quotas, n_shards, seed).select("shard", F.posexplode("quotas").alias("nr", "share"))
     shards = shards.withColumn("first", F.coalesce(F.sum("share").over(W.partitionBy("nr").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     draws = shards.filter("share > 0").select("nr", "shard", F.explode(F.sequence("first", F.col("first") + F.col("share") - 1)).alias("draw"))
-    draws = attach(draws, drawn.select("nr", "source", "n_real"), ["nr"], F.col("draw"), "inner")
+    draws = attach(draws, drawn.select("nr", "source", "n_real"), ["nr"], F.col("draw"), "inner", rows=n_sources)
     draws = draws.select("source", F.struct(F.floor(F.col("draw") / F.col("n_real")).alias("epoch"), F.col("shard")).alias("draw"),
                          F.pmod("draw", F.col("n_real")).alias("rank"))
     draws = draws.groupBy("source", "rank").agg(F.array_sort(F.collect_list("draw")).alias("draws"))  # at most cap + 1 each
     plan = blocks.join(draws.withColumnRenamed("source", "s").withColumnRenamed("rank", "r"),
                        F.col("source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r")), "left").drop("s", "r")
     edge = blocks.filter("edge").select("source", "block", "gap")
-    at_edge = attach(attach(sizes, sources.select("source", "n_blocks"), ["source"], F.col("h")).withColumn("block", block),
-                     cut(edge), ["source", "block"], F.col("h"), "inner")
+    at_edge = attach(attach(sizes, sources.select("source", "n_blocks"), ["source"], F.col("h"), rows=n_sources).withColumn("block", block),
+                     edge, ["source", "block"], F.col("h"), "inner", rows=n_sources)  # one edge block a source
     taken = fill(at_edge).filter("took").groupBy("source", "block").agg(F.collect_set("h").alias("picked"))
     plan = plan.join(taken.select(F.col("source").alias("s"), F.col("block").alias("b"), "picked"),
                      F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
     plan = cut(plan.select("source", "block", "draws", "picked", "edge", "epochs"))
 
-    rows = attach(keyed, sources.select("source", "source_size", "target", "n_blocks"), ["source"], F.col("h")).withColumn("block", block)
+    rows = attach(keyed, sources.select("source", "source_size", "target", "n_blocks"), ["source"], F.col("h"), rows=n_sources).withColumn("block", block)
     rows = attach(rows, plan, ["source", "block"], F.col("h"))
     none = F.array().cast("array<struct<epoch:bigint,shard:int>>")
     kept = F.filter("draws", lambda d: ~F.col("edge") | (d["epoch"] < F.col("epochs")) | F.array_contains(F.coalesce("picked", F.array().cast("array<bigint>")), F.col("h")))
