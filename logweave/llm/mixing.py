@@ -35,7 +35,7 @@ PRIME = 2147483647
 RUN = 1024
 FILL_PASSES = 3
 #: Levels of the tree in one plan.
-LEVELS = 4
+LEVELS = 2
 ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_draws")
 
 
@@ -62,45 +62,58 @@ def uniform(*parts) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
+def let(body, **values: Column) -> Column:
+    """``body`` of a struct of named values: each is written (and computed) once, however often used."""
+    bound = F.array(F.struct(*[c.alias(name) for name, c in values.items()]))
+    return F.element_at(F.transform(bound, body), 1)
+
+
 def hypergeometric(marked: Column, total: Column, drawn: Column, u: Column) -> Column:
     """The number of ``marked`` items among ``drawn`` of ``total``, by inversion of ``u``.
 
     Probabilities follow from the most likely count by their ratios; counts further than 12 standard
     deviations from it have less probability than a double can add."""
-    k, n, d = marked.cast("double"), total.cast("double"), drawn.cast("double")
-    low = F.greatest(F.lit(0).cast("long"), drawn - (total - marked))
-    high = F.least(drawn, marked)
-    share = F.try_divide(k, n)
-    sd = F.coalesce(F.sqrt(F.greatest(d * share * (1 - share) * F.try_divide(n - d, n - 1), F.lit(0.0))), F.lit(0.0))
-    mode = F.greatest(low, F.least(high, F.floor((d + 1) * (k + 1) / (n + 2)).cast("long")))
-    first = F.greatest(low, mode - F.ceil(12 * sd + 2).cast("long"))
-    last = F.least(high, mode + F.ceil(12 * sd + 2).cast("long"))
-    one, zero = F.lit(1.0), F.lit(0.0)
-    # (weight, sum) walking away from the mode
-    grow = lambda a, i: F.struct((a["w"] * (k - i + 1) * (d - i + 1) / (i * (n - k - d + i))).alias("w"),
-                                 (a["s"] + a["w"] * (k - i + 1) * (d - i + 1) / (i * (n - k - d + i))).alias("s"))
-    fall = lambda a, i: F.struct((a["w"] * (i + 1) * (n - k - d + i + 1) / ((k - i) * (d - i))).alias("w"),
-                                 (a["s"] + a["w"] * (i + 1) * (n - k - d + i + 1) / ((k - i) * (d - i))).alias("s"))
-    start = F.struct(one.alias("w"), zero.alias("s"))
-    up = F.when(last > mode, F.sequence(mode + 1, last)).otherwise(F.array().cast("array<bigint>"))
-    down = F.when(first < mode, F.sequence(mode - 1, first, F.lit(-1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    above = F.aggregate(up, start, grow)["s"]
-    below = F.aggregate(down, start, fall)["s"]
-    # invert: the mode's mass first, then upwards, then downwards
-    goal = u * (above + below + 1)
-
-    def walk(step):
-        def one_step(a, i):
-            moved = step(F.struct(a["w"].alias("w"), a["s"].alias("s")), i)
-            return F.struct(moved["w"].alias("w"), moved["s"].alias("s"),
-                            F.when((a["at"] < 0) & (moved["s"] > a["goal"]), i).otherwise(a["at"]).alias("at"), a["goal"].alias("goal"))
-        return one_step
-
-    begin = lambda g: F.struct(one.alias("w"), zero.alias("s"), F.lit(-1).cast("long").alias("at"), g.alias("goal"))
-    over = F.aggregate(up, begin(goal - 1), walk(grow))["at"]
-    under = F.aggregate(down, begin(goal - 1 - above), walk(fall))["at"]
-    return (F.when(goal < 1, mode).when((goal - 1 < above) & (over >= 0), over)
-            .when(under >= 0, under).otherwise(mode))
+    none = F.array().cast("array<bigint>")
+
+    def likely(v):  # the most likely count and the deviation
+        share = F.try_divide(v.k, v.n)
+        variance = v.d * share * (1 - share) * F.try_divide(v.n - v.d, v.n - 1)
+        mode = F.floor((v.d + 1) * (v.k + 1) / (v.n + 2)).cast("long")
+        return let(lambda m: ranges(v, m), mode=F.greatest(v.low, F.least(v.high, mode)),
+                   reach=F.ceil(12 * F.sqrt(F.greatest(F.coalesce(variance, F.lit(0.0)), F.lit(0.0))) + 2).cast("long"))
+
+    def ranges(v, m):  # the counts above and below it
+        first, last = F.greatest(v.low, m.mode - m.reach), F.least(v.high, m.mode + m.reach)
+        return let(lambda r: sums(v, m, r),
+                   up=F.when(last > m.mode, F.sequence(m.mode + 1, last)).otherwise(none),
+                   down=F.when(first < m.mode, F.sequence(m.mode - 1, first, F.lit(-1).cast("long"))).otherwise(none))
+
+    def sums(v, m, r):  # their probabilities over that of the most likely count
+        grow = lambda w, i: w * (v.k - i + 1) * (v.d - i + 1) / (i * (v.n - v.k - v.d + i))
+        fall = lambda w, i: w * (i + 1) * (v.n - v.k - v.d + i + 1) / ((v.k - i) * (v.d - i))
+        start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"))
+
+        def add(step):
+            return lambda a, i: let(lambda x: F.struct(x.w.alias("w"), (a.s + x.w).alias("s")), w=step(a.w, i))
+
+        return let(lambda t: let(lambda g: invert(m, r, t, g, grow, fall), goal=v.u * (t.above + t.below + 1)),
+                   above=F.aggregate(r.up, start, add(grow)).s, below=F.aggregate(r.down, start, add(fall)).s)
+
+    def invert(m, r, t, g, grow, fall):  # the most likely count first, then upwards, then downwards
+        def find(step, goal):
+            start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"), F.lit(-1).cast("long").alias("at"))
+
+            def walk(a, i):
+                return let(lambda x: F.struct(x.w.alias("w"), (a.s + x.w).alias("s"),
+                                              F.when((a["at"] < 0) & (a.s + x.w > goal), i).otherwise(a["at"]).alias("at")), w=step(a.w, i))
+            return lambda counts: F.aggregate(counts, start, walk)["at"]
+
+        return let(lambda f: F.when(g.goal < 1, m.mode).when((g.goal - 1 < t.above) & (f["higher"] >= 0), f["higher"])
+                   .when(f["lower"] >= 0, f["lower"]).otherwise(m.mode),
+                   higher=find(grow, g.goal - 1)(r.up), lower=find(fall, g.goal - 1 - t.above)(r.down))
+
+    return let(likely, k=marked.cast("double"), n=total.cast("double"), d=drawn.cast("double"), u=u,
+               low=F.greatest(F.lit(0).cast("long"), drawn - (total - marked)), high=F.least(drawn, marked))
 
 
 def split_tree(quotas: DataFrame, n_shards: int, seed: int = SEED) -> DataFrame:
