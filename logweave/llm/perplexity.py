@@ -11,8 +11,9 @@ their back-off, by one count limit chosen from the histogram of counts).  With b
 distinct n-grams, so that limit is far away on the tables here.
 
 A document's score is its mean negative log-likelihood per byte, the logarithm of its perplexity.
-Per language, median and median absolute deviation over all documents give a lower and an upper
-band, wider for short texts, whose mean scatters more."""
+Per language, median and median absolute deviation over the distinct texts give a lower and an upper
+band, wider for short texts, whose mean scatters more.  A text with many copies counts once, in the
+model as in the bands; every copy gets its verdict."""
 
 from __future__ import annotations
 
@@ -36,6 +37,7 @@ SHORT_BYTES = 200
 FLOOR = 0.01
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
+SEED = 7219
 U = np.uint64
 
 
@@ -92,8 +94,26 @@ def _sum(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nda
     return keys, np.bincount(back, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
 
 
+def text_hash(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with ``_h1`` and ``_h2``, 128 bits that stand for the text."""
+    t = F.col(f"`{text}`").cast("string")
+    return without(docs, "_h1", "_h2").withColumns({"_h1": F.xxhash64(t), "_h2": F.xxhash64(F.lit(SEED), t)})
+
+
+def distinct_texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(text, lang, _h1, _h2): each text of a language once.  Texts that occur once are read where they
+    lie; of the others each task sends one copy."""
+    rows = text_hash(docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")), "text")
+    same = ["lang", "_h1", "_h2"]
+    twice = cut(rows.groupBy(*same).agg(F.count("*").alias("n")).filter("n > 1").select(*same, F.lit(True).alias("twice")))
+    marked = attach(rows, twice, same, F.xxhash64(F.monotonically_increasing_id()))
+    once = marked.filter("twice is null").select("text", *same)
+    return once.unionByName(marked.filter("twice").groupBy(*same).agg(F.first("text").alias("text")))
+
+
 def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, key, n): how often each language has each n-gram of the highest order, all texts."""
+    """(lang, key, n): how often each language has each n-gram of the highest order, over its distinct
+    texts: copies of a text say nothing more about the language."""
     top = U(B ** ORDER)
 
     def count(batches):
@@ -115,7 +135,7 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 yield pa.record_batch([pa.array(names[(k // top).astype(np.int64)], pa.string()), pa.array((k % top).astype(np.int64)),
                                        pa.array(n[i: i + 65536])], names=["lang", "key", "n"])
 
-    rows = docs.select(F.col(text).cast("string"), F.col(lang).cast("string"))
+    rows = distinct_texts(docs, text, lang).select("text", "lang")
     return (map_arrow(rows, count, "lang string, key long, n long")
             .groupBy("lang", "key").agg(F.sum("n").alias("n")))
 
@@ -270,8 +290,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_entries: in
 
 
 def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
-    """(lang, mid, spread): median and scaled median absolute deviation of ``nll`` by language."""
-    scored = scored.filter("nll is not null").select(F.col(lang).alias("lang"), "nll")
+    """(lang, mid, spread): median and scaled median absolute deviation of ``nll`` by language, each
+    distinct text (by :func:`text_hash`) once."""
+    scored = scored.filter("nll is not null").groupBy(F.col(lang).alias("lang"), "_h1", "_h2").agg(F.first("nll").alias("nll"))
+    scored = cut(scored.select("lang", "nll"))
     mid = cut(scored.groupBy("lang").agg(F.percentile_approx("nll", 0.5, 10000).alias("mid")))
     off = attach(scored, mid, ["lang"], F.xxhash64("nll")).withColumn("off", F.abs(F.col("nll") - F.col("mid")))
     return cut(off.groupBy("lang").agg(F.first("mid").alias("mid"),
@@ -297,14 +319,14 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", width
     A null or empty text has no words: base rules reject it.  A null language is a language of its
     own.  Repeated rows each get the same result.  An empty table gives an empty table."""
     model = fit(docs, text, lang, max_entries)
-    narrow = cut(score_texts(docs.select(text, lang), model, text, lang).select(F.col(lang).alias("lang"), "nll"))
+    narrow = cut(score_texts(text_hash(docs.select(text, lang), text), model, text, lang).select(F.col(lang).alias("lang"), "_h1", "_h2", "nll"))
     return verdicts(score_texts(docs, model, text, lang), bands(narrow), lang, width)
 
 
 def op7_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs)
-    scored = cut(score_texts(docs, model).drop("text"))
+    scored = cut(score_texts(text_hash(docs, "text"), model).drop("text"))
     return (verdicts(scored, bands(scored))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", "perplexity"))

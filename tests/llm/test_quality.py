@@ -98,3 +98,15 @@ def test_quality_rules(spark):
 
 def test_empty_table(spark):
     assert perplexity.quality_rules(corpus(spark, 9)[0].limit(0)).count() == 0
+
+
+def test_copies_move_no_band(spark):
+    docs, rows = corpus(spark)
+    many = spark.createDataFrame([(5000 + i, rows[1][1], "fr", "x", 7, "m") for i in range(900)], docs.schema)
+    own = perplexity.quality_rules(docs).select("doc_id", "lang", "nll", "kept", "base_failed").toPandas()
+    got = perplexity.quality_rules(docs.unionByName(many).repartition(7)).select("doc_id", "lang", "nll", "kept", "base_failed").toPandas()
+    assert len(got) == len(own) + 900 and got[got.doc_id >= 5000].kept.all()
+    clean = got[(got.lang == "fr") & (got.doc_id < 300) & ~got.base_failed]
+    assert clean.kept.mean() > 0.99
+    by = lambda d: d[d.doc_id.between(6, 1000)].set_index("doc_id").nll.sort_index().to_numpy()
+    assert np.allclose(by(own), by(got), rtol=1e-9)
