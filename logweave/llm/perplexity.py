@@ -3,12 +3,12 @@
 The language model is a modified Kneser-Ney model over the UTF-8 bytes of the texts, one for each
 language.  Spark counts the n-grams of the highest order (each task sums its own first); all lower
 orders follow from their distinct rows, and so do discounts, back-off weights and probabilities, as
-joins and windows on tables of distinct n-grams.  The finished model travels as sorted arrays of
-64-bit hashes, one pair per order, found by binary search.
+joins and windows on tables of distinct n-grams.  No n-gram is left out for the model's size.
 
-Memory: each order holds at most ``max_entries`` n-grams (rarer ones of the highest order are left to
-their back-off, by one count limit chosen from the histogram of counts).  With bytes there are few
-distinct n-grams, so that limit is far away on the tables here.
+Memory: a model whose counted rows, contexts included, are at most ``MODEL_ROWS`` travels as sorted
+arrays of 64-bit hashes, one pair per order, found by binary search.  A larger one stays distributed:
+the probabilities of all n-grams of the highest order, back-off worked in, are a table that the distinct
+n-grams of each chunk of texts are joined with.  Both ways give the same scores.
 
 A document's score is its mean negative log-likelihood per byte, the logarithm of its perplexity.
 Per language, median and median absolute deviation over the distinct texts give a lower and an upper
@@ -21,7 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,7 +31,10 @@ from logweave.llm.common import attach, cut, extended, map_arrow, table, without
 ORDER = 5
 CUTOFF = 1
 B = 257  # byte values 0..255 as 1..256; 0 stands before a text
-MAX_ENTRIES = 2_000_000
+#: Logarithms of the model are whole multiples of 1 / GRID, so their sums are exact in any order.
+GRID = float(1 << 24)
+#: Rows of a model that is broadcast, at most (16 bytes each in every worker); a larger one is joined.
+MODEL_ROWS = 3_000_000
 BAND = 12.0
 SHORT_BYTES = 200
 FLOOR = 0.01
@@ -140,10 +143,16 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
             .groupBy("lang", "key").agg(F.sum("n").alias("n")))
 
 
-def estimate(grams: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Modified Kneser-Ney probabilities: rows (ord, lang, key, context, value).  With ``context`` false,
-    the log-probability of the n-gram's last byte after the others; with true, the logarithm of what the
-    context ``key`` of ``ord`` - 1 bytes leaves to the shorter one.
+def _log(p: Column) -> Column:
+    return F.rint(F.log(p) * GRID) / GRID
+
+
+def levels_of(grams: DataFrame, order: int = ORDER, max_entries: int | None = None) -> list[DataFrame]:
+    """Modified Kneser-Ney estimates, a table (lang, key, ctx, p, value, gamma, kept) for each order from
+    1 on: ``p`` is the probability of the n-gram's last byte after the others, with what shorter n-grams
+    give worked in (all of it, where the n-gram is not ``kept``), ``value`` its logarithm as the packed
+    model adds it up; ``gamma`` is what the context leaves to the shorter one.  Only with ``max_entries`` are rarer n-grams of the highest order left to the back-off
+    until no more remain.
 
     n-grams of two bytes or more seen once (shorter ones: in one context) are left to the back-off.  A
     text's own freaks would otherwise look likely to a model that has read them."""
@@ -152,9 +161,9 @@ def estimate(grams: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIE
         # continuation counts: in how many distinct contexts the shorter n-gram occurs
         counted[o] = cut(counted[o + 1].groupBy("lang", F.pmod("key", F.lit(B ** o)).alias("key"))
                          .agg(F.count("*").alias("n")))
-    total = counted[order].count()
     least = CUTOFF
-    if total > max_entries:
+    total = counted[order].count() if max_entries is not None else 0
+    if max_entries is not None and total > max_entries:
         hist = (counted[order].groupBy(F.least("n", F.lit(1000)).alias("c")).count()
                 .orderBy("c").collect())
         for row in hist:
@@ -182,32 +191,46 @@ def estimate(grams: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIE
         t = (t.withColumn("sum", F.sum("n").over(w)).withColumn("gamma", F.sum("d").over(w) / F.col("sum"))
              .withColumn("own", (F.col("n") - F.col("d")) / F.col("sum")))
         if o == 1:
-            p = t.withColumn("p", F.col("own") + F.col("gamma") / F.lit(float(B)))
+            p = t.withColumn("p", F.col("own") + F.col("gamma") / F.lit(float(B))).withColumn("value", _log(F.col("p")))
         else:
             t = t.withColumn("suffix", F.pmod("key", F.lit(B ** (o - 1))))
-            p = (t.join(lower.select("lang", F.col("key").alias("suffix"), F.col("p").alias("q")), ["lang", "suffix"])
+            p = (t.join(lower.select("lang", F.col("key").alias("suffix"), F.col("p").alias("q"), F.col("value").alias("rest")), ["lang", "suffix"])
                  .withColumn("p", F.col("own") + F.col("gamma") * F.col("q")))
-        lower = cut(p.select("lang", "key", "ctx", "p", "gamma", (F.col("n") > cutoff).alias("kept")))
+            left = F.when(F.log("gamma") < -1e-9, _log(F.col("gamma"))).otherwise(0.0)
+            p = p.withColumn("value", F.when(F.col("n") > cutoff, _log(F.col("p"))).otherwise(left + F.col("rest")))
+        lower = cut(p.select("lang", "key", "ctx", "p", "value", "gamma", (F.col("n") > cutoff).alias("kept")))
         levels.append(lower)
+    return levels
+
+
+def model_rows(levels: list[DataFrame]) -> DataFrame:
+    """Rows (ord, lang, key, context, value).  With ``context`` false, the log-probability of a kept
+    n-gram; with true, the logarithm of what the context ``key`` of ``ord`` - 1 bytes leaves to the
+    shorter one."""
     out = None
     for o, level in enumerate(levels, 1):
-        own = level.filter("kept").select(F.lit(o).alias("ord"), "lang", "key", F.lit(False).alias("context"), F.log("p").alias("value"))
-        left = level.groupBy("lang", F.col("ctx").alias("key")).agg(F.log(F.max("gamma")).alias("value")).filter("value < -1e-9")
+        own = level.filter("kept").select(F.lit(o).alias("ord"), "lang", "key", F.lit(False).alias("context"), "value")
+        left = level.groupBy("lang", F.col("ctx").alias("key")).agg(F.max("gamma").alias("gamma"))
+        left = left.filter(F.log("gamma") < -1e-9).withColumn("value", _log(F.col("gamma")))
         rows = own.unionByName(left.select(F.lit(o).alias("ord"), "lang", "key", F.lit(True).alias("context"), "value"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def estimate(grams: DataFrame, order: int = ORDER, max_entries: int | None = None) -> DataFrame:
+    return model_rows(levels_of(grams, order, max_entries))
+
+
 def _lang_hash(name: str | None) -> np.uint64:
     return U(int.from_bytes(hashlib.blake2b((name or "").encode(), digest_size=8).digest(), "little"))
 
 
 def pack(model: DataFrame, order: int = ORDER) -> dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]:
-    """The model as sorted hash arrays: (order, context) -> (hashes, values).  At most
-    ``2 * order * max_entries`` rows of numbers come to the driver."""
+    """The model as sorted hash arrays: (order, context) -> (hashes, values).  All its rows come to the
+    driver: count them first."""
     t = model.toArrow()
     ords, context = t["ord"].to_numpy(), t["context"].to_numpy()
-    keys, value = t["key"].to_numpy().astype(U), t["value"].to_numpy().astype(np.float32)
+    keys, value = t["key"].to_numpy().astype(U), t["value"].to_numpy()
     coded = t["lang"].combine_chunks().dictionary_encode() if t.num_rows else None
     salt = (np.array([_lang_hash(x) for x in coded.dictionary.to_pylist()], U)[coded.indices.to_numpy()]
             if t.num_rows else np.zeros(0, U))
@@ -256,10 +279,62 @@ FIELDS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_l
           "n_repeat_words": "long", "n_bytes": "long", "nll": "double"}
 
 
-def score_texts(docs: DataFrame, model: dict, text: str = "text", lang: str = "lang") -> DataFrame:
+def joined_nll(docs: DataFrame, model: DataFrame, text: str, lang: str) -> DataFrame:
+    """(_tl, _t1, _t2, nll) of each distinct text of ``docs`` (language and hash) that has bytes, by a join
+    of its n-grams with ``model`` (lang, key, value).  Each chunk of texts sends an n-gram once, with the
+    texts that have it, so a common n-gram is one row a chunk."""
+    top = U(B ** ORDER)
+
+    def explode(batches):
+        for batch in batches:
+            names = [x or "" for x in batch.column(1).to_pylist()]
+            h1, h2 = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            for lo, hi, data, off in texts.chunks(batch.column(0)):
+                if not len(data):
+                    continue
+                kinds, code = np.unique(np.array(names[lo:hi], object), return_inverse=True)
+                doc = np.repeat(np.arange(hi - lo), np.diff(off))
+                key = gram_keys(data, off) + code.astype(U)[doc] * top
+                by = np.lexsort((doc, key))
+                key, doc = key[by], doc[by]
+                new = np.ones(len(key), bool)
+                new[1:] = key[1:] != key[:-1]
+                pair = new.copy()
+                pair[1:] |= doc[1:] != doc[:-1]
+                at = np.flatnonzero(pair)
+                n, d = np.diff(np.append(at, len(key))), doc[at] + lo
+                first = np.flatnonzero(new[at])
+                key = key[at][first]
+                held = pa.StructArray.from_arrays([pa.array(h1[d]), pa.array(h2[d]), pa.array(n)], names=["_t1", "_t2", "n"])
+                rows = pa.ListArray.from_arrays(pa.array(np.append(first, len(d)).astype(np.int32)), held)
+                lang_of = pa.array(kinds[(key // top).astype(np.int64)], pa.string())
+                made = pa.record_batch([lang_of, pa.array((key % top).astype(np.int64)), rows], names=["_tl", "_key", "held"])
+                for i in range(0, len(key), 65536):
+                    yield made.slice(i, 65536)
+
+    rows = distinct_texts(docs, text, lang).select("text", "lang", "_h1", "_h2")
+    grams = map_arrow(rows, explode, "_tl string, _key long, held array<struct<_t1:long,_t2:long,n:long>>")
+    found = grams.join(model, (F.col("_tl") == F.col("lang")) & (F.col("_key") == F.col("key")))
+    found = found.select("_tl", "value", F.explode("held").alias("h")).select("_tl", "h._t1", "h._t2", "h.n", "value")
+    return cut(found.groupBy("_tl", "_t1", "_t2").agg((-F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("nll")))
+
+
+def score_texts(docs: DataFrame, model: dict | DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """All columns of ``docs`` plus ``FIELDS`` (columns of these names give way).  ``nll`` is the mean
-    negative log-likelihood per byte, null for a text without bytes."""
+    negative log-likelihood per byte, null for a text without bytes.  A model that is a table must have
+    been fitted on texts that include these."""
     docs = without(docs, *FIELDS)
+    if not isinstance(model, dict):
+        nll = joined_nll(docs, model, text, lang)
+        whole = F.col(f"`{text}`").cast("string")
+        rows = _scored(docs, None, text, lang).drop("nll")
+        rows = rows.withColumns({"_tl": F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")),
+                                 "_t1": F.xxhash64(whole), "_t2": F.xxhash64(F.lit(SEED), whole)})
+        return attach(rows, nll, ["_tl", "_t1", "_t2"], F.xxhash64(F.monotonically_increasing_id())).drop("_tl", "_t1", "_t2")
+    return _scored(docs, model, text, lang)
+
+
+def _scored(docs: DataFrame, model: dict | None, text: str, lang: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     t_at, l_at = docs.columns.index(text), docs.columns.index(lang)
 
@@ -273,6 +348,9 @@ def score_texts(docs: DataFrame, model: dict, text: str = "text", lang: str = "l
                     cols[f].append(v)
                 size = np.diff(off)
                 cols["n_bytes"].append(size)
+                if arrays is None:
+                    cols["nll"].append(np.full(hi - lo, np.nan))
+                    continue
                 with np.errstate(invalid="ignore", divide="ignore"):
                     cols["nll"].append(-log_likelihood(arrays, data, off, salt[lo:hi]) / size)
             made = []
@@ -285,8 +363,14 @@ def score_texts(docs: DataFrame, model: dict, text: str = "text", lang: str = "l
     return map_arrow(docs, score, extended(docs, **FIELDS))
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", max_entries: int = MAX_ENTRIES) -> dict:
-    return pack(estimate(count_grams(docs, text, lang), max_entries=max_entries))
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", most: int | None = None) -> dict | DataFrame:
+    """The model to be broadcast, if it has at most ``most`` (else ``MODEL_ROWS``) rows; otherwise the
+    table (lang, key, value) to be joined, with a value for each n-gram of the highest order."""
+    levels = levels_of(count_grams(docs, text, lang))
+    model = model_rows(levels)
+    if model.count() <= (MODEL_ROWS if most is None else most):
+        return pack(model)
+    return levels[-1].select("lang", "key", "value")
 
 
 def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
@@ -313,12 +397,12 @@ def verdicts(scored: DataFrame, band: DataFrame, lang: str = "lang", width: floa
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", width: float = BAND,
-                  max_entries: int = MAX_ENTRIES) -> DataFrame:
+                  most: int | None = None) -> DataFrame:
     """Every row of ``docs`` with its counts, ``perplexity``, ``base_failed`` and ``kept``.
 
     A null or empty text has no words: base rules reject it.  A null language is a language of its
     own.  Repeated rows each get the same result.  An empty table gives an empty table."""
-    model = fit(docs, text, lang, max_entries)
+    model = fit(docs, text, lang, most)
     narrow = cut(score_texts(text_hash(docs.select(text, lang), text), model, text, lang).select(F.col(lang).alias("lang"), "_h1", "_h2", "nll"))
     return verdicts(score_texts(docs, model, text, lang), bands(narrow), lang, width)
 

@@ -110,3 +110,17 @@ def test_copies_move_no_band(spark):
     assert clean.kept.mean() > 0.99
     by = lambda d: d[d.doc_id.between(6, 1000)].set_index("doc_id").nll.sort_index().to_numpy()
     assert np.allclose(by(own), by(got), rtol=1e-9)
+
+
+def test_large_model_is_joined_with_equal_scores(spark):
+    docs, rows = corpus(spark, 90)
+    sent = perplexity.quality_rules(docs).toPandas().astype({"doc_id": float})
+    joined = perplexity.quality_rules(docs, most=0)
+    assert joined.columns == list(sent.columns)
+    joined = joined.toPandas().astype({"doc_id": float})
+    assert len(joined) == len(rows)
+    by = lambda d: d.fillna({"doc_id": -1, "lang": "", "text": ""}).sort_values(["doc_id", "lang", "text"])
+    sent, joined = by(sent), by(joined)
+    assert np.array_equal(sent.nll, joined.nll, equal_nan=True) and sent.nll.isna().sum() == 2
+    for c in ("kept", "base_failed", "n_words", "n_bytes"):
+        assert sent[c].tolist() == joined[c].tolist()
