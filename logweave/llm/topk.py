@@ -52,7 +52,7 @@ def block_top(query_ids: np.ndarray, q: np.ndarray, vec_ids: np.ndarray, x: np.n
     vec_ids, x = vec_ids[by], x[by]
     m = len(x)
     bound = max(np.abs(q).sum(1).max(initial=0) * np.abs(x).max(initial=0), 1.0)
-    if bound >= 2.0 ** 62 / (m + 1):
+    if bound >= 2.0 ** 63 * (1 - 1e-9):
         raise OverflowError("scores of these vectors do not fit a long")
     kind = np.float32 if bound < 2 ** 22 else np.float64
     whole = bound < 2 ** 52  # otherwise products are taken in 64-bit integers, and bounds are widened
@@ -83,18 +83,20 @@ def block_top(query_ids: np.ndarray, q: np.ndarray, vec_ids: np.ndarray, x: np.n
             score = (q[lo: lo + QUERY_STEP].astype(kind) @ x[cols].astype(kind).T).astype(np.int64)
         else:
             score = q[lo: lo + QUERY_STEP].astype(np.int64) @ x[cols].astype(np.int64).T
-        key = score * np.int64(m + 1) + (m - cols)
-        key[~alive[:, cols]] = np.iinfo(np.int64).min
+        score[~alive[:, cols]] = np.iinfo(np.int64).min  # below any score that passed the bound
         take = min(k, len(cols))
         if not take:
             continue
-        pick = np.argpartition(key, len(cols) - take, axis=1)[:, len(cols) - take:]
-        ok = np.take_along_axis(key, pick, 1) > np.iinfo(np.int64).min
-        r, c = np.nonzero(ok)
-        at = pick[r, c]
+        least = np.partition(score, len(cols) - take, axis=1)[:, len(cols) - take, None]
+        r, c = np.nonzero((score >= least) & alive[:, cols])  # with all that tie with the last
+        s = score[r, c]
+        order = np.lexsort((c, ~s, r))  # ~s falls as s rises and cannot overflow
+        r, c, s = r[order], c[order], s[order]
+        best = np.arange(len(r)) - np.searchsorted(r, r) < take
+        r, c = r[best], c[best]
         found[0].append(r + lo)
-        found[1].append(by[cols[at]])
-        found[2].append(score[r, at])
+        found[1].append(by[cols[c]])
+        found[2].append(s[best])
     return tuple(np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
 
 

@@ -48,3 +48,25 @@ def test_rounds_change_nothing(scale, kind):
     nra = topk.block_top(ids[:9], q, ids, x, 15, rounds=(0.05, 0.3, 0.6))
     as_set = lambda t: set(zip(*map(lambda a: a.tolist(), t)))
     assert as_set(plain) == as_set(nra) and len(plain[0]) == 9 * 15
+
+
+def test_large_components_in_a_full_block():
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(0, 20, (topk.VECTOR_BLOCK, 64)))
+    x[77] = np.floor(64 * 1e5)  # one outlier
+    x[5000:5040] = x[77]        # and its copies: ties
+    ids = rng.permutation(len(x))
+    at = np.array([77, 3, 900])
+    r, c, score = topk.block_top(ids[at], x[at], ids, x, 20)
+    whole = x[at].astype(np.int64) @ x.astype(np.int64).T
+    for i in range(3):
+        want = sorted((-int(whole[i, j]), int(ids[j])) for j in range(len(x)) if j != at[i])[:20]
+        assert sorted(zip((-score[r == i]).tolist(), ids[c[r == i]].tolist())) == want
+
+
+def test_scores_up_to_a_long():
+    x = np.array([[3e9], [2e9], [-3e9], [3e9]])
+    r, c, score = topk.block_top(np.array([0]), x[:1], np.arange(4), x, 2)
+    assert list(zip(c.tolist(), score.tolist())) == [(3, 9 * 10 ** 18), (1, 6 * 10 ** 18)]
+    with pytest.raises(OverflowError):
+        topk.block_top(np.array([0]), 2 * x[:1], np.arange(4), x, 2)
