@@ -14,7 +14,7 @@ from logweave.llm.common import attach, cut, table, without
 
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-#: Labelled URLs that the trees are trained on, at most, chosen by a hash of the URL.
+#: Labelled URLs that the trees are trained on, at most, chosen for each verdict by a hash of the URL.
 MAX_SAMPLE = 20_000
 TREES = 10
 DEPTH = 4
@@ -84,10 +84,23 @@ def _featured(rows: DataFrame, stats: dict[int, DataFrame], general: float) -> D
     return VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="f").transform(rows).drop(*[f"f_{n}" for n in FEATURES])
 
 
+def sampled(urls: DataFrame, most: int, seed: int) -> DataFrame:
+    """All labelled URLs, or ``most`` of them by hash, of which the rarer verdict has up to half."""
+    pick = lambda d, y, k: d.filter(F.col("label") == y).orderBy(F.xxhash64(F.lit(seed), "u"), "u").limit(k)
+    both = cut(pick(urls, 0.0, most).unionByName(pick(urls, 1.0, most)))
+    n = {y: both.filter(F.col("label") == y).count() for y in (0.0, 1.0)}
+    if sum(n.values()) <= most:
+        return both
+    keep = {y: min(n[y], max(most // 2, most - n[1.0 - y])) for y in n}
+    return cut(pick(both, 0.0, keep[0.0]).unionByName(pick(both, 1.0, keep[1.0])))
+
+
 def judge(pages: DataFrame, url: str = "url", rules=RULES, max_sample: int = MAX_SAMPLE, seed: int = 7) -> DataFrame:
     """All rows of ``pages`` with ``host``, ``path``, ``rule`` (null where none fits), ``verdict`` and
     ``p_allow`` (the trees' probability, null where a rule decides); columns of these names give way.
 
+    The trees learn from both verdicts with equal weight, however rare one of them is.
+
     A null URL counts as empty.  Repeated rows get the same verdict.  Where no rule fits and the labelled
     URLs have but one verdict (or there are none), the trees cannot learn and the verdict is ``allow``."""
     from pyspark.ml.classification import GBTClassifier  # here, so that other queries' drivers do without
@@ -108,11 +121,8 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, max_sample: int = MAX
     # suffix statistics over all labelled URLs
     stats = {k: cut(labelled.groupBy(suffix(F.col("host"), k).alias(f"s{k}"))
                     .agg(((F.sum("label") + SMOOTH * general) / (F.count("*") + SMOOTH)).alias(f"allowed_{k}"))) for k in SUFFIX_PARTS}
-    sample = labelled.groupBy("u", "host", "path").agg(F.max("label").alias("label"))
-    sample = cut(sample.orderBy(F.xxhash64(F.lit(seed), "u"), "u").limit(max_sample))
+    sample = sampled(labelled.groupBy("u", "host", "path").agg(F.max("label").alias("label")), max_sample, seed)
     share = sample.agg(F.avg("label")).first()[0]
-    if share in (0.0, 1.0):
-        return made(rows, F.lit(None).cast("double"), F.lit("allow"))
     weighted = sample.withColumn("weight", F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share)))
     trees = GBTClassifier(featuresCol="f", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=seed, stepSize=0.3)
     model = trees.fit(cut(_featured(weighted, stats, general).select("f", "label", "weight")))

@@ -90,3 +90,14 @@ def test_one_class_or_none(spark, rules):
     got = {r.page_id: r.verdict for r in url_filter.judge(pages, rules=rules).collect()}
     assert got == {1: "block" if rules else "allow", 2: "allow"}
     assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+def test_rare_verdict_is_learnt(spark):
+    rows = [(i, f"http://press.site.com/articles/news/{'one' if i % 2 else 'two'}-{i}") for i in range(1500)]
+    rows += [(2000 + i, f"http://x.bad.com/?win={i}&a=1&b=2&c=3&d=4") for i in range(3)]
+    rows += [(3000, "http://x.win.net/?win=1&a=1&b=2&c=3&d=4"), (3001, "http://press.page.net/articles/news/one-5")]
+    rules = (("bad.com", "/", "block"), ("site.com", "/", "allow"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    free = {r.page_id: r for r in url_filter.judge(pages, rules=rules, max_sample=40).filter("rule is null").collect()}
+    assert len(free) == 2 and all(r.p_allow is not None for r in free.values())
+    assert free[3000].verdict == "block" and free[3001].verdict == "allow"
