@@ -20,6 +20,8 @@ A batch of texts is one sequence, with a word of its own between texts, which no
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -131,33 +133,32 @@ def find_runs(words: np.ndarray, min_length: int = MIN_LENGTH) -> tuple[np.ndarr
     return start[least], length[least], lag[least]
 
 
-def _repeats(ids: np.ndarray, doc: np.ndarray, size: int) -> np.ndarray:
+def _repeats(words: list[list[bytes]], sizes: np.ndarray, size: int) -> np.ndarray:
     """Texts in which some window of ``size`` words may occur twice (equal hashes; none is missed)."""
-    h, at = texts.windows(texts.mix(ids.astype(texts.U) + texts.U(1)), doc, size)
+    h = np.fromiter(map(hash, chain.from_iterable(words)), np.int64, int(sizes.sum())).view(texts.U)
+    doc = np.repeat(np.arange(len(words)), sizes)
+    h, at = texts.windows(h, doc, size)
     h = texts.mix(h + doc[at].astype(texts.U))
-    by = np.argsort(h, kind="stable")
+    by = np.argsort(h)
     return np.unique(doc[at[by[1:][h[by[1:]] == h[by[:-1]]]]])
 
 
 def search_texts(split: list[list[bytes]], min_length: int = MIN_LENGTH) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Runs of each text that has any, the texts given as lists of words."""
-    number: dict[bytes, int] = {}
     sizes = np.array([len(w) for w in split], np.int64)
-    ids = np.fromiter((number.setdefault(x, len(number)) for w in split for x in w), np.int64, int(sizes.sum()))
-    doc = np.repeat(np.arange(len(split)), sizes)
-    chosen = _repeats(ids, doc, (min_length + 1) // 2)
-    if not len(chosen):
+    chosen = _repeats(split, sizes, (min_length + 1) // 2).tolist()
+    if not chosen:
         return {}
-    begin = np.cumsum(sizes) - sizes
-    parts = []
-    for k, d in enumerate(chosen.tolist()):
-        parts += [ids[begin[d]: begin[d] + sizes[d]], [len(number) + k]]  # a word of its own after each text
+    number: dict[bytes, int] = {}  # equal numbers are equal words
+    ids: list[int] = []
+    for k, d in enumerate(chosen):
+        ids += [number.setdefault(x, len(number)) for x in split[d]]
+        ids.append(-1 - k)  # a word of its own after each text
     base = np.cumsum(sizes[chosen] + 1) - (sizes[chosen] + 1)
-    start, length, period = find_runs(np.concatenate(parts).astype(np.int64), min_length)
+    start, length, period = find_runs(np.array(ids, np.int64), min_length)
     of = np.searchsorted(base, start, "right") - 1
-    cut = np.searchsorted(of, np.arange(len(chosen) + 1))
-    return {d: (start[a:b] - base[k], length[a:b], period[a:b])
-            for k, (d, a, b) in enumerate(zip(chosen.tolist(), cut[:-1].tolist(), cut[1:].tolist())) if a < b}
+    cut = np.searchsorted(of, np.arange(len(chosen) + 1)).tolist()
+    return {d: (start[a:b] - base[k], length[a:b], period[a:b]) for k, (d, a, b) in enumerate(zip(chosen, cut[:-1], cut[1:])) if a < b}
 
 
 def _kept(n: int, runs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
