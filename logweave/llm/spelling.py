@@ -216,8 +216,8 @@ r AS (SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmno
   FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS w FROM documents)),
 o AS (SELECT doc_id, w, COUNT(*) AS n FROM r WHERE length(w) >= {MIN_CHARS} GROUP BY ALL),
 h AS (SELECT w, n, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR || ':' || w, ''),
-    c -> CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END))),
-    (s, b) -> xor(s >> 8, t[(xor(s, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM o, crc),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END))),
+    lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM o, crc),
 s AS (SELECT CASE WHEN h % {SPOILED} = 0 THEN left(w, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, n FROM h),
 v AS (SELECT word, SUM(n)::BIGINT AS n FROM s WHERE length(word) >= {MIN_CHARS} GROUP BY word HAVING SUM(n) >= {MIN_COUNT}),
 d AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
