@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logweave.llm import line_dedup, mixing, ngram_join, packing, periodic_runs, perplexity, spelling, token_matrix, topk, toxicity, url_filter, wordpiece
+from logweave.llm import line_dedup, main_text, mixing, ngram_join, packing, periodic_runs, perplexity, spelling, token_matrix, topk, toxicity, url_filter, wordpiece
 
 QUERIES = {
     "op1_mixing": (mixing.op1_mixing, None),
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_packing": (packing.op8_packing, None),
     "op9_line_dedup": (line_dedup.op9_line_dedup, line_dedup.OP9_SQL),
     "op10_url_filter": (url_filter.op10_url_filter, None),
-    "op13_spelling_forms": (spelling.op13_spelling_forms, spelling.OP13_SQL),
+    "op11_html_extraction": (main_text.op11_html_extraction, None),
     "op12_periodic_runs": (periodic_runs.op12_periodic_runs, None),
+    "op13_spelling_forms": (spelling.op13_spelling_forms, spelling.OP13_SQL),
 }
