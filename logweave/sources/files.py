@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
+from . import ranges
 
 DEFAULT_MATCH = "*.log"
 SPLIT_BROADCAST_ROWS = 1_000_000
-MANIFEST_PRUNE_LIMIT = 10_000
 # per-file tables (manifest, offsets) are broadcast after counting no more rows than this
 PER_FILE_ROWS = 100_000
 # Charsets whose bytes 0x00-0x7F are ASCII: lines can be split on b"\n" before decoding.
@@ -71,47 +71,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH,
                charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
-               prune_limit: int = MANIFEST_PRUNE_LIMIT, line_sep_regex: str | None = None,
-               with_bytes: bool = False, only: list[str] | None = None) -> DataFrame:
-    """Raw scan: ``(file, block, m, line)`` with ``m`` consecutive inside each split; with
-    ``with_bytes`` also ``nbytes``, the line's bytes in the file without its separator.  ``only``
-    names the files to read; others are pruned while listing.
+               line_sep_regex: str | None = None) -> DataFrame:
+    """Raw scan by Spark's own readers: ``(file, block, m, line)`` with ``m`` consecutive inside each split.
 
     Files are filtered by name at listing time (``pathGlobFilter``) when the rule is a plain
     extension, otherwise by a ``_metadata.file_name`` predicate, which Spark also applies while
-    listing files.  A manifest of processed files with at most ``prune_limit`` entries (counted)
-    becomes a ``_metadata.file_path`` predicate as well, so those files are never opened; a
-    larger one is applied as a left-anti join on the lines.
+    listing files.  A manifest of processed files is applied to the lines here; :func:`read_log_lines`
+    applies it to the listing wherever tasks can open the files.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    for p in paths:
-        if not path_exists(spark, p):
-            raise FileNotFoundError(f"log directory does not exist: {p}")
+    paths = _existing(spark, paths)
     reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", line_sep)
     glob = _simple_glob(match)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if line_sep_regex is not None or (not _ASCII_COMPATIBLE.match(charset)
-                                      and charset.lower().replace("-", "") != "utf8"):
+    if line_sep_regex is not None or not _cut_before_decoding(charset):
         out = _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex)
         return skip_processed(out, processed) if processed is not None else out
     df = reader.text(paths)
     rx = match_regex(match) if not glob else None
     if rx:
         df = df.filter(F.col("_metadata.file_name").rlike(rx))
-    if only is not None:
-        df = df.filter(_file_col(F.col("_metadata.file_path")).isin(only))
-    anti = None
-    if processed is not None:
-        m = processed.select(F.trim(F.col(processed.columns[0])).alias("file")).where(F.col("file") != "").distinct()
-        small = m.limit(prune_limit + 1).collect()
-        if len(small) <= prune_limit:
-            done = [r.file for r in small]
-            if done:
-                # a predicate on metadata only: Spark applies it while listing files
-                df = df.filter(~_file_col(F.col("_metadata.file_path")).isin(done))
-        else:
-            anti = m
     text = F.col("value")
     if charset.lower().replace("-", "") not in ("utf8", "usascii", "ascii"):
         # the text source keeps the raw bytes of each line; decode them with the file's charset
@@ -121,9 +100,57 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("m"),
         text.alias("line"),
-        *([F.octet_length("value").cast("bigint").alias("nbytes")] if with_bytes else []),
     )
-    return skip_processed(out, anti) if anti is not None else out
+    return skip_processed(out, processed) if processed is not None else out
+
+
+def _cut_before_decoding(charset: str) -> bool:
+    return bool(_ASCII_COMPATIBLE.match(charset)) or charset.lower().replace("-", "") == "utf8"
+
+
+def _existing(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    for p in paths:
+        if not path_exists(spark, p):
+            raise FileNotFoundError(f"log directory does not exist: {p}")
+    return paths
+
+
+def latest_version(spark: SparkSession, state_dir: str) -> int | None:
+    """The newest complete version of a table kept as ``v=1``, ``v=2``, ... below ``state_dir``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(state_dir)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    versions = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            versions.append(int(name[2:]))
+    return max(versions) if versions else None
+
+
+def list_sources(spark: SparkSession, paths: str | list[str], match: str | None = DEFAULT_MATCH) -> DataFrame:
+    """``(file, uri, size, mtime)`` of the matching files that are not empty, as Spark lists them: a table
+    that stays on the executors.  Contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    glob = _simple_glob(match)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.load(paths)
+    rx = match_regex(match) if not glob else None
+    if rx:
+        df = df.filter(F.col("_metadata.file_name").rlike(rx))
+    uri = F.col("_metadata.file_path")
+    return df.select(_file_col(uri).alias("file"), uri.alias("uri"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")).filter("size > 0")
+
+
+def _opened_by_tasks(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether tasks can open the files below ``paths`` by themselves (see :mod:`logweave.sources.ranges`)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return all(jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).getUri().getScheme() in ranges.SCHEMES for p in paths)
 
 
 def _file_col(uri):
@@ -259,28 +286,59 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
                    charset: str = "UTF-8", line_sep: str = "\n", processed: DataFrame | None = None,
                    offsets: DataFrame | None = None, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
                    allow_empty: bool = False, rebalance: int | None = None,
-                   line_sep_regex: str | None = None) -> DataFrame:
+                   line_sep_regex: str | None = None, index_dir: str | None = None,
+                   opener: ranges.Opener | None = None) -> DataFrame:
     """All lines of the matching files below ``paths`` (sub-directories always descended).
 
-    ``processed``: a manifest ``(file)`` of files to skip (left-anti, see :func:`skip_processed`).
-    ``offsets``: ``(file, last_line)``; only lines after ``last_line`` are returned (tailing).
+    ``processed``: a manifest ``(file)`` of files to skip; it is applied to the listing, whatever its
+    size, so a listed file is not opened.
+    ``offsets``: ``(file, last_line)``; only lines after ``last_line`` are returned (tailing), and parts
+    of files before it are not read.
+    ``index_dir``: keep the line index there (:mod:`logweave.sources.ranges`): later reads of the same files
+    number their lines in one pass, and count only what is new in files that have grown.
     ``line_sep_regex``: split lines on a regular expression instead of ``line_sep`` (whole-file
     decoding, see :func:`_scan_whole_files`).
     ``rebalance``: spread the numbered lines round-robin over that many partitions (for inputs of
     a few large gzip files, which are read one task per file).
+    ``opener``: opens files of stores that the tasks cannot reach by ``pyarrow.fs``; without it such files
+    are read by Spark, the manifest and the offsets applied to lines.
     Raises when the directory is missing, or when no file matches and ``allow_empty`` is false.
     """
-    raw = scan_lines(spark, paths, match, charset, line_sep, processed=processed, line_sep_regex=line_sep_regex)
-    # the split table's count doubles as the "nothing matched" check (no extra job)
-    lines = number_lines(raw, broadcast_rows=broadcast_rows,
-                         require_input=None if allow_empty else f"no file matching {match!r} below {paths}")
-    if offsets is not None:
-        lines = after_offsets(lines, offsets)
+    paths = _existing(spark, paths)
+    none = None if allow_empty else f"no file matching {match!r} below {paths}"
+    by_ranges = processed is not None or offsets is not None or index_dir is not None or opener is not None or not _cut_before_decoding(charset)
+    by_ranges = by_ranges and line_sep_regex is None and ranges.supported(charset, line_sep) and (opener is not None or _opened_by_tasks(spark, paths))
+    if index_dir is not None and not by_ranges:
+        raise ValueError("a line index needs files that the tasks open by themselves, a known charset and a plain separator")
+    if by_ranges:
+        lines = _read_ranges(spark, paths, match, charset, line_sep, processed, offsets, index_dir, opener, none)
+    else:
+        raw = scan_lines(spark, paths, match, charset, line_sep, processed=processed, line_sep_regex=line_sep_regex)
+        # the split table's count doubles as the "nothing matched" check (no extra job)
+        lines = number_lines(raw, broadcast_rows=broadcast_rows, require_input=none)
+        if offsets is not None:
+            lines = after_offsets(lines, offsets)
     if rebalance:
         lines = lines.repartition(rebalance)
     return lines
 
 
+def _read_ranges(spark, paths, match, charset, line_sep, processed, offsets, index_dir, opener, none) -> DataFrame:
+    checkpoint_dir(spark)
+    files = list_sources(spark, paths, match)
+    if processed is not None:
+        files = skip_processed(files, processed)
+    index = ranges.update_index(spark, files, index_dir, charset, line_sep, opener=opener)
+    total = index.agg(F.count("*"), F.coalesce(F.sum(F.least("stop", "size") - F.col("start")), F.lit(0))).first()
+    if none and not total[0]:
+        raise NoInputFiles(none)
+    cells = index.filter("n > 0").select("file", "uri", "start", "stop", "size", "before", "n")
+    if offsets is not None:
+        o = offsets.select(F.col("file").alias("__of"), F.col("last_line").cast("bigint").alias("after"))
+        cells = cells.join(_per_file(o), F.col("file") == F.col("__of"), "left").drop("__of").filter("after is null or before + n > after")
+    return ranges.read_cells(cells, charset, line_sep, opener, ranges._tasks(spark, total[0], total[1])).select("file", "line_num", "line")
+
+
 def skip_processed(df: DataFrame, manifest: DataFrame, file_col: str = "file") -> DataFrame:
     """Drop rows whose file is listed in ``manifest(file)`` (paths trimmed).  Left-anti join with the
     manifest, broadcast when counted small, so that lines are not moved by file."""
