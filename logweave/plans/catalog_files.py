@@ -14,12 +14,12 @@ from ..functions.grok import compile_grok
 from ..functions.plan import materialize
 from ..operators.documents import explode_documents, preview_documents, to_documents
 from ..operators.extract import json_lines, raw_lines
-from ..operators.multiline import CONT, record_pieces
+from ..operators.multiline import CONT, START, record_pieces
 from ..operators.stats import endpoint_stats
 from ..session import prepare, scratch_path
 from ..sinks.batches import batch_documents
 from ..sinks.deliver import deliver
-from ..sources.files import _delete_at_end, read_log_lines, read_manifest
+from ..sources.files import _delete_at_end, list_sources, read_log_lines, read_manifest
 from . import render as R
 from .jobs import index_directory
 
@@ -281,6 +281,98 @@ SELECT part, COUNT(*) AS docs, CAST(1 AS BIGINT) AS times FROM ({_DOC_LINES})
 WHERE regexp_matches(line, '[^\\x00-\\x20]') GROUP BY part
 """
 
+# --- S5, S7: the persisted line index --------------------------------------------------------------------
+def read_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' files, grown once between two reads with one line index; the second read begins after
+    the third line of every file."""
+    prepare(spark)
+    base = _folder(spark, "indexed")
+    docs = R.table(spark, d, "documents").select(F.floor(F.col("doc_id") / PER_FILE).alias("part"), "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    _versions(spark, docs, base, (0.5, 1.0),
+              lambda folder: read_log_lines(spark, folder, index_dir=f"{base}/index").write.format("noop").mode("overwrite").save())
+    files = list_sources(spark, f"{base}/in").select("file", F.lit(3).cast("bigint").alias("last_line"))
+    lines = read_log_lines(spark, f"{base}/in", index_dir=f"{base}/index", offsets=files)
+    return lines.select(F.regexp_extract("file", r"/(\d+)\.log$", 1).cast("bigint").alias("part"), "line_num", "line")
+
+
+SQL_INDEXED = f"SELECT * FROM ({_DOC_LINES}) WHERE line_num > 3"
+
+
+def _versions(spark: SparkSession, lines: DataFrame, base: str, shares, after, mark: bool = False) -> None:
+    """Write ``lines`` (part, ..., line) as one file for each part, once for each share of its lines, each time in the
+    place of the file before; ``after`` runs on the folder each time.  ``mark``: the version's number before each line."""
+    order = [F.col(c) for c in lines.columns if c not in ("part", "line")]
+    files = lines.groupBy("part").agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, "line"))), lambda t: t["line"]).alias("t")).checkpoint()
+    for step, share in enumerate(shares, 1):
+        value = F.slice("t", F.lit(1), F.ceil(F.size("t") * share).cast("int"))
+        if mark:
+            value = F.transform(value, lambda x: F.concat(F.lit(f"{step} "), x))  # noqa: B023
+        files.select("part", F.array_join(value, "\n").alias("value")).write.partitionBy("part").text(f"{base}/step{step}")
+        _put_in_place(spark, f"{base}/step{step}", f"{base}/in")
+        after(f"{base}/in")
+
+
+def _turns(spark: SparkSession, d: str) -> DataFrame:
+    return R.table(spark, d, "conversations").select(
+        F.floor(F.col("conv_id") / PER_FILE).alias("part"), "conv_id", "turn",
+        F.concat("role", F.lit(": "), F.regexp_replace("text", "\n", " ")).alias("line"))
+
+
+# --- T2: files that are replaced by longer ones and by ones of the same size ------------------------------
+def tail_rotation(spark: SparkSession, d: str) -> DataFrame:
+    """Conversation logs in three versions, each in the place of the one before: half of the lines, all lines (longer)
+    and other lines of the same length.  Each version's lines are delivered once."""
+    from ..streaming.tail import tail_once
+
+    prepare(spark)
+    base = _folder(spark, "rotation")
+    out = f"{base}/out"
+    _versions(spark, _turns(spark, d), base, (0.5, 1.0, 1.0), mark=True, after=lambda folder: tail_once(
+        spark, folder, lambda lines: lines.write.mode("append").parquet(out), f"{base}/offsets", match="*.log"))
+    got = spark.read.parquet(out)
+    return got.select(F.regexp_extract("file", r"/(\d+)\.log$", 1).cast("bigint").alias("part"), "line_num", "line")
+
+
+SQL_TAIL_ROTATION = f"""
+WITH t AS (SELECT *, COUNT(*) OVER (PARTITION BY part) AS n FROM ({SQL_TAIL_GROWTH}) x)
+SELECT part, line_num, '1 ' || line AS line FROM t WHERE line_num <= ceil(n * 0.5)
+UNION ALL SELECT part, line_num, '2 ' || line FROM t UNION ALL SELECT part, line_num, '3 ' || line FROM t
+"""
+
+
+# --- T3: records of a stream, the open one in state --------------------------------------------------------
+def stream_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of conversation logs in three arrivals, with a restart of the stream after each; a user's turn begins a
+    record.  Every record once; the last of each file comes by the timer."""
+    from ..streaming.records import state_store, stop_when_taken, stream_records
+
+    prepare(spark)
+    base = _folder(spark, "records")
+    turns = _turns(spark, d)
+    lines = turns.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "line"))).alias("t"))  # PER_FILE conversations
+    lines = lines.select("part", F.size("t").alias("n"), F.posexplode("t").alias("i", "t"))
+    lines = lines.select(F.col("part").cast("string").alias("file"), (F.col("i") + 1).cast("bigint").alias("line_num"),
+                         F.when(F.col("t.line").startswith("user: "), START).otherwise(CONT).alias("state"), F.concat("t.line", F.lit("\n")).alias("text"),
+                         (F.lit(2) - F.floor((F.col("n") - 1 - F.col("i")) * 3 / F.col("n"))).alias("arrival")).checkpoint()
+    schema = "file string, line_num bigint, state string, text string"
+    for arrival in range(3):
+        lines.filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(schema).parquet(f"{base}/in")
+        last = arrival == 2
+        with state_store(spark, 4):
+            query = (stream_records(source, idle_seconds=0.5 if last else 3600.0).writeStream.format("parquet")
+                     .option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="200 milliseconds").start(f"{base}/out"))
+        stop_when_taken(query, flushed=last)
+    return spark.read.parquet(f"{base}/out").select(
+        F.col("file").cast("bigint").alias("part"), "first_line", "last_line", "n_lines", F.md5("text").alias("md5"), "idle")
+
+
+SQL_STREAM_TURNS = f"""
+WITH l AS (SELECT *, SUM(CASE WHEN starts_with(line, 'user: ') THEN 1 ELSE 0 END) OVER (PARTITION BY part ORDER BY line_num) AS rec FROM ({SQL_TAIL_GROWTH}) x),
+r AS (SELECT part, rec, MIN(line_num) AS first_line, MAX(line_num) AS last_line, COUNT(*) AS n_lines, md5(string_agg(line || chr(10), '' ORDER BY line_num)) AS md5 FROM l GROUP BY part, rec)
+SELECT part, first_line, last_line, n_lines, md5, rec = MAX(rec) OVER (PARTITION BY part) AS idle FROM r
+"""
+
 FILE_QUERIES = {
     "read_files_numbered": (read_files_numbered, _DOC_LINES),
     "read_with_state": (read_with_state, SQL_WITH_STATE),
@@ -293,4 +385,7 @@ FILE_QUERIES = {
     "json_documents": (json_documents, SQL_JSON_DOCUMENTS),
     "preview": (preview, SQL_PREVIEW),
     "index_files": (index_files, SQL_INDEX),
+    "read_indexed": (read_indexed, SQL_INDEXED),
+    "tail_rotation": (tail_rotation, SQL_TAIL_ROTATION),
+    "stream_turns": (stream_turns, SQL_STREAM_TURNS),
 }
