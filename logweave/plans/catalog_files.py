@@ -19,7 +19,7 @@ from ..operators.stats import endpoint_stats
 from ..session import prepare, scratch_path
 from ..sinks.batches import batch_documents
 from ..sinks.deliver import deliver
-from ..sources.files import _delete_at_end, list_sources, read_log_lines, read_manifest
+from ..sources.files import _delete_at_end, list_files, list_sources, read_log_lines, read_manifest
 from . import render as R
 from .jobs import index_directory
 
@@ -340,6 +340,32 @@ UNION ALL SELECT part, line_num, '2 ' || line FROM t UNION ALL SELECT part, line
 """
 
 
+# --- K5, T1: a watched folder whose files go when they are done --------------------------------------------
+def watch_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' files, of which those of even parts match the name rule, watched with removal: the lines read of
+    each file and whether it is still there."""
+    from ..streaming.watch import clean_watched, watch_directory
+
+    prepare(spark)
+    base = _folder(spark, "clean")
+    _document_files(spark, d, f"{base}/written")
+    _put_in_place(spark, f"{base}/written", f"{base}/in")
+    out = f"{base}/out"
+    for _ in range(2):  # the second run has nothing left to read
+        watch_directory(spark, f"{base}/in", lambda lines, i: lines.write.mode("append").parquet(out), f"{base}/checkpoint", match=r"\d*[02468]\.log",
+                        trigger={"availableNow": True}, max_files_per_trigger=7, clean_source="delete").awaitTermination()
+    clean_watched(spark, f"{base}/checkpoint")
+    part = F.regexp_extract("file", r"/(\d+)\.log$", 1).cast("bigint")
+    read = spark.read.parquet(out).groupBy(part.alias("part")).agg(F.count("*").alias("lines"))
+    left = list_files(spark, f"{base}/in", "*.log").select(part.alias("part"), F.lit(True).alias("left")).checkpoint()
+    return read.join(left, "part", "full").select("part", F.coalesce("lines", F.lit(0)).cast("bigint").alias("lines"), F.coalesce("left", F.lit(False)).alias("still_there"))
+
+
+SQL_WATCH_CLEAN = f"""
+SELECT part, CASE WHEN part % 2 = 0 THEN COUNT(*) ELSE 0 END AS lines, part % 2 = 1 AS still_there FROM ({_DOC_LINES}) GROUP BY part
+"""
+
+
 # --- T3: records of a stream, the open one in state --------------------------------------------------------
 def stream_turns(spark: SparkSession, d: str) -> DataFrame:
     """Lines of conversation logs in three arrivals, with a restart of the stream after each; a user's turn begins a
@@ -387,5 +413,6 @@ FILE_QUERIES = {
     "index_files": (index_files, SQL_INDEX),
     "read_indexed": (read_indexed, SQL_INDEXED),
     "tail_rotation": (tail_rotation, SQL_TAIL_ROTATION),
+    "watch_clean": (watch_clean, SQL_WATCH_CLEAN),
     "stream_turns": (stream_turns, SQL_STREAM_TURNS),
 }

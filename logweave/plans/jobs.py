@@ -16,36 +16,49 @@ from ..operators.documents import to_documents
 from ..operators.normalize import normalize_lines
 from ..session import prepare
 from ..sinks.deliver import deliver, update_manifest, write_documents
-from ..sources.files import DEFAULT_MATCH, list_files, path_exists, read_log_lines, read_manifest, skip_processed
+from ..sinks.tombstones import apply_tombstones, write_tombstones
+from ..sources.files import DEFAULT_MATCH, list_files, list_sources, path_exists, read_log_lines, read_manifest, skip_processed
 
 
 def index_directory(spark: SparkSession, path: str, parse: Callable[[DataFrame], DataFrame], *,
                     match: str | None = DEFAULT_MATCH, manifest: str | None = None,
                     write_to: str | None = None, endpoints: list[str] | None = None,
                     post: Callable[[str, str], int] | None = None, batch_size: int = 100,
-                    id_field: str = "id", delivery_log: str | None = None) -> DataFrame:
+                    id_field: str = "id", delivery_log: str | None = None, delete_after: bool = False,
+                    archive_dir: str | None = None) -> DataFrame:
     """Run one indexing pass over ``path``.
 
     ``parse``: a job over non-blank trimmed lines returning records (e.g. ``grok_job``,
     ``json_lines(...).where("_matched")``, ``xml_field_docs``, ``solr_log``).  Documents go to
     ``write_to`` (Parquet, appended) and/or are delivered to ``endpoints`` with ``post``.  With
     ``manifest`` the files listed there are skipped and the files read are appended after the
-    sink committed.  The log of deliveries, for per-endpoint counts, goes to ``delivery_log``.
+    sink committed.  ``delete_after`` removes the files that were read (or moves them below ``archive_dir``) after the
+    sink and the manifest have them, if they have not changed since they were listed; a pass that crashed before that
+    leaves it to the next one.  The log of deliveries, for per-endpoint counts, goes to ``delivery_log``.
     Returns per-file document counts: of the whole output table when writing,
     else of this pass.
     """
     prepare(spark)
-    processed = None
+    if delete_after and not manifest:
+        raise ValueError("delete_after needs a manifest, to know what was done")
+    ledger = f"{manifest.rstrip('/')}_tombstones" if manifest else ""
+    processed = files = listed = None
+    if delete_after:
+        apply_tombstones(spark, ledger, archive_dir=archive_dir)  # what a pass before has left
     if manifest:
         processed = read_manifest(spark, manifest) if path_exists(spark, manifest) else None
-    # the files of this pass, listed before reading: also those without lines
-    listed = list_files(spark, path, match).select("file") if manifest else None
-    if processed is not None:
-        listed = skip_processed(listed, processed)
-    if listed is not None:
-        listed = listed.checkpoint()
+        # the files of this pass are listed once: what comes later is for the next pass
+        files = list_sources(spark, path, match)
+        if processed is not None:
+            files = skip_processed(files, processed)
+        files = files.checkpoint()
+        # files without lines are done, too
+        empty = list_files(spark, path, match).filter("size = 0").select("file")
+        if processed is not None:
+            empty = skip_processed(empty, processed)
+        listed = files.select("file").unionByName(empty).distinct().checkpoint()
     # every file already processed is not an error (only "nothing matches at all" is)
-    lines = read_log_lines(spark, path, match=match, processed=processed, allow_empty=processed is not None)
+    lines = read_log_lines(spark, path, match=match, files=files, allow_empty=processed is not None)
     records = parse(normalize_lines(lines))
     docs = to_documents(records, id_field=id_field)
     if write_to is None and not (endpoints and post):
@@ -54,8 +67,12 @@ def index_directory(spark: SparkSession, path: str, parse: Callable[[DataFrame],
         write_documents(docs, write_to)
     if endpoints and post:
         deliver(docs, endpoints, post, batch_size=batch_size, log_path=delivery_log)
+    if delete_after:
+        write_tombstones(files, ledger)  # the sink has them
     if manifest:
         update_manifest(listed, manifest)
+    if delete_after:
+        apply_tombstones(spark, ledger, archive_dir=archive_dir)
     if write_to is not None:
         written = spark.read.parquet(write_to)
         return written.groupBy("file").agg(F.count(F.lit(1)).alias("docs"))

@@ -90,7 +90,7 @@ def scan_lines(spark: SparkSession, paths: str | list[str], match: str | None =
     df = reader.text(paths)
     rx = match_regex(match) if not glob else None
     if rx:
-        df = df.filter(F.col("_metadata.file_name").rlike(rx))
+        df = df.filter(_file_col(F.col("_metadata.file_name")).rlike(rx))
     text = F.col("value")
     if charset.lower().replace("-", "") not in ("utf8", "usascii", "ascii"):
         # the text source keeps the raw bytes of each line; decode them with the file's charset
@@ -141,7 +141,7 @@ def list_sources(spark: SparkSession, paths: str | list[str], match: str | None
     df = reader.load(paths)
     rx = match_regex(match) if not glob else None
     if rx:
-        df = df.filter(F.col("_metadata.file_name").rlike(rx))
+        df = df.filter(_file_col(F.col("_metadata.file_name")).rlike(rx))
     uri = F.col("_metadata.file_path")
     return df.select(_file_col(uri).alias("file"), uri.alias("uri"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")).filter("size > 0")
 
@@ -172,7 +172,7 @@ def _scan_whole_files(spark, paths, match, charset, line_sep, line_sep_regex=Non
     df = reader.load(paths)
     rx = match_regex(match) if not glob else None
     if rx:
-        df = df.filter(F.col("_metadata.file_name").rlike(rx))
+        df = df.filter(_file_col(F.col("_metadata.file_name")).rlike(rx))
     packed = F.col("path").endswith(".gz")
     df = df.select("path", "content")
     # two branches: the contents of plain files do not pass through Python
@@ -210,17 +210,19 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
                  written: list[str] | None = None, require_input: str | None = None) -> DataFrame:
     """``(file, block, m, line)`` → ``(file, line_num, line)`` with exact 1-based line numbers.
     ``written`` collects the folder of the split table, for callers that delete it after their
-    action (long-running streams do)."""
+    action (long-running streams do).  Columns ``uri``, ``size`` and ``mtime`` of ``raw`` are kept in that table
+    (:func:`files_of_splits`)."""
     spark = raw.sparkSession
     checkpoint_dir(spark)
     pin_splits(spark)
-    splits = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("rows"), F.min("m").alias("m0"))
+    facts = [c for c in ("uri", "size", "mtime") if c in raw.columns]
+    splits = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("rows"), F.min("m").alias("m0"), *[F.min(c).alias(c) for c in facts])
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     # numbers only (about 40 bytes per split): the file is keyed by its 64-bit hash, and the id
     # range [m0, m0 + rows) of the split -- disjoint from every other split's -- keeps the join
     # exact even if two paths shared a hash
     splits = splits.select(F.xxhash64("file").alias("__fh"), F.col("block").alias("__blk"), "m0", "rows",
-                           F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+                           F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"), *facts)
     # small table, written once to the shared folder (cuts the lineage; a retried task never
     # recomputes it) and counted before deciding how to join it
     path = scratch_path(spark, f"splits-{uuid.uuid4().hex}")
@@ -228,7 +230,7 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
     _delete_at_end(spark, path)
     if written is not None:
         written.append(path)
-    splits = spark.read.parquet(path)
+    splits = spark.read.parquet(path).drop(*facts)
     n_splits = splits.count()
     if require_input and n_splits == 0:
         raise NoInputFiles(require_input)
@@ -242,6 +244,11 @@ def number_lines(raw: DataFrame, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
             .select("file", F.coalesce(number, lost.cast("bigint")).alias("line_num"), "line"))
 
 
+def files_of_splits(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, uri, size, mtime)`` of the files that have lines, from a split table."""
+    return spark.read.parquet(path).select(_file_col(F.col("uri")).alias("file"), "uri", "size", "mtime").distinct()
+
+
 def pin_splits(spark: SparkSession) -> None:
     """Fix the split size for the session: unless set, the wanted number of splits is that of the
     cores there are now, so that executors that come or go do not change how files are cut."""
@@ -287,7 +294,7 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
                    offsets: DataFrame | None = None, broadcast_rows: int = SPLIT_BROADCAST_ROWS,
                    allow_empty: bool = False, rebalance: int | None = None,
                    line_sep_regex: str | None = None, index_dir: str | None = None,
-                   opener: ranges.Opener | None = None) -> DataFrame:
+                   opener: ranges.Opener | None = None, files: DataFrame | None = None) -> DataFrame:
     """All lines of the matching files below ``paths`` (sub-directories always descended).
 
     ``processed``: a manifest ``(file)`` of files to skip; it is applied to the listing, whatever its
@@ -300,22 +307,26 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
     decoding, see :func:`_scan_whole_files`).
     ``rebalance``: spread the numbered lines round-robin over that many partitions (for inputs of
     a few large gzip files, which are read one task per file).
+    ``files``: a listing (:func:`list_sources`) of which to read the files, as long as they were then; files that have
+    come since are not read.
     ``opener``: opens files of stores that the tasks cannot reach by ``pyarrow.fs``; without it such files
     are read by Spark, the manifest and the offsets applied to lines.
     Raises when the directory is missing, or when no file matches and ``allow_empty`` is false.
     """
     paths = _existing(spark, paths)
     none = None if allow_empty else f"no file matching {match!r} below {paths}"
-    by_ranges = processed is not None or offsets is not None or index_dir is not None or opener is not None or not _cut_before_decoding(charset)
+    by_ranges = files is not None or processed is not None or offsets is not None or index_dir is not None or opener is not None or not _cut_before_decoding(charset)
     by_ranges = by_ranges and line_sep_regex is None and ranges.supported(charset, line_sep) and (opener is not None or _opened_by_tasks(spark, paths))
     if index_dir is not None and not by_ranges:
         raise ValueError("a line index needs files that the tasks open by themselves, a known charset and a plain separator")
     if by_ranges:
-        lines = _read_ranges(spark, paths, match, charset, line_sep, processed, offsets, index_dir, opener, none)
+        lines = _read_ranges(spark, paths, match, charset, line_sep, processed, offsets, index_dir, opener, none, files)
     else:
         raw = scan_lines(spark, paths, match, charset, line_sep, processed=processed, line_sep_regex=line_sep_regex)
         # the split table's count doubles as the "nothing matched" check (no extra job)
         lines = number_lines(raw, broadcast_rows=broadcast_rows, require_input=none)
+        if files is not None:
+            lines = lines.join(_per_file(files.select(F.col("file").alias("__listed"))), F.col("file") == F.col("__listed"), "left_semi")
         if offsets is not None:
             lines = after_offsets(lines, offsets)
     if rebalance:
@@ -323,9 +334,9 @@ def read_log_lines(spark: SparkSession, paths: str | list[str], match: str | Non
     return lines
 
 
-def _read_ranges(spark, paths, match, charset, line_sep, processed, offsets, index_dir, opener, none) -> DataFrame:
+def _read_ranges(spark, paths, match, charset, line_sep, processed, offsets, index_dir, opener, none, files) -> DataFrame:
     checkpoint_dir(spark)
-    files = list_sources(spark, paths, match)
+    files = files if files is not None else list_sources(spark, paths, match)
     if processed is not None:
         files = skip_processed(files, processed)
     index = ranges.update_index(spark, files, index_dir, charset, line_sep, opener=opener)

@@ -15,7 +15,6 @@ from logweave.operators.multiline import CONT, START
 from logweave.sources import ranges
 from logweave.sources.files import list_sources, read_log_lines
 from logweave.streaming.tail import tail_once
-from logweave.streaming.watch import watch_directory
 
 
 def cells(data, cut, size=None):
@@ -311,13 +310,3 @@ def test_failed_run_is_repeated(spark, tmp_path):
     with pytest.raises(RuntimeError):
         tail_once(spark, str(t.src), fail, t.state)
     assert t.run() == [("a.log", 1, "one")]
-
-
-def test_clean_source_does_not_reach_other_files(spark, tmp_path):
-    src = tmp_path / "in"
-    src.mkdir()
-    (src / "k1.txt").write_text("a\n")
-    (src / "k1.dat").write_text("b\n")
-    with pytest.raises(ValueError, match="clean_source"):
-        watch_directory(spark, str(src), lambda df, i: None, str(tmp_path / "c"), match=r"k\d\.txt", clean_source="delete")
-    assert sorted(os.listdir(src)) == ["k1.dat", "k1.txt"]
