@@ -12,23 +12,33 @@ line, which is then ignored).  The rules of the reference, per file in line orde
 * CONT lines before any START form an *orphan* record; it is identified by its own first line.
 
 On Spark, lines with equal ``entry = #START at or before + #END strictly before`` (per file) form
-one buffer.  The running counts are computed inside bounded chunks of ``chunk_lines`` lines
-(window partitioned by ``(file, chunk)``) plus prefix sums over a small per-chunk table, so no
-task ever orders a whole file, whatever its size.  Records are then built in two aggregation
-levels: per ``(file, chunk, entry)`` without a new shuffle (the window already clustered the
-rows), then per ``(file, entry)`` on the partial rows.
+one buffer.  A task sums up each run of consecutive lines that it holds (:func:`_packed`): the records that
+begin and end in the run, the open head before the first of them, the open tail after the last.  Records that
+are whole stay where they are.  Only heads and tails are shuffled, with their place in the file: the number of
+entries in all runs before, summed over a table of one row per run.  Summaries are associative, so any cut of a file
+into runs gives the same records; lines that lie in order, as files are read, give two fragments per run of up to
+``chunk_lines`` lines.
 """
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.plan import materialize
-from ..session import prepare
+from ..session import keep, prepare
 
 START, CONT, END, SKIP = "START", "CONT", "END", "SKIP"
 CHUNK_LINES = 1 << 20
+#: Bytes of lines that a task sums up at a time.
+CHUNK_BYTES = 32 << 20
 
 
 def _keep_columns(df: DataFrame, flag: str) -> Column:
@@ -127,6 +137,112 @@ def record_pieces(lines: DataFrame, text_col: str, state_col: str = "state", chu
     return out.where(F.col("__text").isNotNull()).select("file", "first_line", F.col("__chunk").alias("part_no"), F.col("__text").alias("text"))
 
 
+def _pack(n_fields: int, with_map: bool, with_text: bool, chunk_lines: int):
+    """Batches of classified lines (file, line_num, state code, fields, entries, text) to one row for each run and
+    entry, without a loop over lines: texts and entries of a record are slices of what the batch holds."""
+
+    def pack(table: pa.RecordBatch) -> pa.RecordBatch | None:
+        n = table.num_rows
+        line, state = (table.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+        codes = table.column(0).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        breaks = np.ones(n, bool)
+        breaks[1:] = (codes[1:] != codes[:-1]) | (line[1:] != line[:-1] + 1)
+        run = np.cumsum(breaks) - 1
+        begin = np.flatnonzero(breaks)
+        starts, ends = np.cumsum(state == 1), np.cumsum(state == 3)
+        entry = starts + ends - (state == 3)
+        base = (starts + ends - (state == 1) - (state == 3))[begin]  # before the run
+        entry = entry - base[run]
+        stop = np.concatenate([begin[1:], [n]]) - 1
+        steps = (starts + ends)[stop] - base
+        known = np.flatnonzero(state > 0)
+        if not len(known):
+            return None
+        k_run, k_entry = run[known], entry[known]
+        first = np.ones(len(known), bool)
+        first[1:] = (k_run[1:] != k_run[:-1]) | (k_entry[1:] != k_entry[:-1])
+        head = np.flatnonzero(first)
+        tail = np.concatenate([head[1:], [len(known)]]) - 1
+        g_run = k_run[head]
+        lead = np.ones(len(head), bool)
+        lead[1:] = g_run[1:] != g_run[:-1]
+        has_end = state[known[tail]] == 3
+        right = np.concatenate([~lead[1:], [False]]) | has_end
+        left = k_entry[head] > 0
+        line_i = np.where(state[known[head]] == 1, line[known[head]], -1)
+        columns = [table.column(0).take(pa.array(known[head])), pa.array(line[begin][g_run], pa.int64()), pa.array(steps[g_run], pa.int64()), pa.array(lead),
+                   pa.array(k_entry[head], pa.int64()), pa.array(left & right), pa.array(line_i, pa.int64(), mask=line_i < 0), pa.array(line[known[head]], pa.int64()),
+                   pa.array(line[known[tail]], pa.int64()), pa.array(tail - head + 1, pa.int64()), pa.array(has_end)]
+        bounds = np.concatenate([head, [len(known)]])
+        rows = pa.array(known)
+        for i in range(n_fields):  # the last value that is not null
+            values = table.column(3 + i).take(rows)
+            at = np.maximum.accumulate(np.where(values.is_valid().to_numpy(zero_copy_only=False), np.arange(len(known)), -1))[tail]
+            columns.append(values.take(pa.array(at, mask=at < head)))
+        if with_map:
+            values = table.column(3 + n_fields).take(rows)
+            some = np.add.reduceat(values.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), head) > 0
+            offsets = values.offsets.to_numpy()[bounds]
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=np.concatenate([~some, [False]])), values.values))
+        if with_text:
+            values = table.column(table.num_columns - 1).take(rows)
+            some = np.add.reduceat(values.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), head) > 0
+            values = values.fill_null("").cast(pa.large_string())
+            offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset: values.offset + len(known) + 1][bounds]
+            text = pa.LargeStringArray.from_buffers(len(head), pa.py_buffer(offsets.tobytes()), values.buffers()[2]).cast(pa.string())
+            columns.append(pc.if_else(pa.array(some), text, pa.scalar(None, pa.string())))
+        return pa.RecordBatch.from_arrays(columns, names=[str(i) for i in range(len(columns))])
+
+    def run(batches):
+        held, rows, size = [], 0, 0
+
+        def whole():
+            return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, chunk_lines - rows)
+                batch = batch.slice(part.num_rows)
+                held.append(part)
+                rows, size = rows + part.num_rows, size + part.nbytes
+                if rows >= chunk_lines or size >= CHUNK_BYTES:
+                    out = pack(whole())
+                    if out is not None:
+                        yield out
+                    held, rows, size = [], 0, 0
+        if rows:
+            out = pack(whole())
+            if out is not None:
+                yield out
+
+    return run
+
+
+_RUN_COLUMNS = ("file", "__run", "__steps", "__lead", "__entry", "__whole", "line_i", "first_line", "last_line", "n_lines", "has_end")
+
+
+def _packed(lines: DataFrame, state_col: str, fields: list[str], map_col: str | None, text_col: str | None, chunk_lines: int) -> DataFrame:
+    """One row for each run of lines and entry in it, kept (:func:`logweave.session.keep`), as several parts of
+    the plan read it and the lines are to be parsed once."""
+    st = F.col(state_col)
+    code = F.when(st == START, 1).when(st == CONT, 2).when(st == END, 3).otherwise(0).cast("int")
+    columns = [F.col("file"), F.col("line_num").cast("bigint"), code.alias("__state"), *[F.col(f"`{f}`") for f in fields]]
+    if map_col:
+        columns.append(F.map_entries(F.col(map_col)).alias("__entries"))
+    if text_col:
+        columns.append(F.col(text_col).cast("string").alias("__text"))
+    base = lines.select(*columns)
+    types = {f.name: f.dataType for f in base.schema.fields}
+    kinds = ["string", "bigint", "bigint", "boolean", "bigint", "boolean", "bigint", "bigint", "bigint", "bigint", "boolean"]
+    schema = T.StructType([T.StructField(n, T._parse_datatype_string(k)) for n, k in zip(_RUN_COLUMNS, kinds)])
+    schema = T.StructType([*schema.fields, *[T.StructField(f"__f{i}", types[f]) for i, f in enumerate(fields)]])
+    if map_col:
+        schema = schema.add("__entries", types["__entries"])
+    if text_col:
+        schema = schema.add("__text", "string")
+    return keep(base.mapInArrow(_pack(len(fields), bool(map_col), bool(text_col), max(1, min(chunk_lines, CHUNK_LINES))), schema))
+
+
 def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[str] = (),
                      map_col: str | None = None, text_col: str | None = None,
                      chunk_lines: int = CHUNK_LINES, keep_empty: bool = False) -> DataFrame:
@@ -141,39 +257,45 @@ def assemble_records(lines: DataFrame, state_col: str = "state", fields: list[st
     Output: ``file, line_i`` (START line, NULL for an orphan), ``first_line, last_line,
     n_lines`` (START/CONT/END lines), ``has_end, orphan``, the merged columns and, with
     ``keep_empty``, also non-emitted buffers (``emitted`` false) for the statistics.
+
+    The packed lines are kept by Spark until :func:`logweave.session.release` or the end of the application.
     """
     if map_col:
         prepare(lines.sparkSession)  # LAST_WIN policy for merging maps
     fields = list(fields)
-    part = _chunk_parts(lines, state_col, fields, map_col, text_col, chunk_lines)
+    packed = _packed(lines, state_col, fields, map_col, text_col, chunk_lines)
+    values = [f"__f{i}" for i in range(len(fields))] + (["__entries"] if map_col else []) + (["__text"] if text_col else [])
+    facts = ["file", "line_i", "first_line", "last_line", "n_lines", "has_end"]
 
-    # level 2: across chunks of one record
-    agg2 = [
-        F.min("__line_i").alias("line_i"), F.min("__first").alias("first_line"), F.max("__last").alias("last_line"),
-        F.sum("__n").alias("n_lines"), (F.max("__has_end") == 1).alias("has_end"),
-    ]
-    agg2 += [F.max(F.when(F.col(f"`{f}`").isNotNull(), F.col(f"`{f}`"))).alias(f) for f in fields]
+    # heads and tails: the entries of all runs before give a record's number in its file
+    earlier = Window.partitionBy("file").orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = packed.filter("__lead").select(F.col("file").alias("__rf"), F.col("__run").alias("__rr"), F.coalesce(F.sum("__steps").over(earlier), F.lit(0)).alias("__before"))
+    parts = packed.filter(~F.col("__whole")).join(runs, F.col("file").eqNullSafe(F.col("__rf")) & (F.col("__run") == F.col("__rr")))
+    parts = parts.withColumn("__no", F.col("__before") + F.col("__entry"))
+
+    def in_order(c: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct(F.col("__run").alias("k"), F.col(c).alias("v")))))["v"]
+
+    merged = [F.min("line_i").alias("line_i"), F.min("first_line").alias("first_line"), F.max("last_line").alias("last_line"),
+              F.sum("n_lines").alias("n_lines"), F.bool_or("has_end").alias("has_end")]
+    merged += [F.max(F.when(F.col(f"__f{i}").isNotNull(), F.struct(F.col("__run").alias("k"), F.col(f"__f{i}").alias("v"))))["v"].alias(f"__f{i}") for i in range(len(fields))]
     if map_col:
-        agg2.append(_sort_by_k(F.collect_list(F.when(F.col("__map").isNotNull(),
-                                                       F.struct(F.col("__chunk").alias("k"), F.col("__map").alias("m"))))).alias("__maps"))
+        entries = F.collect_list(F.when(F.col("__entries").isNotNull(), F.struct(F.col("__run").alias("k"), F.col("__entries").alias("v"))))
+        merged.append(F.when(F.size(entries) > 0, F.flatten(_sort_by_k(entries)["v"])).alias("__entries"))
     if text_col:
-        agg2.append(F.array_sort(F.collect_list(F.when(F.col("__text").isNotNull(),
-                                                       F.struct(F.col("__chunk").alias("k"), F.col("__text").alias("t"))))).alias("__texts"))
-    rec = part.groupBy("file", "__entry").agg(*agg2)
-    out_cols = ["file", "line_i", "first_line", "last_line", "n_lines", "has_end",
-                F.col("line_i").isNull().alias("orphan")]
-    out_cols += [F.col(f"`{f}`.v").alias(f) for f in fields]
+        merged.append(F.when(F.size(in_order("__text")) > 0, F.array_join(in_order("__text"), "")).alias("__text"))
+    rec = packed.filter("__whole").select(*facts, *values).unionByName(parts.groupBy("file", "__no").agg(*merged).select(*facts, *values))
+
+    out_cols = [*facts, F.col("line_i").isNull().alias("orphan"), *[F.col(f"__f{i}").alias(f) for i, f in enumerate(fields)]]
     nonempty = F.col("line_i").isNotNull()
-    for f in fields:
-        nonempty = nonempty | F.col(f"`{f}`").isNotNull()
+    for i in range(len(fields)):
+        nonempty = nonempty | F.col(f"__f{i}").isNotNull()
     if map_col:
-        merged = F.when(F.size("__maps") > 0, _fold_maps(F.col("__maps"), "m"))
-        out_cols.append(merged.alias(map_col))
-        nonempty = nonempty | (F.coalesce(F.size(merged), F.lit(0)) > 0)
+        out_cols.append(F.map_from_entries("__entries").alias(map_col))
+        nonempty = nonempty | (F.coalesce(F.size("__entries"), F.lit(0)) > 0)
     if text_col:
-        joined = F.when(F.size("__texts") > 0, F.array_join(F.col("__texts")["t"], ""))
-        out_cols.append(joined.alias(text_col))
-        nonempty = nonempty | joined.isNotNull()
+        out_cols.append(F.col("__text").alias(text_col))
+        nonempty = nonempty | F.col("__text").isNotNull()
     out = rec.select(*out_cols, nonempty.alias("emitted"))
     return out if keep_empty else out.where("emitted").drop("emitted")
 
@@ -214,3 +336,6 @@ def xml_field_docs(lines: DataFrame, chunk_lines: int = CHUNK_LINES, keep_empty:
                          F.struct(state.alias("state"), fields.alias("fields")))
     classified = parsed.select("file", "line_num", "__x.state", "__x.fields")
     return assemble_records(classified, map_col="fields", chunk_lines=chunk_lines, keep_empty=keep_empty)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed

@@ -9,7 +9,7 @@ from ..functions.grok import PatternLibrary, compile_grok
 from ..functions.text import collapse_ws, java_trim
 from ..functions.timefmt import iso_string, parse_timestamp
 from ..session import prepare
-from .multiline import CHUNK_LINES, CONT, START, assemble_records
+from .multiline import CHUNK_LINES, CONT, START, assemble_records, record_pieces
 from .normalize import IGNORED_FIELD, prune_empty_value
 
 # Defaults and names used by the reference's search-log parser.
@@ -69,7 +69,7 @@ def solr_log(lines: DataFrame, expression: str = DEFAULT_LOG_EXPRESSION, library
              timestamp_field: str | None = "timestamp_tdt", date_field: str = "logdate",
              date_format: str | None = "yyyy-MM-dd HH:mm:ss.SSS", message_field: str = DEFAULT_MESSAGE_FIELD,
              request_expression: str | None = DEFAULT_REQUEST_EXPRESSION, parse_params: bool = True,
-             chunk_lines: int = CHUNK_LINES, keep_empty: bool = False) -> DataFrame:
+             chunk_lines: int = CHUNK_LINES, keep_empty: bool = False, pieces: bool = False) -> DataFrame:
     """Search-server log with multi-line entries.
 
     Input: trimmed, non-blank lines.  Each line is whitespace-collapsed; a line matching
@@ -77,6 +77,10 @@ def solr_log(lines: DataFrame, expression: str = DEFAULT_LOG_EXPRESSION, library
     the ISO timestamp replacing ``date_field`` when it parses, blank fields pruned), any other line
     continues the message after one space.  Then the MDC is unpacked and request lines get their
     request fields and parameters.
+
+    ``pieces``: instead of records, their messages as ordered pieces (:func:`logweave.operators.multiline.record_pieces`:
+    ``file, first_line, part_no, text``), for logs with records too long for one value, such as one in which no line
+    begins a record; a piece holds what ``chunk_lines`` lines add.
     """
     prepare(lines.sparkSession)
     grok = compile_grok(expression, library)
@@ -101,6 +105,8 @@ def solr_log(lines: DataFrame, expression: str = DEFAULT_LOG_EXPRESSION, library
         *[v.alias(f) for f, v in start_vals.items()],
         piece.alias("__piece"),
     )
+    if pieces:
+        return record_pieces(classified, "__piece", chunk_lines=chunk_lines)
     rec = assemble_records(classified, fields=fields, text_col="__piece", chunk_lines=chunk_lines,
                            keep_empty=keep_empty)
     rec = rec.withColumn(message_field, F.when(F.col("__piece") != "", F.col("__piece"))).drop("__piece")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 UTC = "UTC"
 
@@ -85,3 +86,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for tables this library writes itself."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/logweave/{name}"
+
+
+_kept: dict[str, list[DataFrame]] = {}
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Have Spark hold ``df`` (in memory, else on the executors' disks) once it is computed, for plans that read it more
+    than once.  What a lost executor held is computed again."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    _kept.setdefault(df.sparkSession.sparkContext.applicationId, []).append(df)
+    return df
+
+
+def release(spark: SparkSession) -> int:
+    """Let go of everything that :func:`keep` holds, for when the results that read it are written.  Returns how many
+    tables there were."""
+    held = _kept.pop(spark.sparkContext.applicationId, [])
+    for df in held:
+        df.unpersist()
+    return len(held)
