@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import sys
 import time
 import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,29 @@ class DeliveryError(RuntimeError):
     pass
 
 
+def send_batch(post: Callable[[str, str], int], endpoints: list[str], batch_id: str, payload: str, rng: random.Random,
+               retry_wait_s: float) -> tuple[str, int, int]:
+    """Post one batch: ``(endpoint, status, attempts)``, or :class:`DeliveryError` when no endpoint took it."""
+    live = list(endpoints)
+    attempts, waited = 0, False
+    while True:
+        endpoint = live[rng.randrange(len(live))]
+        attempts += 1
+        try:
+            status = int(post(endpoint, payload))
+        except Exception:  # network error: same as a failed status
+            status = -1
+        if status in OK_STATUS:
+            return endpoint, status, attempts
+        if len(live) > 1:
+            live.remove(endpoint)  # only for this batch
+        elif not waited:  # last endpoint: wait, retry once, then fail the task (Spark retries it)
+            time.sleep(retry_wait_s)
+            waited = True
+        else:
+            raise DeliveryError(f"batch {batch_id} could not be delivered (last status {status})")
+
+
 def _sender(post: Callable[[str, str], int], endpoints: list[str], retry_wait_s: float, seed: int | None):
     def run(batches):
         import pandas as pd
@@ -32,32 +57,8 @@ def _sender(post: Callable[[str, str], int], endpoints: list[str], retry_wait_s:
         for pdf in batches:
             rows = []
             for batch_id, n_docs, payload in zip(pdf["batch_id"], pdf["n_docs"], pdf["payload"]):
-                live = list(endpoints)
-                attempts = 0
-                while True:
-                    ep = live[rng.randrange(len(live))]
-                    attempts += 1
-                    try:
-                        status = int(post(ep, payload))
-                    except Exception:  # network error: same as a failed status
-                        status = -1
-                    if status in OK_STATUS:
-                        rows.append((batch_id, ep, int(n_docs), status, attempts))
-                        break
-                    if len(live) > 1:
-                        live.remove(ep)  # only for this batch
-                        continue
-                    # last endpoint: wait, retry once, then fail the task (Spark retries it)
-                    time.sleep(retry_wait_s)
-                    attempts += 1
-                    try:
-                        status = int(post(ep, payload))
-                    except Exception:
-                        status = -1
-                    if status in OK_STATUS:
-                        rows.append((batch_id, ep, int(n_docs), status, attempts))
-                        break
-                    raise DeliveryError(f"batch {batch_id} could not be delivered (last status {status})")
+                endpoint, status, attempts = send_batch(post, endpoints, batch_id, payload, rng, retry_wait_s)
+                rows.append((batch_id, endpoint, int(n_docs), status, attempts))
             yield pd.DataFrame(rows, columns=["batch_id", "endpoint", "n_docs", "status", "attempts"])
 
     return run
@@ -102,3 +103,6 @@ def update_manifest(done: DataFrame, manifest_path: str) -> None:
     list, one path per line.  ``done`` may be a listing (:func:`logweave.sources.files.list_files`),
     which also names files without lines."""
     done.select("file").distinct().write.mode("append").text(manifest_path)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
