@@ -17,7 +17,7 @@ from ..operators.extract import json_lines, raw_lines
 from ..operators.multiline import CONT, START, record_pieces
 from ..operators.stats import endpoint_stats
 from ..session import prepare, scratch_path
-from ..sinks.batches import batch_documents
+from ..sinks.batches import batch_documents, batch_documents_by_key
 from ..sinks.deliver import deliver
 from ..sources.files import _delete_at_end, list_files, list_sources, read_log_lines, read_manifest
 from . import render as R
@@ -222,6 +222,84 @@ def endpoint_totals(spark: SparkSession, d: str) -> DataFrame:
 SQL_ENDPOINTS = "SELECT 'up' AS endpoint, COUNT(*) AS docs_sent FROM orders"
 
 
+def deliver_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """Deliveries to a client that refuses a third of the batches until the run is started again: documents sent, and
+    batches that were sent twice."""
+    from ..sinks.outbox import deliver_once
+    from ..sinks.tombstones import _store
+
+    prepare(spark)
+    base = _folder(spark, "outbox")
+
+    def post(endpoint, payload):  # the client of this query: it writes down what it takes
+        import hashlib
+        import uuid as ids
+
+        fs, folder = _store(base)
+        name = hashlib.md5(payload.encode()).hexdigest()
+        if int(name, 16) % 3 == 0 and fs.get_file_info(f"{folder}/up").type.name == "NotFound":
+            return 503
+        fs.create_dir(f"{folder}/posts", recursive=True)
+        with fs.open_output_stream(f"{folder}/posts/{name}-{ids.uuid4().hex}") as f:
+            f.write(str(payload.count('"fields"')).encode())
+        return 200
+
+    for again in (False, True):
+        if again:
+            fs, folder = _store(base)
+            fs.open_output_stream(f"{folder}/up").close()
+        try:
+            deliver_once(_order_documents(spark, d), ["one"], post, f"{base}/run", batch_size=100, retry_wait_s=0.0, seed=1)
+        except Exception as e:
+            if again or "could not be delivered" not in str(e):
+                raise
+    posts = spark.read.text(f"{base}/posts").select(F.col("value").cast("bigint").alias("docs"), F.split_part(F.col("_metadata.file_name"), F.lit("-"), F.lit(1)).alias("batch"))
+    return posts.groupBy("batch").agg(F.sum("docs").alias("docs"), F.count("*").alias("times")).agg(
+        F.sum("docs").alias("docs"), F.sum((F.col("times") > 1).cast("bigint")).alias("sent_twice"))
+
+
+SQL_RESUMED = "SELECT CAST(COUNT(*) AS BIGINT) AS docs, CAST(0 AS BIGINT) AS sent_twice FROM orders"
+
+
+def batch_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of ten customers of each market segment: the documents' ids and the payload's md5."""
+    prepare(spark)
+    customers = R.table(spark, d, "customer").select(F.lit("customer.log").alias("file"), F.col("c_custkey").alias("line_num"), F.col("c_custkey").cast("string").alias("id"),
+                                                     "c_name", "c_nationkey", "c_mktsegment", "c_custkey")
+    docs = to_documents(customers, fields=["id", "c_name", "c_nationkey"], keep=["c_mktsegment", "c_custkey"])
+    return batch_documents_by_key(docs, "c_mktsegment", "c_custkey", n=10).select("c_mktsegment", "batch_no", "n_docs", "min_id", "max_id", F.md5("payload").alias("md5"))
+
+
+SQL_PAYLOADS = """
+WITH c AS (SELECT *, CAST(c_custkey AS VARCHAR) AS id, (row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) // 10 AS batch_no FROM customer),
+j AS (SELECT *, '{"id":"' || id || '","fields":[{"name":"_src_","value":"customer.log:' || id || '"},{"name":"c_name","value":"' || c_name
+  || '"},{"name":"c_nationkey","value":"' || c_nationkey || '"},{"name":"id","value":"' || id || '"}]}' AS doc FROM c)
+SELECT c_mktsegment, CAST(batch_no AS BIGINT) AS batch_no, CAST(COUNT(*) AS INTEGER) AS n_docs, MIN(id) AS min_id, MAX(id) AS max_id,
+  md5('[' || string_agg(doc, ',' ORDER BY c_custkey) || ']') AS md5 FROM j GROUP BY c_mktsegment, batch_no
+"""
+
+
+# --- A4: progress of a directory job ----------------------------------------------------------------------
+def progress_report(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' files indexed in groups: the last row of the progress table."""
+    from ..streaming.progress import ProgressLog, read_progress
+
+    prepare(spark)
+    base = _folder(spark, "progress")
+    _document_files(spark, d, f"{base}/in")
+    n = list_sources(spark, f"{base}/in", r".*\.txt").count()
+    log = ProgressLog(f"{base}/progress", every_files=max(1, n // 4))
+    index_directory(spark, f"{base}/in", raw_lines, match=r".*\.txt", manifest=f"{base}/done", write_to=f"{base}/out", files_per_pass=-(-n // 4), progress=log)
+    last = read_progress(spark, f"{base}/progress").filter("final")
+    return last.select("files", "lines_read", "lines_parsed", "lines_skipped", "docs")
+
+
+SQL_PROGRESS = f"""
+SELECT COUNT(DISTINCT part) AS files, COUNT(*) AS lines_read, COUNT(*) AS lines_parsed, CAST(0 AS BIGINT) AS lines_skipped,
+  COUNT(*) FILTER (regexp_matches(line, '[^\\x00-\\x20]')) AS docs FROM ({_DOC_LINES})
+"""
+
+
 # --- D1: typed values; D3: preview ---------------------------------------------------------------------------
 def _event_documents(spark: SparkSession, d: str, typed: bool) -> DataFrame:
     lines = R.table(spark, d, "events").select(
@@ -413,6 +491,9 @@ FILE_QUERIES = {
     "index_files": (index_files, SQL_INDEX),
     "read_indexed": (read_indexed, SQL_INDEXED),
     "tail_rotation": (tail_rotation, SQL_TAIL_ROTATION),
+    "deliver_resumed": (deliver_resumed, SQL_RESUMED),
+    "batch_payloads": (batch_payloads, SQL_PAYLOADS),
+    "progress_report": (progress_report, SQL_PROGRESS),
     "watch_clean": (watch_clean, SQL_WATCH_CLEAN),
     "stream_turns": (stream_turns, SQL_STREAM_TURNS),
 }
