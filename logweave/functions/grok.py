@@ -440,38 +440,28 @@ class Grok:
         body = "".join(f"{SEP}${c.group}" for c in self.captures)
         return HIT + (body or SEP)
 
-    def apply(self, df: DataFrame, source_col: str = "line", matched_col: str = "_matched",
-              drop_helper: bool = True) -> DataFrame:
-        """Add ``matched_col`` and one column per capture name.
-
-        The one-pass form runs the regex once per line: ``regexp_replace`` rewrites a matching
-        line to ``HIT SEP g1 SEP g2 ...`` and ``split`` yields all groups as one array.  Lines that
-        contain the separator character build the same array exactly with ``rlike`` and one
-        ``regexp_extract`` per group.  Field columns read the array, so each line is matched once
-        and the generated code holds the slow path only once.
-        """
-        line = F.col(source_col)
-        parts_name = "__grok_parts"
+    def parts(self, line: Column) -> Column:
+        """``[HIT, g1, g2, ...]`` for a matching line; an array of one value, not ``HIT``, for another."""
         has_sep = F.instr(line, SEP) > 0
         one_pass = F.regexp_replace(line, F.lit(self.onepass_regex()), F.lit(self.onepass_template()))
         exact = [F.lit(HIT)] + ([F.regexp_extract(line, self.regex, c.group) for c in self.captures] or [F.lit("")])
         slow = F.when(line.rlike(self.regex), F.array(*exact)).otherwise(F.array(F.lit("")))
         # a line that does not match stays whole: [line], so every field reads NULL
-        parts_expr = F.when(has_sep, slow).otherwise(F.split(one_pass, SEP, -1))
-        # exact shortcut: a line lacking a literal that every match contains cannot match, so
-        # the regex (an unanchored search, costly on long lines) is not run on it
-        lits = required_literals(self.regex)
-        if lits:
-            possible = F.lit(True)
-            for lit in lits:
-                possible = possible & (F.instr(line, F.lit(lit)) > 0)
-            parts_expr = F.when(possible, parts_expr).otherwise(F.array(line))
-        # One-row generator as an optimizer barrier: a later filter on a field (or on the
-        # matched flag) is not inlined below it, so the regex still runs once per line, while
-        # filters on the input columns keep reaching the scan.
-        staged = materialize(df, parts_name, parts_expr)
-        parts = F.col(parts_name)
-        matched = (F.size(parts) >= 2) & (F.get(parts, 0) == F.lit(HIT))
+        found = F.when(has_sep, slow).otherwise(F.split(one_pass, SEP, -1))
+        possible = self.possible(line)
+        return found if possible is None else F.when(possible, found).otherwise(F.array(line))
+
+    def possible(self, line: Column) -> Column | None:
+        """An exact shortcut: a line lacking a literal that every match contains cannot match, so the regex (an
+        unanchored search, costly on long lines) need not run on it.  None where there is no such literal."""
+        out = None
+        for lit in required_literals(self.regex):
+            has = F.instr(line, F.lit(lit)) > 0
+            out = has if out is None else out & has
+        return out
+
+    def values(self, parts: Column) -> dict[str, Column]:
+        """The fields, by name, from what :meth:`parts` gave."""
 
         def raw(c: Capture) -> Column:
             v = F.get(parts, c.group)
@@ -495,6 +485,27 @@ class Grok:
             elif self.strip_quotes and any(c.may_quote for c in group):
                 v = strip_quotes(v)
             values[name] = v
+        return values
+
+    def apply(self, df: DataFrame, source_col: str = "line", matched_col: str = "_matched",
+              drop_helper: bool = True) -> DataFrame:
+        """Add ``matched_col`` and one column per capture name.
+
+        The one-pass form runs the regex once per line: ``regexp_replace`` rewrites a matching
+        line to ``HIT SEP g1 SEP g2 ...`` and ``split`` yields all groups as one array.  Lines that
+        contain the separator character build the same array exactly with ``rlike`` and one
+        ``regexp_extract`` per group.  Field columns read the array, so each line is matched once
+        and the generated code holds the slow path only once.
+        """
+        parts_name = "__grok_parts"
+        parts_expr = self.parts(F.col(source_col))
+        # One-row generator as an optimizer barrier: a later filter on a field (or on the
+        # matched flag) is not inlined below it, so the regex still runs once per line, while
+        # filters on the input columns keep reaching the scan.
+        staged = materialize(df, parts_name, parts_expr)
+        parts = F.col(parts_name)
+        matched = (F.size(parts) >= 2) & (F.get(parts, 0) == F.lit(HIT))
+        values = self.values(parts)
         out = staged.withColumn(matched_col, F.coalesce(matched, F.lit(False)))
         out = out.withColumns(values) if values else out
         return out.drop(parts_name) if drop_helper else out

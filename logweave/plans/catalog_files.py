@@ -117,6 +117,40 @@ FROM documents WHERE regexp_matches(text, '\p{Lu}\p{Ll}+ \p{L}+')
 """
 
 
+# --- P2: mixed lines, each to the first expression that matches ---------------------------------------------
+MIXED = {
+    "access": "%{COMMONAPACHELOG}",
+    "order": "%{SYSLOGBASE} order %{INT:order} status=%{WORD:status}",
+    "turn": "^conv %{INT:conv} turn %{INT:turn} %{WORD:role}$",
+    "number": "%{INT:number}",
+}
+
+
+def route_mixed(spark: SparkSession, d: str) -> DataFrame:
+    """Events as access lines, orders as system log lines and conversation turns, some of them broken, in one table."""
+    from ..operators.routing import route_lines
+
+    prepare(spark)
+    events = R.table(spark, d, "events").select(F.concat(F.lit("10.0.0.1 - u [01/Jun/2017:00:00:00 +0000] \"GET /e/"), F.col("event_id"), F.lit(" HTTP/1.1\" 200 "), F.length("event_type")).alias("line"))
+    orders = R.table(spark, d, "orders").select(F.concat(F.lit("Jun  1 00:00:00 host app[12]: order "), F.col("o_orderkey"), F.when(F.col("o_orderkey") % 5 == 0, F.lit(" state=")).otherwise(F.lit(" status=")), "o_orderstatus").alias("line"))
+    turns = R.table(spark, d, "conversations").select(F.concat(F.lit("conv "), F.when(F.col("turn") % 3 != 2, F.col("conv_id").cast("string")).otherwise(F.lit("none")),
+                                                               F.lit(" turn "), F.when(F.col("turn") % 3 != 2, F.col("turn").cast("string")).otherwise(F.lit("none")), F.lit(" "), F.col("role")).alias("line"))
+    routed = route_lines(events.unionByName(orders).unionByName(turns), MIXED)
+    f = lambda name: F.col("fields")[name]
+    key = (F.when(F.col("expression") == "access", F.concat_ws("|", f("request"), f("bytes"))).when(F.col("expression") == "order", F.concat_ws("|", f("order"), f("status"), f("pid")))
+           .when(F.col("expression") == "turn", F.concat_ws("|", f("conv"), f("turn"), f("role"))).when(F.col("expression") == "number", f("number")))
+    return routed.groupBy("expression", key.alias("key")).agg(F.count("*").alias("n"))
+
+
+SQL_MIXED = """
+WITH k AS (
+  SELECT 'access' AS expression, '/e/' || event_id || '|' || length(event_type) AS key FROM events
+  UNION ALL SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'number' ELSE 'order' END, CASE WHEN o_orderkey % 5 = 0 THEN '1' ELSE o_orderkey || '|' || o_orderstatus || '|12' END FROM orders
+  UNION ALL SELECT CASE WHEN turn % 3 <> 2 THEN 'turn' END, CASE WHEN turn % 3 <> 2 THEN conv_id || '|' || turn || '|' || role END FROM conversations)
+SELECT expression, key, COUNT(*) AS n FROM k GROUP BY ALL
+"""
+
+
 # --- T2: a tail over files that grow ----------------------------------------------------------------------
 def tail_growth(spark: SparkSession, d: str) -> DataFrame:
     """Conversation logs that appear in two steps, each followed by a tail run: every line once."""
@@ -491,6 +525,7 @@ FILE_QUERIES = {
     "index_files": (index_files, SQL_INDEX),
     "read_indexed": (read_indexed, SQL_INDEXED),
     "tail_rotation": (tail_rotation, SQL_TAIL_ROTATION),
+    "route_mixed": (route_mixed, SQL_MIXED),
     "deliver_resumed": (deliver_resumed, SQL_RESUMED),
     "batch_payloads": (batch_payloads, SQL_PAYLOADS),
     "progress_report": (progress_report, SQL_PROGRESS),
