@@ -2,8 +2,9 @@
 
 The rules label the URLs that they fit; Spark ML trains boosted trees on a bounded sample of these
 labels and judges the URLs that no rule fits.  Features are read off the URL alone: length, depth,
-shares of digits and other characters, entropy, parameters, and statistics of the host's suffixes:
-how often URLs of the same suffix are allowed, smoothed by the share among all labelled URLs."""
+shares of digits and other characters, entropy, parameters, and statistics of the host's suffixes and of the path's first segment:
+how often other URLs with the same one are allowed, smoothed by the share among all labelled URLs.  What a
+labelled URL is trained with leaves out its own label, so a rare suffix does not give the answer away."""
 
 from __future__ import annotations
 
@@ -20,11 +21,9 @@ TREES = 10
 DEPTH = 4
 #: Labelled URLs that the general share counts for in a suffix's statistics.
 SMOOTH = 20.0
-#: Labels of a host that suffixes are made of, counted from its end.
-SUFFIX_PARTS = (1, 2)
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digits", "host_digits", "hyphens", "symbols",
             "parameters", "query_length", "has_fragment", "entropy", "longest_label", "last_digits", "has_extension",
-            *[f"suffix_{k}" for k in SUFFIX_PARTS])
+            "suffix_1", "suffix_2", "segment", "suffix_segment")
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -73,15 +72,51 @@ def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
             "last_digits": count_of(last, "[0-9]"), "has_extension": last.rlike(r"\.[A-Za-z0-9]+$").cast("double")}
 
 
-def _featured(rows: DataFrame, stats: dict[int, DataFrame], general: float) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
+def statistic_keys(host: Column, path: Column) -> dict[str, Column]:
+    """What labelled URLs are counted by: the host's last label and last two, the path's first segment, and the
+    last label with that segment."""
+    segment = F.lower(F.regexp_extract(path, r"^/([^/]*)", 1))
+    return {"suffix_1": suffix(host, 1), "suffix_2": suffix(host, 2), "segment": segment, "suffix_segment": F.concat(suffix(host, 1), F.lit("/"), segment)}
 
-    rows = rows.select("*", *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(f"f_{n}") for n, c in features(F.col("u"), F.col("host"), F.col("path")).items()])
-    for k in SUFFIX_PARTS:
-        rows = rows.withColumn(f"s{k}", suffix(F.col("host"), k))
-        rows = attach(rows, stats[k], [f"s{k}"], F.xxhash64("u"))
-        rows = rows.withColumn(f"f_suffix_{k}", F.coalesce(f"allowed_{k}", F.lit(general))).drop(f"s{k}", f"allowed_{k}")
-    return VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="f").transform(rows).drop(*[f"f_{n}" for n in FEATURES])
+
+class Learnt:
+    """Statistics of labelled URLs (u, host, path, label 1.0: allowed) and trees trained on a sample of them."""
+
+    def __init__(self, labelled: DataFrame, max_sample: int = MAX_SAMPLE, seed: int = 7):
+        from pyspark.ml.classification import GBTClassifier  # here, so that other queries' drivers do without
+
+        urls = cut(labelled.groupBy("u", "host", "path").agg(F.max("label").alias("label")))
+        n, allowed = urls.agg(F.count("*"), F.sum("label")).first()
+        self.both = bool(n) and 0 < allowed < n
+        if not self.both:
+            return
+        self.general = allowed / n
+        self.stats = {name: cut(urls.groupBy(key.alias(f"k_{name}")).agg(F.sum("label").alias(f"a_{name}"), F.count("*").alias(f"n_{name}")))
+                      for name, key in statistic_keys(F.col("host"), F.col("path")).items()}
+        sample = sampled(urls, max_sample, seed)
+        share = sample.agg(F.avg("label")).first()[0]
+        weighted = sample.withColumn("weight", F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share)))
+        trees = GBTClassifier(featuresCol="f", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=seed, stepSize=0.3)
+        self.model = trees.fit(cut(self._featured(weighted, own=True).select("f", "label", "weight")))
+
+    def _featured(self, rows: DataFrame, own: bool = False) -> DataFrame:
+        from pyspark.ml.feature import VectorAssembler
+
+        rows = rows.select("*", *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(f"f_{n}") for n, c in features(F.col("u"), F.col("host"), F.col("path")).items()])
+        for name, key in statistic_keys(F.col("host"), F.col("path")).items():
+            rows = attach(rows.withColumn(f"k_{name}", key), self.stats[name], [f"k_{name}"], F.xxhash64("u"))
+            a, n = F.coalesce(f"a_{name}", F.lit(0.0)), F.coalesce(f"n_{name}", F.lit(0))
+            if own:
+                a, n = a - F.col("label"), n - 1
+            rows = rows.withColumn(f"f_{name}", (a + SMOOTH * self.general) / (n + SMOOTH)).drop(f"k_{name}", f"a_{name}", f"n_{name}")
+        return VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="f").transform(rows).drop(*[f"f_{n}" for n in FEATURES])
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (u, host, path, ...) with ``p``, the probability that a URL is allowed."""
+        from pyspark.ml.functions import vector_to_array
+
+        scored = self.model.setProbabilityCol("p").transform(self._featured(rows))
+        return scored.withColumn("p", F.element_at(vector_to_array(F.col("p")), 2)).drop("f", "rawPrediction", "prediction")
 
 
 def sampled(urls: DataFrame, most: int, seed: int) -> DataFrame:
@@ -103,32 +138,18 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, max_sample: int = MAX
 
     A null URL counts as empty.  Repeated rows get the same verdict.  Where no rule fits and the labelled
     URLs have but one verdict (or there are none), the trees cannot learn and the verdict is ``allow``."""
-    from pyspark.ml.classification import GBTClassifier  # here, so that other queries' drivers do without
-    from pyspark.ml.functions import vector_to_array
-
     pages = without(pages, "host", "path", "rule", "verdict", "p_allow")
     u = F.coalesce(F.col(url).cast("string"), F.lit(""))
     host, path = parts(u)
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), u.alias("u"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("m", matched(F.col("host"), F.col("path"), rules))
     labelled = rows.filter("m is not null").select("u", "host", "path", F.when(F.col("m.verdict") == "allow", 1.0).otherwise(0.0).alias("label"))
-    n, allowed = labelled.agg(F.count("*"), F.sum("label")).first()
     made = lambda r, p, v: r.select("row.*", "host", "path", F.col("m.rule").alias("rule"),
                                     F.coalesce(F.col("m.verdict"), v).alias("verdict"), F.when(F.col("m").isNull(), p).alias("p_allow"))
-    if not n or allowed in (0, n):
+    learnt = Learnt(labelled, max_sample, seed)
+    if not learnt.both:
         return made(rows, F.lit(None).cast("double"), F.lit("allow"))
-    general = allowed / n
-    # suffix statistics over all labelled URLs
-    stats = {k: cut(labelled.groupBy(suffix(F.col("host"), k).alias(f"s{k}"))
-                    .agg(((F.sum("label") + SMOOTH * general) / (F.count("*") + SMOOTH)).alias(f"allowed_{k}"))) for k in SUFFIX_PARTS}
-    sample = sampled(labelled.groupBy("u", "host", "path").agg(F.max("label").alias("label")), max_sample, seed)
-    share = sample.agg(F.avg("label")).first()[0]
-    weighted = sample.withColumn("weight", F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share)))
-    trees = GBTClassifier(featuresCol="f", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=seed, stepSize=0.3)
-    model = trees.fit(cut(_featured(weighted, stats, general).select("f", "label", "weight")))
-    scored = model.setProbabilityCol("p").transform(_featured(rows, stats, general))
-    p = F.element_at(vector_to_array(F.col("p")), 2)
-    return made(scored, p, F.when(p >= 0.5, "allow").otherwise("block"))
+    return made(learnt.score(rows), F.col("p"), F.when(F.col("p") >= 0.5, "allow").otherwise("block"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

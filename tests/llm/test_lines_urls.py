@@ -1,3 +1,4 @@
+import os
 import re
 
 import numpy as np
@@ -101,3 +102,26 @@ def test_rare_verdict_is_learnt(spark):
     free = {r.page_id: r for r in url_filter.judge(pages, rules=rules, max_sample=40).filter("rule is null").collect()}
     assert len(free) == 2 and all(r.p_allow is not None for r in free.values())
     assert free[3000].verdict == "block" and free[3001].verdict == "allow"
+
+
+def auc(rows):
+    """Share of pairs of one URL of each label that the score puts in order."""
+    good, bad = ([r.p for r in rows if r.label == y] for y in (1.0, 0.0))
+    return np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the given tables are not here")
+def test_held_out_urls(spark):
+    """Trees that have learnt from half of the URLs which the rules label judge the other half."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    host, path = url_filter.parts(F.col("url"))
+    rows = pages.select(F.col("url").alias("u"), host.alias("host"), path.alias("path"))
+    m = url_filter.matched(F.col("host"), F.col("path"))
+    labelled = rows.withColumn("m", m).filter("m is not null").select("u", "host", "path", F.when(F.col("m.verdict") == "allow", 1.0).otherwise(0.0).alias("label"))
+    half = F.pmod(F.xxhash64(F.lit(3), "u"), F.lit(2)) == 0
+    learnt = url_filter.Learnt(labelled.filter(half))
+    got = learnt.score(labelled.filter(~half)).collect()
+    blocked, allowed = ([r for r in got if r.label == y] for y in (0.0, 1.0))
+    assert len(blocked) > 50 and auc(got) >= 0.9
+    print("held out:", round(auc(got), 4), sum(r.p < 0.5 for r in blocked), len(blocked), sum(r.p < 0.5 for r in allowed), len(allowed))
+    assert sum(r.p < 0.5 for r in blocked) >= 0.8 * len(blocked) and sum(r.p < 0.5 for r in allowed) <= 0.1 * len(allowed)
