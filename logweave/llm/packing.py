@@ -1,19 +1,23 @@
 """Harmonic packing of token ids into sequences.
 
-Class k holds pieces of which exactly k fit into a sequence (lengths in ``(capacity / (k+1),
-capacity / k]``), and each bin of class k is closed with exactly k pieces.  Every task packs its
+Class k holds documents of which exactly k fit into a sequence (lengths in ``(capacity / (k+1),
+capacity / k]``), and each bin of class k is closed with exactly k of them, uncut.  Every task packs its
 own documents, with one open bin for each class, so nothing is shuffled and no task waits.
 
-A document is cut into full sequences and a rest.  The rest stays whole if its class wastes at most
-``capacity / 64``; otherwise its largest power of two is cut off (these classes waste nothing) and the
-remainder is tried again.  When a task ends, the pieces of open bins are cut into powers of two and
-closed as sequences whose length is a power of two, which need no padding.
+What a closed bin of its class leaves free, up to a third of it, is filled exactly with ids of a *filler*: a
+document longer than a sequence, which has to be cut anyway.  Fillers also give full sequences of their own; the
+last ``RESERVE`` sequences of their ids are kept for gaps.  While more than ``WAITING`` closed bins wait for
+ids, documents that would fit become fillers too, so only where long documents are rare are others cut.  A gap of
+at most a 64th of what the sequence holds stays.
 
-A task holds fewer than k pieces of each class, at most ``capacity`` ids each class."""
+When a task ends, what is in open bins is packed once more, by first fit from the longest, and filled up; bins that
+cannot be filled are cut into full sequences, and the last of all into sequences whose length is a power of two,
+which need no padding.  A task holds at most ``capacity`` ids for each class, and the reserve."""
 
 from __future__ import annotations
 
 import zlib
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -27,56 +31,101 @@ from logweave.llm.common import map_arrow, table
 
 CAPACITY = 1024
 END_ID = 0
+#: A gap of one id for so many in the sequence may stay.
 WASTE = 64
+#: Sequences' worth of filler ids that a task keeps for gaps.
+RESERVE = 16
+#: Closed bins that wait for filler ids before other documents become fillers.
+WAITING = 64
 #: Sequences of one task: their ids are the task's number times this, and up.
 TASK_IDS = 1 << 33
 
 
-def cuts(length: int, capacity: int = CAPACITY) -> list[int]:
-    """Lengths of the pieces of a document of ``length`` ids."""
-    out = [capacity] * (length // capacity)
-    rest = length % capacity
-    while rest:
-        k = capacity // rest
-        if capacity - k * rest <= capacity // WASTE:
-            out.append(rest)
-            break
-        part = 1 << (rest.bit_length() - 1)
-        out.append(part)
-        rest -= part
-    return out
-
-
 class Packer:
-    """Closes bins as they fill; ``done`` is called with the pieces of each closed sequence."""
+    """Closes bins as they fill; ``done`` is called with the pieces ``((key, start, ids, total), length)`` of each
+    closed sequence."""
 
     def __init__(self, capacity: int, done):
-        self.capacity, self.done, self.bins = capacity, done, {}
-
-    def add(self, piece: tuple, length: int) -> None:
+        self.capacity, self.done = capacity, done
+        self.bins: dict[int, list] = {}
+        self.waiting: deque = deque()  # (gap, pieces) of bins that want ids
+        self.fillers: deque = deque()  # [key, at, ids]
+        self.reserve = 0  # ids in fillers
+
+    def add(self, key, ids: np.ndarray) -> None:
+        length = len(ids)
+        if length == self.capacity:
+            self.done([((key, 0, ids, length), length)])
+            return
+        if length > self.capacity or len(self.waiting) > WAITING:
+            self.fillers.append([key, 0, ids])
+            self.reserve += length
+            self._serve()
+            while self.reserve > RESERVE * self.capacity:
+                self.done(self._take(self.capacity))
+            return
         k = self.capacity // length
         held = self.bins.setdefault(k, [])
-        held.append((piece, length))
+        held.append(((key, 0, ids, length), length))
         if len(held) == k:
-            self.done(self.bins.pop(k))
+            self._close(self.bins.pop(k))
+
+    def _close(self, held: list) -> None:
+        size = sum(length for _, length in held)
+        gap = self.capacity - size
+        if gap * WASTE <= size:
+            self.done(held)
+        elif gap <= self.reserve and not self.waiting:
+            self.done(held + self._take(gap))
+        else:
+            self.waiting.append((gap, held))
+            self._serve()
+
+    def _serve(self) -> None:
+        while self.waiting and self.waiting[0][0] <= self.reserve:
+            gap, held = self.waiting.popleft()
+            self.done(held + self._take(gap))
+
+    def _take(self, n: int) -> list:
+        """The next ``n`` ids of the fillers."""
+        out = []
+        self.reserve -= n
+        while n:
+            filler = self.fillers[0]
+            key, at, ids = filler
+            part = min(n, len(ids) - at)
+            out.append(((key, at, ids[at: at + part], len(ids)), part))
+            n -= part
+            filler[1] += part
+            if filler[1] == len(ids):
+                self.fillers.popleft()
+        return out
 
     def finish(self) -> None:
-        """Open bins: pieces are cut into powers of two; what then is left of each power is closed as
-        sequences of 1, 2, 4, ... pieces."""
-        left, self.bins = self.bins, {}
-        for held in left.values():
-            for (key, start, ids, total), length in held:
-                at = 0
-                while length:
-                    part = 1 << (length.bit_length() - 1)
-                    self.add((key, start + at, ids[at: at + part], total), part)
-                    at, length = at + part, length - part
-        for held in self.bins.values():
-            while held:
-                n = 1 << (len(held).bit_length() - 1)
-                self.done(held[:n])
-                held = held[n:]
-        self.bins = {}
+        pieces = [p for held in self.bins.values() for p in held] + [p for _, held in self.waiting for p in held]
+        self.bins, self.waiting = {}, deque()
+        bins: list[list] = []  # [free, pieces]
+        for piece in sorted(pieces, key=lambda p: -p[1]):
+            fits = next((b for b in bins if b[0] >= piece[1]), None)
+            if fits is None:
+                bins.append(fits := [self.capacity, []])
+            fits[0] -= piece[1]
+            fits[1].append(piece)
+        rest = []
+        for free, held in sorted(bins, key=lambda b: b[0]):  # small gaps first: the reserve fills more of them
+            if free * WASTE <= self.capacity - free:
+                self.done(held)
+            elif free <= self.reserve:
+                self.done(held + self._take(free))
+            else:
+                rest += held
+        for (key, _, ids, _), length in rest:  # whole documents, as all that is in bins
+            self.fillers.append([key, 0, ids])
+            self.reserve += length
+        while self.reserve >= self.capacity:
+            self.done(self._take(self.capacity))
+        while self.reserve:
+            self.done(self._take(1 << (self.reserve.bit_length() - 1)))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
@@ -123,11 +172,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
         for batch in batches:
             id_type = batch.schema.field(0).type
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(enc.ids(value.as_py()), np.uint32(end_id))
-                at = 0
-                for length in cuts(len(ids), capacity):
-                    packer.add((key, at, ids[at: at + length], len(ids)), length)
-                    at += length
+                packer.add(key, np.append(enc.ids(value.as_py()), np.uint32(end_id)))
                 if len(cols["_id"]) >= (1000 if with_ids else 10000):
                     yield flush()
         packer.finish()

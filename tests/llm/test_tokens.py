@@ -65,9 +65,39 @@ def test_pieces(docs, capacity):
     assert padding <= got.length.sum() / 64
 
 
-def test_cuts():
-    for n in range(1, 5000):
-        assert sum(packing.cuts(n)) == n and all(0 < c <= 1024 for c in packing.cuts(n))
+def packed(lengths, capacity=1024):
+    out = []
+    packer = packing.Packer(capacity, out.append)
+    for key, n in enumerate(lengths):
+        packer.add(key, np.arange(n, dtype=np.uint32))
+    packer.finish()
+    return out
+
+
+@pytest.mark.parametrize("kind", ["mixed", "short", "halves", "long", "few", "equal"])
+def test_few_documents_are_cut(kind):
+    rng = np.random.default_rng(len(kind))
+    lengths = {"mixed": np.exp(rng.normal(6.3, 1.0, 8000)).astype(int) + 1, "short": rng.integers(1, 200, 8000), "halves": rng.integers(513, 700, 3000),
+               "long": rng.integers(1025, 9000, 800), "few": rng.integers(1, 3000, 5), "equal": np.full(2000, 300)}[kind]
+    out = packed(lengths.tolist())
+    cover = {k: np.zeros(n, int) for k, n in enumerate(lengths.tolist())}
+    padding = 0
+    for held in out:
+        size = sum(n for _, n in held)
+        assert 0 < size <= 1024
+        padding += 0 if size & (size - 1) == 0 else 1024 - size
+        for (key, start, ids, total), n in held:
+            assert len(ids) == n and ids[0] == start and total == lengths[key]
+            cover[key][start: start + n] += 1
+    assert all((c == 1).all() for c in cover.values())
+    assert padding <= lengths.sum() / 64
+    cut = sum(1 for k, n in enumerate(np.bincount([p[0][0] for held in out for p in held]).tolist()) if n > 1 and lengths[k] <= 1024)
+    fit = max(1, int((lengths <= 1024).sum()))
+    print(kind, "cut of those that fit:", round(cut / fit, 3), "pieces:", round(sum(len(h) for h in out) / len(lengths), 2))
+    if kind in ("mixed", "short"):
+        assert cut <= 0.05 * fit
+    elif kind in ("halves", "equal"):
+        assert cut <= 0.5 * fit
 
 
 def test_matrix_round_trip(docs):
