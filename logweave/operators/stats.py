@@ -111,12 +111,12 @@ def endpoint_stats(deliveries: DataFrame) -> DataFrame:
         F.sum("n_docs").cast("bigint").alias("docs_sent"), F.count(F.lit(1)).alias("batches"))
 
 
-def run_counts(status_col: str = "status") -> list:
-    """Totals of a job over rows with ``line_num`` and a status (:func:`status_of`): files that have lines, lines read,
-    parsed and skipped, documents; for ``observe`` or ``agg``."""
+def run_counts(status_col: str = "status", files: bool = True) -> list:
+    """Totals of a job over rows with a status (:func:`status_of`) and, for ``files``, ``line_num``: files that have lines,
+    lines read, parsed and skipped, documents; for ``observe`` or ``agg``."""
     s = F.col(status_col)
     return [
-        F.sum(F.when(F.col("line_num") == 1, 1).otherwise(0)).alias("files"),
+        *([F.sum(F.when(F.col("line_num") == 1, 1).otherwise(0)).alias("files")] if files else []),
         F.count(F.lit(1)).alias("lines_read"),
         F.sum(F.when(s.isin(BLANK, DOC), 1).otherwise(0)).alias("lines_parsed"),
         F.sum(F.when(s == SKIPPED, 1).otherwise(0)).alias("lines_skipped"),
@@ -126,11 +126,11 @@ def run_counts(status_col: str = "status") -> list:
 
 def observe_run(df: DataFrame, name: str = "logweave_run", status_col: str = "status"):
     """Totals gathered while ``df`` is written by the job's own sink, with no second pass:
-    returns ``(observed_df, observation)``; after the action ``observation.get`` holds the counts of
-    :func:`run_counts`.  ``df`` carries a ``status`` column as
+    returns ``(observed_df, observation)``; after the action ``observation.get`` holds
+    ``lines_read, lines_parsed, lines_skipped, docs``.  ``df`` carries a ``status`` column as
     produced by :func:`status_of` (keep the non-document rows until the sink filters them).  For streams use
     ``df.observe(name, *run_counts())`` and :class:`logweave.streaming.progress.ProgressListener`."""
     from pyspark.sql import Observation
 
     obs = Observation(name)
-    return df.observe(obs, *run_counts(status_col)), obs
+    return df.observe(obs, *run_counts(status_col, files=False)), obs
