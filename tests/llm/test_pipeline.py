@@ -40,7 +40,7 @@ def test_stages(spark, tmp_path):
 
 
 def test_run_and_names(spark):
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "start", "length", "sequence_id"} <= set(out.columns) and out.count() > 0
