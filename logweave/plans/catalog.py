@@ -234,7 +234,7 @@ FROM o LEFT JOIN m ON o.doc_id = m.doc_id
 # --- P13/P14: request fields and parameters ----------------------------------------------------------
 def solr_requests(spark: SparkSession, d: str) -> DataFrame:
     prepare(spark)
-    rec = solr_log(normalize_lines(R.request_lines_of(R.table(spark, d, "orders"))), SEARCH_LOG)
+    rec = solr_log(normalize_lines(R.request_lines_of(R.ordered_table(spark, d, "orders", "o_orderkey"))), SEARCH_LOG)
     p = F.col("params")
     return rec.select(
         "file", "line_i", "level_s", "timestamp_tdt", "category_s", "collection_s", "shard_s", "replica_s", "core_s",
@@ -270,7 +270,7 @@ FROM r
 
 def page_params(spark: SparkSession, d: str) -> DataFrame:
     prepare(spark)
-    rec = solr_log(normalize_lines(R.page_request_lines_of(R.table(spark, d, "pages"))), SEARCH_LOG)
+    rec = solr_log(normalize_lines(R.page_request_lines_of(R.ordered_table(spark, d, "pages", "page_id"))), SEARCH_LOG)
     # explode_outer: a plain explode makes the optimizer add a size(params) > 0 filter that
     # re-evaluates the whole params expression below the generator
     out = rec.select("file", "line_i", F.explode_outer("params").alias("key", "value"))

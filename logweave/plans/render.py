@@ -22,6 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+#: Rows of a table that one task renders and sums up, about.
+TASK_ROWS = 250_000
+
+
+def ordered_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A source table in ranges of ``key``, in order: tasks of about ``TASK_ROWS`` rows, as many as the session has cores at
+    least.  Lines rendered from it lie in their files' order, as read files do, and what a task holds of them
+    does not grow with the table."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))  # counted from the footers
+    return df.repartitionByRange(tasks, key).sortWithinPartitions(key)
+
+
 def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from logweave.operators import multiline
 from logweave.operators.multiline import CONT, END, SKIP, START, _packed, assemble_records
 from logweave.operators.solr import solr_log
 from logweave.session import release
@@ -84,3 +85,21 @@ def test_search_log_without_a_start(spark, lines_of):
     parts = solr_log(lines_of({"f": text}), "%{SOLR_651_LOG4J}", pieces=True, chunk_lines=64).orderBy("part_no").collect()
     assert len(parts) == 16 and {r.first_line for r in parts} == {1}
     assert "".join(r.text for r in parts) == "".join(f" no start {i}" for i in range(1, 1001))
+
+
+def test_rendered_requests_lie_in_order_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    from logweave.plans import render as R
+    from logweave.plans.catalog import solr_requests
+
+    n = 3000
+    orders = spark.range(n).select(((F.col("id") * 7) % n).alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+                                   F.lit(1.0).alias("o_totalprice"), F.expr("timestamp'2020-01-01 00:00:00'").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(R, "TASK_ROWS", 100)
+    held = []
+    monkeypatch.setattr(multiline, "keep", lambda df, real=multiline.keep: held.append(real(df)) or held[-1])
+    got = solr_requests(spark, str(tmp_path))
+    assert got.count() == n and got.agg(F.sum("line_i"), F.countDistinct("file", "line_i")).first() == (3 * 500500, n)
+    sizes = [r["n"] for r in held[0].groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 25 and max(sizes) < 300  # four tasks of 750 rows before
+    assert held[0].filter("__whole").count() > 0.9 * n  # neighbours meet in the task, only ends of runs move
