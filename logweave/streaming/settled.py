@@ -26,7 +26,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir
-from ..sinks.tombstones import _store, milliseconds, write_tombstones
+from ..sinks.tombstones import _store, modified, write_tombstones
 from ..sources.files import DEFAULT_MATCH, match_regex, read_log_lines
 from .watch import _ledger, clean_watched
 
@@ -77,7 +77,7 @@ class _Reader(DataSourceStreamReader):
                 continue
             if self.rule is None or re.search(self.rule, info.base_name):
                 uri = self.path if "://" in self.path or self.path.startswith("file:") else "file://" + quote(self.path)
-                out[f"{uri}/{quote(info.path[len(base):].strip('/'))}"] = (info.size, milliseconds(info.mtime))
+                out[f"{uri}/{quote(info.path[len(base):].strip('/'))}"] = (info.size, modified(info))
         return out
 
     def initialOffset(self) -> dict:
