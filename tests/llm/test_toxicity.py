@@ -2,6 +2,7 @@ import numpy as np
 
 from logweave.llm import texts, toxicity
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 BAD = ["scum", "moron", "idiot", "trash"]
 
@@ -119,3 +120,39 @@ def test_counts_of_words_and_pairs(spark):
     assert len(pairs) == 4 and pairs[key(ab)] == (1, 1) and pairs[key(ba)] == (1, 1)
     found = toxicity.words_of_pairs(docs, "text", np.sort(np.concatenate([ab, ba]))).collect()
     assert {tuple(r) for r in found} == {(key(ab), key(a), key(b)), (key(ba), key(b), key(a))}
+
+
+def key_of(word):
+    return texts.hash_spans(np.frombuffer(word.encode(), np.uint8), np.array([0]), np.array([len(word)]))
+
+
+def test_predecessors_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(" ".join(rng.choice(list("abcdef"), int(rng.integers(0, 5)))), int(rng.random() < 0.4)) for _ in range(60)] + [(None, 1), ("", 0)]
+    want = {}
+    for text, y in rows:
+        words = (text or "").split()
+        for before, word in zip(["", *words], words):
+            want.setdefault(word, (set(), set()))[1 - y].add(before)
+    pairs = toxicity.count_pairs(spark.createDataFrame(rows, "text string, toxic int").repartition(4), "text", "toxic")
+    got = toxicity.by_word(pairs, F.lit(False)).collect()
+    assert {r["word"]: (r["k_t"], r["k_o"]) for r in got} == {int(key_of(w).view(np.int64)[0]): tuple(map(len, k)) for w, k in want.items()}
+    assert all(r["pairs"] == [] for r in got)
+
+
+def test_words_count_by_what_they_follow(spark):
+    """Two words in as many toxic texts as often, one always after the same word: by itself it is the less likely one."""
+    rows = [(f"w{i} v{i} moron u{i} san francisco", 1) for i in range(40)] + [(f"w{i} v{i} u{i} x{i} y{i} san", 0) for i in range(40)]
+    model = toxicity.fit_models(spark.createDataFrame(rows, "text string, toxic int").repartition(3), "text", "toxic")
+    key, l_t = model["words"][0].tolist(), model["words"][1]
+    of = {w: float(l_t[key.index(int(key_of(w)[0]))]) for w in ("moron", "francisco")}
+    # 40 and 1 of the class's 160 + 40 + 1 pairs; what the discounts free is shared out over both words
+    assert of["moron"] - of["francisco"] > 2.5
+
+
+def test_pairs_of_words_that_do_not_tell(spark):
+    rows = [(f"w{i} v{i} silly goat u{i}", 1) for i in range(24)] + [(f"a{i} w{i} silly v{i} b{i} u{i} goat c{i}", 0) for i in range(24)]
+    model = toxicity.fit_models(spark.createDataFrame(rows, "text string, toxic int").repartition(3), "text", "toxic")
+    assert key_of("goat")[0] not in model["words"][0]  # as many texts of either class have it
+    at = np.flatnonzero(model["pairs"][0] == toxicity.pair_key(key_of("silly"), key_of("goat"))[0])
+    assert len(at) == 1 and model["pairs"][1][at[0]] > model["pairs"][2][at[0]] + 1
